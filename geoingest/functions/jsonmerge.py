@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from geoingest.functions.expr import let
+
 
 def starts_object(text: Column) -> Column:
     """For valid JSON text: is it an object?"""
@@ -22,10 +24,18 @@ def json_map(text: Column) -> Column:
 
 def json_merge(old: Column, new: Column) -> Column:
     """Keys of both objects; the new value wins, also when it is an explicit null."""
-    merged = F.to_json(
-        F.map_zip_with(json_map(old), json_map(new), lambda _, o, n: F.coalesce(n, o))
-    )
-    return F.when(new.isNull(), old).when(old.isNull(), new).otherwise(merged)
+
+    def merged(pair: Column) -> Column:
+        both = F.map_zip_with(
+            json_map(pair["old"]), json_map(pair["new"]), lambda _, o, n: F.coalesce(n, o)
+        )
+        return (
+            F.when(pair["new"].isNull(), pair["old"])
+            .when(pair["old"].isNull(), pair["new"])
+            .otherwise(F.to_json(both))
+        )
+
+    return let(F.struct(old.alias("old"), new.alias("new")), merged)
 
 
 def keep_old(new: Column, old: Column) -> Column:

@@ -6,7 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from geoingest.functions.coords import LATLON_TYPE, latlon, latlon_if_valid, split_latlon
-from geoingest.functions.expr import non_empty, to_float
+from geoingest.functions.expr import let, to_float
 
 # Query keys that carry a Yandex point, in the order they are listed in the result.
 YANDEX_KEYS = ("ll", "pt", "q")
@@ -25,8 +25,16 @@ def url_query(url: Column) -> Column:
 
 def query_param(query: Column, key: str) -> Column:
     """First non-blank value of ``key`` in a query string, decoded; null when absent."""
-    raw = non_empty(F.regexp_extract(query, rf"(?:^|&){key}=([^&]+)", 1))
-    return F.coalesce(F.try_url_decode(raw), F.translate(raw, "+", " "))
+
+    def decoded(v: Column) -> Column:
+        plain = F.translate(v, "+", " ")
+        return (
+            F.when(v == "", F.lit(None))
+            .when(v.contains("%"), F.coalesce(F.try_url_decode(v), plain))
+            .otherwise(plain)
+        )
+
+    return let(F.regexp_extract(query, rf"(?:^|&){key}=([^&]+)", 1), decoded)
 
 
 def _points(*candidates: Column) -> Column:
@@ -38,16 +46,17 @@ def yandex_coords(query: Column) -> Column:
 
 
 def google_coords(url: Column, query: Column) -> Column:
-    at = latlon_if_valid(
-        to_float(F.regexp_extract(url, GOOGLE_AT, 1)), to_float(F.regexp_extract(url, GOOGLE_AT, 2))
+    at = let(
+        F.split(F.regexp_extract(url, GOOGLE_AT, 0), "[@,]"),
+        lambda v: latlon_if_valid(to_float(F.get(v, F.lit(1))), to_float(F.get(v, F.lit(2)))),
     )
     return _points(F.coalesce(split_latlon(query_param(query, "q"), lon_first=False), at))
 
 
 def osm_coords(query: Column) -> Column:
     """Permalink marker; the range of its values is not checked."""
-    lat, lon = to_float(query_param(query, "mlat")), to_float(query_param(query, "mlon"))
-    return _points(F.when(lat.isNotNull() & lon.isNotNull(), latlon(lat, lon)))
+    marker = latlon(to_float(query_param(query, "mlat")), to_float(query_param(query, "mlon")))
+    return F.filter(F.array(marker), lambda p: p["lat"].isNotNull() & p["lon"].isNotNull())
 
 
 def brouter_coords(url: Column) -> Column:
@@ -60,14 +69,18 @@ def brouter_coords(url: Column) -> Column:
 
 def url_coords(url: Column) -> Column:
     """Points of a map link by its host; an unknown host gives an empty array."""
-    host, query = url_host(url), url_query(url)
-    return (
-        F.when(host.contains("yandex"), yandex_coords(query))
-        .when(host.contains("google"), google_coords(url, query))
-        .when(host.contains("openstreetmap") | host.contains("osm"), osm_coords(query))
-        .when(host.contains("brouter"), brouter_coords(url))
-        .otherwise(F.array().cast(f"array<{LATLON_TYPE}>"))
-    )
+
+    def by_host(host: Column) -> Column:
+        q = url_query(url)
+        return (
+            F.when(host.contains("yandex"), let(q, yandex_coords))
+            .when(host.contains("google"), let(q, lambda v: google_coords(url, v)))
+            .when(host.contains("openstreetmap") | host.contains("osm"), let(q, osm_coords))
+            .when(host.contains("brouter"), brouter_coords(url))
+            .otherwise(F.array().cast(f"array<{LATLON_TYPE}>"))
+        )
+
+    return let(url_host(url), by_host)
 
 
 def build_search_url(

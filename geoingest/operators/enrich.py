@@ -8,7 +8,7 @@ from collections.abc import Callable, Iterable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from geoingest.functions.expr import let
+from geoingest.functions.expr import compute_once, let
 from geoingest.functions.tracks import route_coordinates, stamp_track
 from geoingest.functions.urls import ROUTE_BASE_URL, ROUTE_PROFILE, build_route_url
 
@@ -44,10 +44,9 @@ def enrich_tracks(
     bodies are parsed before the join. Rows without a route get a join key of their own, so that they
     spread instead of meeting on null; a route shared by many entities is split by adaptive planning.
     """
-    tracks = responses.select(
-        F.col("url").alias("_route"),
-        route_coordinates(F.col("body").cast("string"), F.col("status")).alias("_track"),
-    ).where("_track is not null")
+    answered = responses.select(F.col("url").alias("_route"), "status", F.col("body").cast("string").alias("body"))
+    tracks = compute_once(answered, "_track", route_coordinates(F.col("body"), F.col("status")))
+    tracks = tracks.where("_track is not null").select("_route", "_track")
     own = F.concat(F.lit("#"), F.xxhash64("source", "source_id", "_pos").cast("string"))
     url = route_url(F.col("geom"), F.col("attrs"), base=base, profile=profile)
     return (

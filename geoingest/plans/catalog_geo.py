@@ -24,6 +24,7 @@ from geoingest.operators.normalize import normalize, split_skipped, to_entity
 from geoingest.operators.runlog import record_preview as preview
 from geoingest.plans.derived import COUNTRY_SQL, FETCH_SQL, GEO_SQL, fetch_log, geo_orders
 from geoingest.plans.registry import query, table
+from geoingest.session import spread
 from geoingest.sources.gpx import gpx_records, gpx_track_points as track_rows, gpx_waypoints as waypoint_rows
 from geoingest.sources.html import html_records as page_records
 from geoingest.sources.json_api import json_records
@@ -172,7 +173,7 @@ def country_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("SELECT page_id, trim(replace(replace(regexp_extract(html, '<title>([^<]*)</title>', 1), '&quot;', '\"'), '&amp;', '&')) AS title FROM pages")
 def html_title(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "pages").select("page_id", title_of(F.col("html")).alias("title"))
+    return spread(table(spark, sf_dir, "pages")).select("page_id", title_of(F.col("html")).alias("title"))
 
 
 _PAGE_TEXT = """bare AS (
@@ -189,7 +190,7 @@ _PAGE_TEXT = """bare AS (
   CAST(length(body_text) AS INT) AS n_chars, md5(body_text) AS digest FROM txt""")
 def html_text_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Visible text of every page."""
-    text = table(spark, sf_dir, "pages").select("page_id", text_of(F.col("html")).alias("t"))
+    text = spread(table(spark, sf_dir, "pages")).select("page_id", text_of(F.col("html")).alias("t"))
     return text.select(
         "page_id",
         F.size(F.split("t", "\n")).alias("n_lines"),
@@ -204,7 +205,7 @@ def html_text_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
 FROM txt JOIN pages USING (page_id, url)""")
 def record_preview(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Page records as a reader previews them."""
-    pages = table(spark, sf_dir, "pages").withColumnRenamed("html", "body")
+    pages = spread(table(spark, sf_dir, "pages")).withColumnRenamed("html", "body")
     records = page_records(pages)
     shown = preview(records).select("source", "source_id", "raw_ref", "raw_size", "text_preview")
     digest = records.select("source_id", F.md5("text").alias("text_digest"))
@@ -310,7 +311,7 @@ def truncation_limits(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("""SELECT page_id, concat('searxng:0x', substr(sha256(url), 1, 8)) AS source_id FROM pages""")
 def stable_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "pages").select("page_id", digest_id(F.col("url")).alias("source_id"))
+    return spread(table(spark, sf_dir, "pages")).select("page_id", digest_id(F.col("url")).alias("source_id"))
 
 
 @query("""SELECT event_id, concat('fetch: HTTPError: ', event_type, ' #', CAST(event_id AS STRING)) AS error FROM events""")
@@ -476,7 +477,7 @@ UNION ALL SELECT 'html', url FROM pages
 UNION ALL SELECT 'api', concat('e', CAST(event_id AS STRING)) FROM events""")
 def union_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Records of three sources stacked."""
-    pages = table(spark, sf_dir, "pages").withColumnRenamed("html", "body")
+    pages = spread(table(spark, sf_dir, "pages")).withColumnRenamed("html", "body")
     landed = table(spark, sf_dir, "events").select(
         F.concat(F.lit("e"), F.col("event_id").cast("string")).alias("url"), F.col("props").alias("body")
     )

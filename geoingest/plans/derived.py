@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from geoingest.plans.registry import table
+from geoingest.session import spread
 
 
 def _signed(m: str, div: str) -> str:
@@ -29,8 +30,10 @@ END"""
 
 def geo_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders with coordinates (some out of range), their texts, a second point and a map link."""
-    base = table(spark, sf_dir, "orders").selectExpr(
-        "CAST(o_orderkey AS BIGINT) AS k", "o_custkey", "o_orderstatus", "o_orderpriority"
+    base = spread(
+        table(spark, sf_dir, "orders").selectExpr(
+            "CAST(o_orderkey AS BIGINT) AS k", "o_custkey", "o_orderstatus", "o_orderpriority"
+        )
     )
     metric = base.selectExpr(
         "*", f"{_LAT_M} AS lat_m", f"{_LON_M} AS lon_m",

@@ -42,3 +42,13 @@ def checkpoint_dir(spark: SparkSession) -> str:
 def broadcast_if_small(df: DataFrame, max_rows: int) -> DataFrame:
     """Broadcast hint only when ``df`` has at most ``max_rows`` rows; otherwise ``df`` as it is."""
     return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Repartition a scan that has fewer splits than the session has cores, for costly work per row.
+
+    A large input has more splits than that and is returned as it is.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    splits = df._jdf.queryExecution().toRdd().getNumPartitions()
+    return df.repartition(cores) if splits < cores else df
