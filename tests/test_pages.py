@@ -1,0 +1,71 @@
+from __future__ import annotations
+
+import pytest
+from pyspark.sql import functions as F
+
+from geoingest.functions.html import html_text, html_title
+from geoingest.functions.jsonmerge import is_json_object, json_merge
+from geoingest.functions.text import error_text, pack_diag, persist_error, retry_wait_s, split_locators, stable_id
+from helpers import one
+
+X = F.col("x")
+
+
+@pytest.mark.parametrize(
+    ("html", "title", "text"),
+    [
+        ("<title> A </title><p>x<b>y</b> z</p>", "A", "A\nx\ny\nz"),
+        ("<p>a &amp;lt; &#65;&#x42;&nbsp;</p>", "", "a &lt; AB"),
+        ("<p>&unknown; &copy &&amp;</p>", "", "&unknown; &copy &&"),
+        ("a<script>var t='<p>no</p>'</script><style>p{}</style><!-- <p>no</p> -->b", "", "a\nb"),
+        ("<a title='1>2'>link</a>", "", "link"),
+        ("<script>never closed <p>x", "", ""),
+        ("<TITLE>one</TITLE><title>two</title>", "one", "one\ntwo"),
+        ("one\ntwo<br>three", "", "one\ntwo\nthree"),
+        ("1 < 2 and 3 > 2", "", "1 < 2 and 3 > 2"),
+        ("&#0; &#xD800; &#1114112;", "", "� � �"),
+        (None, "", ""),
+    ],
+)
+def test_page_text(spark, html, title, text):
+    assert one(spark, html, html_title(X), html_text(X)) == (title, text)
+
+
+def test_long_page_is_read_to_its_end(spark):
+    page = "<p>word</p>" * 20000 + "<b>end</b>"
+    assert one(spark, page, html_text(X)).endswith("word\nend")
+
+
+@pytest.mark.parametrize(
+    ("old", "new", "merged"),
+    [
+        ('{"a":1,"b":2}', '{"b":3,"c":4}', '{"a":1,"b":3,"c":4}'),
+        ('{"a":1}', '{"a":null}', '{"a":null}'),
+        ('{"a":{"x":1}}', '{"a":{"y":2}}', '{"a":{"y":2}}'),
+        ("{}", "{}", "{}"),
+        (None, '{"a":1}', '{"a":1}'),
+        ('{"a":1}', None, '{"a":1}'),
+    ],
+)
+def test_json_merge(spark, old, new, merged):
+    df = spark.createDataFrame([(old, new)], "o string, n string")
+    assert df.select(json_merge(F.col("o"), F.col("n"))).first()[0] == merged
+
+
+def test_json_object_check(spark):
+    for text, ok in [("{}", True), (' {"a":1}', True), ("[1]", False), ("1", False), ("{bad", False), (None, False)]:
+        assert one(spark, text, is_json_object(X)) is ok
+
+
+def test_small_texts(spark):
+    assert one(spark, "https://a/?q=1,2, https://b ,http://c", split_locators(X)) == [
+        "https://a/?q=1,2", "https://b", "http://c",
+    ]
+    assert one(spark, "55.7,37.6", split_locators(X)) == ["55.7,37.6"]
+    assert one(spark, "x", error_text("fetch", F.lit("E"), X)) == "fetch: E: x"
+    assert one(spark, "x", persist_error("db", F.lit("E"), X)) == "persist[db]: E: x"
+    diag = F.create_map(F.lit("ok"), F.lit("10"), F.lit("err"), F.lit("2"))
+    assert one(spark, "", pack_diag(diag)) == "ok=10|err=2"
+    assert one(spark, "HTTP 503", pack_diag(diag, X)) == "HTTP 503 | ok=10|err=2"
+    assert [one(spark, "", retry_wait_s(F.lit(i))) for i in (1, 2)] == [2.0, 3.0]
+    assert one(spark, "q", stable_id(X)) == one(spark, "q", stable_id(X)) != one(spark, "r", stable_id(X))
