@@ -39,6 +39,7 @@ from geoingest.sinks.tables import (
     append_run_log,
     entity_table,
     failure_table,
+    merge_into,
     read_entities,
     read_failures,
     read_run_log,

@@ -38,48 +38,57 @@ def reject_invalid(entities: DataFrame) -> tuple[DataFrame, DataFrame]:
     return checked.where("reason is null").drop("reason"), checked.where("reason is not null")
 
 
+# Parts a record is taken into for folding, and the fields that always follow the last row.
+_FIELDS, _COUNTRY, _ATTRIBUTE = 0, 1, 2
+_FIELDS_TYPE = "entity_type string, geom string, confidence double"
+
+
 def fold_batch(entities: DataFrame) -> DataFrame:
     """One row per key that has the effect of upserting its rows one by one in ``_pos`` order.
 
     Attributes merge from left to right, so each attribute keeps its last value; type, geometry and
     confidence are those of the last row even when null; the country is the last one given. A record is
-    taken apart into one row per attribute plus one for its other fields, and the latest of each is
-    chosen by an aggregate that combines on the map side. A key that holds a large share of the batch
-    thus leaves every map task as a handful of rows.
+    taken apart into one text per attribute, one for its other fields and one for a given country, and
+    the latest of each is chosen by an aggregate that combines on the map side. A key that holds a large
+    share of the batch thus leaves every map task as a handful of rows.
     """
-    nothing = F.lit(None)
-    head_type = "struct<entity_type:string,geom:string,confidence:double>"
-    head = F.struct(
-        nothing.cast("string").alias("k"),
-        nothing.cast("variant").alias("v"),
-        F.struct("entity_type", "geom", F.col("confidence").cast("double").alias("confidence")).alias("head"),
-        F.col("bbox_country").alias("cc"),
-    )
+
+    def part(kind: int, name: Column, text: Column) -> Column:
+        return F.struct(F.lit(kind).cast("byte").alias("part"), name.alias("name"), text.alias("entry"))
+
+    none = F.lit("")
+    fields = F.to_json(F.struct("entity_type", "geom", F.col("confidence").cast("double").alias("confidence")))
+    # An attribute travels as a JSON text of its own; a VARIANT would carry the key list of its object.
     attrs = F.transform(
         F.map_entries(json_map(F.col("attrs"))),
-        lambda e: F.struct(
-            e["key"].alias("k"),
-            e["value"].alias("v"),
-            nothing.cast(head_type).alias("head"),
-            nothing.cast("string").alias("cc"),
-        ),
+        lambda e: part(_ATTRIBUTE, e["key"], F.to_json(F.create_map(e["key"], e["value"]))),
     )
-    parts = entities.select(*KEY, "_pos", F.inline(F.concat(F.array(head), attrs)))
-    latest = parts.groupBy(*KEY, "k").agg(
-        F.max_by("v", "_pos").alias("v"),
-        F.max_by("head", "_pos").alias("head"),
-        F.max_by("cc", F.when(F.col("cc").isNotNull(), F.col("_pos"))).alias("cc"),
-        F.count("*").alias("n"),
+    country = F.filter(
+        F.array(part(_COUNTRY, none, F.col("bbox_country"))), lambda p: p["entry"].isNotNull()
+    )
+    parts = entities.select(
+        *KEY, "_pos", F.inline(F.concat(F.array(part(_FIELDS, none, fields)), country, attrs))
+    )
+    # Sorting by a hash first compares numbers, where sources and ids mostly share their first bytes.
+    parts = parts.withColumn("_h", F.xxhash64(*KEY, "part", "name"))
+    latest = parts.groupBy("_h", *KEY, "part", "name").agg(
+        F.max_by("entry", "_pos").alias("entry"), F.count("*").alias("n")
+    )
+
+    def only(kind: int, value: str) -> Column:
+        return F.when(F.col("part") == kind, F.col(value))
+
+    entries = F.transform(
+        F.array_sort(F.collect_list(only(_ATTRIBUTE, "entry"))),
+        lambda e: F.substr(e, F.lit(2), F.length(e) - 2),
     )
-    is_head = F.col("k").isNull()
-    entries = F.collect_list(F.when(~is_head, F.struct("k", "v")))
     folded = latest.groupBy(*KEY).agg(
-        F.first(F.when(is_head, F.col("head")), ignorenulls=True).alias("head"),
-        F.first(F.when(is_head, F.col("cc")), ignorenulls=True).alias("bbox_country"),
-        F.max(F.when(is_head, F.col("n"))).alias("n_rows"),
-        F.to_json(F.map_from_entries(entries)).alias("attrs"),
+        F.from_json(F.max(only(_FIELDS, "entry")), _FIELDS_TYPE).alias("fields"),
+        F.max(only(_COUNTRY, "entry")).alias("bbox_country"),
+        F.max(only(_FIELDS, "n")).alias("n_rows"),
+        F.concat(F.lit("{"), F.array_join(entries, ","), F.lit("}")).alias("attrs"),
     )
-    return folded.select(*KEY, "head.*", "attrs", "bbox_country", "n_rows")
+    return folded.select(*KEY, "fields.*", "attrs", "bbox_country", "n_rows")
 
 
 def first_of_batch(entities: DataFrame) -> DataFrame:

@@ -4,9 +4,12 @@ from __future__ import annotations
 
 import re
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from geoingest.functions.jsonmerge import json_merge, keep_old
+from geoingest.operators.merge import as_stored, fold_batch
 from geoingest.schemas import ENTITY_TABLE, FAILURE_TABLE, KEY, RUN_LOG
 
 
@@ -113,6 +116,27 @@ def save_bucketed(df: DataFrame, table: str, buckets: int) -> None:
     df.write.mode("overwrite").bucketBy(buckets, *KEY).sortBy(*KEY).saveAsTable(table)
 
 
+def merge_into(entities: DataFrame, table: str, now: Column, *, soft_delete: bool = True) -> None:
+    """Upsert into a catalog table whose format supports row-level merges.
+
+    Same rules as ``upsert_entities``, but the table format rewrites only the files it has to.
+    """
+    changes = fold_batch(as_stored(entities)).alias("s")
+    old, new = (lambda c: F.col(f"{table}.{c}")), (lambda c: F.col(f"s.{c}"))
+    now, never = now.cast("timestamp"), F.lit(None).cast("timestamp")
+    update = {
+        **{c: new(c) for c in ("entity_type", "geom", "confidence")},
+        "attrs": json_merge(old("attrs"), new("attrs")),
+        "bbox_country": keep_old(new("bbox_country"), old("bbox_country")),
+        "last_seen_at": now,
+        **({"removed_at": never} if soft_delete else {}),
+    }
+    given = [*KEY, "entity_type", "geom", "attrs", "bbox_country", "confidence"]
+    insert = {**{c: new(c) for c in given}, "last_seen_at": now, "created_at": now, "removed_at": never}
+    same_key = (old("source") == new("source")) & (old("source_id") == new("source_id"))
+    changes.mergeInto(table, same_key).whenMatched().update(update).whenNotMatched().insert(insert).merge()
+
+
 def write_jdbc(df: DataFrame, url: str, table: str, **options: str) -> None:
     """Append to a staging table of a database; merging it is left to the database."""
     writer = df.write.format("jdbc").mode("append").option("url", url).option("dbtable", table)
