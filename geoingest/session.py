@@ -16,6 +16,8 @@ def build_session(app: str = "geoingest", master: str | None = None, **conf: str
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
+        # A payload that repeats a key is still a payload; its last value counts.
+        .config("spark.sql.variant.allowDuplicateKeys", "true")
     )
     if master:
         builder = builder.master(master)

@@ -53,7 +53,7 @@ def test_json_merge(spark, old, new, merged):
 
 
 def test_json_object_check(spark):
-    for text, ok in [("{}", True), (' {"a":1}', True), ("[1]", False), ("1", False), ("{bad", False), (None, False)]:
+    for text, ok in [("{}", True), (' {"a":1}', True), ("[1]", False), ("1", False), ("{bad", False), (None, False), ('{"a":1,"a":2}', True)]:
         assert one(spark, text, is_json_object(X)) is ok
 
 

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from geoingest import (
     Target,
     build_session,
+    drop_repeated,
     enrich_tracks,
     entity_table,
     failure_table,
@@ -258,6 +259,21 @@ def test_stream_carries_new_files_and_replays_safely(spark, tmp_path):
     assert [(r["rows_added"], r["rows_updated"]) for r in log] == [(2, 0), (0, 1)]
 
 
+def test_repeated_records_are_dropped_within_event_time(spark, tmp_path):
+    kind = "source string, source_id string, fetched_at timestamp"
+    batch = lambda *items: spark.createDataFrame(
+        [("s", k, t) for k, t in items], "source string, source_id string, fetched_at string"
+    ).selectExpr("source", "source_id", "CAST(fetched_at AS TIMESTAMP) AS fetched_at")
+    batch(("a", "2024-01-01 00:00:00"), ("a", "2024-01-01 01:00:00"), ("b", "2024-01-01 02:00:00")).write.parquet(f"{tmp_path}/in")
+    arrivals = spark.readStream.schema(kind).parquet(f"{tmp_path}/in")
+    query = (
+        drop_repeated(arrivals).writeStream.format("parquet").option("checkpointLocation", f"{tmp_path}/ck")
+        .trigger(availableNow=True).start(f"{tmp_path}/out")
+    )
+    query.awaitTermination()
+    assert sorted(r["source_id"] for r in rows(spark.read.parquet(f"{tmp_path}/out"))) == ["a", "b"]
+
+
 def test_session_helpers(spark):
     assert build_session("again").conf.get("spark.sql.session.timeZone") == "UTC"
     assert checkpoint_dir(spark) == spark.conf.get("spark.checkpoint.dir")
