@@ -15,7 +15,8 @@ _EDGE_SPACE = r"(?U)^[\s ]+|[\s ]+$"
 # Elements whose content is not page text.
 _HIDDEN = r"(?is)<(script|style|template|rt|rp)\b[^>]*>.*?(?:</\1\s*>|\z)"
 _COMMENT = r"(?s)<!--.*?(?:-->|\z)"
-_TAG = r"""</?[A-Za-z](?:[^>"']++|"[^"]*+"|'[^']*+')*+>|<[/!?A-Za-z][^>]*>"""
+# A quote opens a value only behind an equals sign, elsewhere it is an ordinary character.
+_TAG = r"""</?[A-Za-z](?:[^>=]++|=\s*+"[^"]*+"|=\s*+'[^']*+'|=)*+>|<[/!?][^>]*>"""
 _ENTITY = r"^(#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|[A-Za-z][A-Za-z0-9]*);"
 
 
@@ -55,9 +56,15 @@ def unescape_entities(text: Column) -> Column:
     return F.when(text.contains("&"), decoded).otherwise(text)
 
 
+def _visible(html: Column) -> Column:
+    """Markup without comments and without elements whose content is no text."""
+    c = F.translate(F.coalesce(html, F.lit("")), _BREAK, "")
+    return F.regexp_replace(F.regexp_replace(c, _COMMENT, _BREAK), _HIDDEN, _BREAK)
+
+
 def html_title(html: Column) -> Column:
     """Stripped text of the first title, ``''`` without one."""
-    inner = F.regexp_extract(F.coalesce(html, F.lit("")), r"(?is)<title\b[^>]*>(.*?)</title\s*>", 1)
+    inner = F.regexp_extract(_visible(html), r"(?is)<title\b[^>]*>(.*?)</title\s*>", 1)
     return F.regexp_replace(unescape_entities(inner), _EDGE_SPACE, "")
 
 
@@ -67,11 +74,9 @@ def html_text(html: Column) -> Column:
     Scripts, styles, templates, ruby annotations, comments and declarations are no text. This reads
     markup by pattern, so unlike a document parser it does not repair broken markup.
     """
-    c = F.translate(F.coalesce(html, F.lit("")), _BREAK, "")
-    for pattern in (_COMMENT, _HIDDEN, _TAG):
-        c = F.regexp_replace(c, pattern, _BREAK)
+    marked = F.regexp_replace(_visible(html), _TAG, _BREAK)
     nodes = F.transform(
-        F.split(c, _BREAK), lambda n: F.regexp_replace(unescape_entities(n), _EDGE_SPACE, "")
+        F.split(marked, _BREAK), lambda n: F.regexp_replace(unescape_entities(n), _EDGE_SPACE, "")
     )
     return F.array_join(F.filter(nodes, lambda n: n != ""), "\n")
 

@@ -119,9 +119,16 @@ def backoff_interval(
 
 
 def rate_stats(
-    log: DataFrame, *, rate_per_sec: float = 2.0, burst: int = 4, group: str = "source", tie: str | None = None
+    log: DataFrame,
+    *,
+    rate_per_sec: float = 2.0,
+    burst: int = 4,
+    group: str = "source",
+    tie: str | None = None,
+    now: Column | None = None,
 ) -> DataFrame:
-    """Status counts next to the pacing state of each source."""
+    """Status counts next to the pacing state of each source, stamped with ``now`` when it is given."""
+    stamp = [] if now is None else [F.date_format(now, "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("ts")]
     pace = backoff_interval(log, base_interval=1.0 / rate_per_sec, group=group, tie=tie)
     return (
         status_count_map(log, group=group)
@@ -133,6 +140,7 @@ def rate_stats(
             F.round("current_interval_s", 4).alias("current_interval_s"),
             (F.col("current_interval_s") > (1.0 / rate_per_sec) * 1.05).alias("backoff_active"),
             "by_status",
+            *stamp,
         )
     )
 

@@ -166,8 +166,7 @@ SELECT geo.k, coalesce(cc, 'unknown') AS country FROM geo LEFT JOIN hit USING (k
 def country_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Points classified with a box table by a grid-cell join."""
     points = geo_orders(spark, sf_dir).where(is_valid(F.col("lat"), F.col("lon"))).select("k", "lat", "lon")
-    table(spark, sf_dir, "nation").createOrReplaceTempView("_geoingest_nation")
-    boxes = spark.sql(f"SELECT {_BOX} FROM _geoingest_nation")
+    boxes = spark.sql(f"SELECT {_BOX} FROM {{nation}}", nation=table(spark, sf_dir, "nation"))
     return join_country(points, boxes, key="k").select("k", "country")
 
 

@@ -95,9 +95,9 @@ _FETCH = f"""event_id, ts, user_id, event_type, props,
 
 def fetch_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events as attempts of a fetcher."""
-    events = table(spark, sf_dir, "events")
-    events.createOrReplaceTempView("_geoingest_events")
-    return spark.sql(f"SELECT {_FETCH.format(div='div')} FROM _geoingest_events")
+    return spark.sql(
+        f"SELECT {_FETCH.format(div='div')} FROM {{events}}", events=table(spark, sf_dir, "events")
+    )
 
 
 FETCH_SQL = f"fetchlog AS (SELECT {_FETCH.format(div='//')} FROM events)"

@@ -101,11 +101,11 @@ def test_backoff_equals_a_sequential_fold_of_a_crowded_source(spark):
 def test_rate_stats(spark, tmp_path):
     df = log(spark, ("s", 0, 200), ("s", 1, 200), ("s", 2, 429), ("t", 0, 200))
     assert {r["source"]: r["by_status"] for r in rows(status_count_map(df))} == {"s": {"200": 2, "429": 1}, "t": {"200": 1}}
-    stats = rate_stats(df, rate_per_sec=2.0, tie="event_id")
+    stats = rate_stats(df, rate_per_sec=2.0, tie="event_id", now=at("2024-01-01 10:00:00"))
     got = {r["source"]: (r["current_interval_s"], r["backoff_active"]) for r in rows(stats)}
     assert got == {"s": (1.0, True), "t": (0.5, False)}
     write_rate_stats(stats, str(tmp_path / "stats"))
-    assert spark.read.json(str(tmp_path / "stats")).count() == 2
+    assert {r["ts"] for r in rows(spark.read.json(str(tmp_path / "stats")))} == {"2024-01-01T10:00:00Z"}
 
 
 def mirrors(spark, *events):

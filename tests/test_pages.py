@@ -24,6 +24,10 @@ X = F.col("x")
         ("one\ntwo<br>three", "", "one\ntwo\nthree"),
         ("1 < 2 and 3 > 2", "", "1 < 2 and 3 > 2"),
         ("&#0; &#xD800; &#1114112;", "", "� � �"),
+        ("<a title=don't>one</a><a title=isn't>two</a>", "", "one\ntwo"),
+        ('<a title="open>one</a> two', "", "one\ntwo"),
+        ("<br/><hr />one<img src = 'a>b' alt=\"c>d\">two", "", "one\ntwo"),
+        ("<!-- <title>no</title> --><script>'<title>no</title>'</script><title>yes</title>", "yes", "yes"),
         (None, "", ""),
     ],
 )
