@@ -32,7 +32,7 @@ from geoingest.operators.runlog import (
     run_summary,
     source_health,
 )
-from geoingest.plans.ingest import RunResult, Target, run_ingest
+from geoingest.plans.ingest import RunResult, Target, landed_reader, run_ingest
 from geoingest.session import build_session, checkpoint_dir
 from geoingest.sinks.tables import (
     VersionedTable,

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from geoingest.functions.text import error_text, persist_error
 from geoingest.operators.enrich import enrich
 from geoingest.operators.failures import record_failures
+from geoingest.operators.fetchlog import select_response
 from geoingest.operators.merge import DO_UPDATE, invalid_reason, upsert_entities
 from geoingest.operators.normalize import normalize
 from geoingest.schemas import RUN_LOG
@@ -156,6 +157,27 @@ def fetch_error(df: DataFrame, message: Column) -> DataFrame:
     return df.withColumn("_error", error_text("fetch", F.lit("RuntimeError"), message))
 
 
+def landed_reader(log: DataFrame, parse: Callable[..., DataFrame], **options) -> Stage:
+    """Reader of locators whose responses are in a fetch log.
+
+    ``parse`` is a source such as ``html_records`` or ``json_records``. The first successful attempt of
+    each locator is parsed; a locator without one is a fetch failure.
+    """
+    chosen, _ = select_response(log)
+    responses = chosen.withColumnRenamed("url", "value").withColumn("_landed", F.lit(True))
+
+    def reader(locators: DataFrame) -> DataFrame:
+        rows = locators.select("value", "_pos").join(responses, "value", "left")
+        parsed = parse(rows.where("_landed").drop("_landed"), url="value", keep_failed=True, **options)
+        message = F.concat(F.lit("all strategies exhausted for "), F.col("value"))
+        lost = fetch_error(rows.where("_landed is null"), message)
+        return parsed.unionByName(
+            lost.select("_pos", F.col("value").alias("_locator"), "_error"), allowMissingColumns=True
+        )
+
+    return reader
+
+
 def _with_missing(locators: DataFrame, raw: DataFrame) -> DataFrame:
     missing = locators.join(raw.select("_pos"), "_pos", "left_anti").select(
         "_pos", F.col("value").alias("_locator"), F.lit(NO_RECORD).alias("_error")

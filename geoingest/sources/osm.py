@@ -12,6 +12,7 @@ from geoingest.functions.text import QUERY_ID_LIMIT, clip, stable_id
 from geoingest.sources.html import body_text
 from geoingest.sources.record import to_raw_records
 
+# Fixed value: every record names this service as its origin.
 OSM_BASE_URL = "https://maps.mail.ru/osm/tools/overpass/api/interpreter"
 
 

@@ -14,6 +14,9 @@ from geoingest import (
     entity_table,
     failure_table,
     gpx_records,
+    html_records,
+    json_records,
+    landed_reader,
     read_entities,
     read_failures,
     read_run_log,
@@ -154,6 +157,31 @@ def test_gpx_through_a_run(spark, tmp_path):
     assert e["entity_type"] == "raw" and e["geom"] == '{"type":"Point","coordinates":[24.0,49.8]}'
 
 
+def test_landed_responses_through_a_run(spark, tmp_path):
+    log = spark.createDataFrame(
+        [
+            ("u1", 1, 0, 500, b"down"), ("u1", 2, 0, 200, b'{"a":1}'), ("u2", 1, 0, 200, b"<html>"),
+            ("u3", 1, 0, 503, b"{}"), ("u9", 1, 0, 200, b"{}"),
+        ],
+        "url string, attempt int, strategy_rank int, status int, body binary",
+    )
+    table, failures = entity_table(spark, f"{tmp_path}/e"), failure_table(spark, f"{tmp_path}/f")
+    r = run_ingest(
+        spark, locators(spark, "u1", "u2", "u3", "u4"), landed_reader(log, json_records), source_name="feed",
+        now=at(NOW), targets=[Target(table)], failures=failures,
+    )
+    assert counts(r) == (4, 1, 0, 3, 0)
+    (e,) = rows(table.read())
+    assert e["source_id"] == "u1" and json.loads(e["attrs"])["json"] == {"a": 1}
+    got = {f["source_id"]: f["failure_detail"] for f in rows(failures.read())}
+    lost = "fetch: RuntimeError: all strategies exhausted for "
+    assert got == {"u2": "adapter_returned_none", "u3": lost + "u3", "u4": lost + "u4"}
+    pages = run_ingest(
+        spark, locators(spark, "u2", "u3"), landed_reader(log, html_records), source_name="html", now=at(NOW)
+    )
+    assert counts(pages) == (2, 1, 0, 1, 0)
+
+
 def test_failure_table_counts_attempts(spark):
     kind = ("source string, source_id string, text string, raw_ref string, coord_hint struct<lat:double,lon:double>, "
             "stage string, detail string, _pos long")
