@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from geoingest.llm import language_id  # noqa: F401
+from geoingest.llm import exact_dedup, language_id  # noqa: F401
 from geoingest.llm.registry import ORACLE, QUERIES, QueryFn
 
 
