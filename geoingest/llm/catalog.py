@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from geoingest.llm import exact_dedup, language_id, pieces, simhash  # noqa: F401
+from geoingest.llm import exact_dedup, language_id, mixing, pieces, simhash  # noqa: F401
 from geoingest.llm.registry import ORACLE, QUERIES, QueryFn
 
 

@@ -21,7 +21,6 @@ import struct
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import sentencepiece
 import xxhash
@@ -39,8 +38,10 @@ MARK = "▁"
 MODEL = "piece_bpe_32k.model"
 #: A block ends with the row that takes it past one of these; its chunks go to owners in messages.
 BLOCK_BYTES, BLOCK_ROWS = 16 << 20, 20_000
-#: Blocks that share one owner's hash range, at 100 or so kB a message; the number of owners is bounded.
+#: Text per owner of a hash range, and the bounds of the number of owners.
 TEXT_PER_OWNER, LEAST_OWNERS, MOST_OWNERS = 16 << 20, 12, 1 << 14
+#: An owner starts its table anew beyond so many chunks, and reads so many messages at a time.
+OWNER_CHUNKS, MESSAGES_AT_ONCE = 1_000_000, 64
 #: Rows of a block whose ids are in hand at once.
 IDS_AT_ONCE = 2_000_000
 
@@ -169,27 +170,43 @@ def _read_message(code: bytes) -> tuple[np.ndarray, list[str]]:
     return places, words
 
 
+class _Table:
+    """An owner's table of distinct chunks: place by chunk, and their ids one after the other."""
+
+    def __init__(self, path: str) -> None:
+        self.path, self.known = path, {}
+        self.counts, self.flat = np.zeros(0, np.int64), np.zeros(0, np.int32)
+
+    def add(self, words: list[str]) -> None:
+        if len(self.known) > OWNER_CHUNKS:
+            self.__init__(self.path)
+        new = list({w: None for w in words if w not in self.known})
+        ids = segment(self.path, new)
+        self.known.update(zip(new, range(len(self.known), len(self.known) + len(new))))
+        self.counts = np.concatenate([self.counts, np.fromiter(map(len, ids), np.int64, len(ids))])
+        self.flat = np.concatenate([self.flat, np.fromiter((x for one in ids for x in one), np.int32)])
+
+    def answer(self, places: np.ndarray, words: list[str]) -> bytes:
+        index = np.fromiter(map(self.known.__getitem__, words), np.int64, len(words))
+        starts = np.cumsum(self.counts) - self.counts
+        return _pack(places, self.counts[index], _gather(self.flat, starts, self.counts, index))
+
+
 def _answers(path: str):
-    """An owner's messages to answers: for each chunk number of the block its count of ids, and the ids."""
-
-    def run(messages: pd.DataFrame) -> pd.DataFrame:
-        known: dict[str, int] = {}
-        read = [_read_message(code) for code in messages["code"]]
-        for _, words in read:
-            for w in words:
-                known.setdefault(w, len(known))
-        every, counts, flat = list(known), [], []
-        for at in range(0, len(every), 20_000):
-            ids = segment(path, every[at : at + 20_000])
-            counts.append(np.fromiter(map(len, ids), np.int32, len(ids)))
-            flat.append(np.fromiter((x for one in ids for x in one), np.int32))
-        counts, flat = np.concatenate(counts), np.concatenate(flat)
-        ends = np.cumsum(counts, dtype=np.int64)
-        out = []
-        for places, words in read:
-            index = np.fromiter(map(known.__getitem__, words), np.int64, len(words))
-            out.append(_pack(places, counts[index], _gather(flat, ends - counts, counts, index)))
-        return pd.DataFrame({"block": messages["block"], "answer": out})
+    """Messages, those of an owner together, to answers: chunk numbers of the block, their counts of ids, the ids."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table, owner = _Table(path), None
+        for batch in batches:
+            of = batch.column("owner").to_pylist()
+            for at in range(0, len(of), MESSAGES_AT_ONCE):
+                read = [_read_message(c.as_py()) for c in batch.column("code")[at : at + MESSAGES_AT_ONCE]]
+                if of[at] != owner:
+                    table, owner = _Table(path), of[at]
+                table.add([w for _, words in read for w in words])
+                answers = [table.answer(places, words) for places, words in read]
+                blocks = batch.column("block")[at : at + MESSAGES_AT_ONCE]
+                yield pa.RecordBatch.from_arrays([blocks, pa.array(answers, pa.binary())], ["block", "answer"])
 
     return run
 
@@ -263,7 +280,8 @@ def encode_and_decode(df: DataFrame, model_path: str, text_col: str = "text", ca
     ])
     cut = staged(rows.mapInArrow(_blocks(int(owners), to_arrow_schema(schema)), schema), "chunk-blocks", "kind")
     messages = cut.where("kind = 1").select("owner", "block", F.col("body").alias("code"))
-    answers = messages.groupBy("owner").applyInPandas(_answers(model_path), "block long, answer binary")
+    dealt = messages.repartition("owner").sortWithinPartitions("owner")
+    answers = dealt.mapInArrow(_answers(model_path), "block long, answer binary")
     answered = answers.groupBy("block").agg(F.collect_list("answer").alias("answers"))
     blocks = cut.where("kind = 0").select("block", "body", "rows").join(answered, "block", "left")
     result = T.StructType([
