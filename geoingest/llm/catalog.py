@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from geoingest.llm import exact_dedup, language_id, mixing, pieces, secret_scan, simhash, topk, url_filter  # noqa: F401
+from geoingest.llm import exact_dedup, html_text, language_id, mixing, pieces, secret_scan, simhash, topk, url_filter  # noqa: F401
 from geoingest.llm.registry import ORACLE, QUERIES, QueryFn
 
 
