@@ -9,8 +9,9 @@ import pytest
 
 from __spark_entry__ import entry, oracle_sql, queries
 from conftest import TESTDATA
+from geoingest.plans.catalog import all_queries, all_sql
 
-QUERIES, SQL = queries(), oracle_sql()
+QUERIES, SQL = all_queries(), all_sql()
 
 
 @pytest.fixture(scope="module")
@@ -48,6 +49,10 @@ def test_query_matches_sql(spark, duck, name):
     assert got, "the query must have rows to compare"
 
 
+def test_entry_offers_all_queries():
+    assert set(QUERIES) <= set(queries()) and set(SQL) <= set(oracle_sql())
+
+
 def test_entry(spark):
     assert entry(spark).count() > 0
 
