@@ -28,6 +28,16 @@ def staged(df: DataFrame, name: str, *partition_by: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def staged_by(df: DataFrame, name: str, key: str, *partition_by: str) -> DataFrame:
+    """As :func:`staged`, in buckets of ``key``: a join on it leaves these rows where they lie."""
+    spark = df.sparkSession
+    table = f"llm_{name.replace('-', '_')}_{uuid4().hex}"
+    writer = df.write.format("parquet").option("compression", "zstd").option("path", staging_path(spark, name))
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    (writer.partitionBy(*partition_by) if partition_by else writer).bucketBy(buckets, key).saveAsTable(table)
+    return spark.table(table)
+
+
 def packed(df: DataFrame, **more: Column) -> DataFrame:
     """The whole row as one struct ``row`` beside working columns, so that no name can clash."""
     row = F.struct(*[df[f"`{c}`"].alias(c) for c in df.columns]) if df.columns else F.struct()

@@ -31,13 +31,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from geoingest.llm.common import packed, staged
+from geoingest.llm.common import staged_by
 from geoingest.llm.registry import query, table
 
 MARK = "▁"
 MODEL = "piece_bpe_32k.model"
 #: A block ends with the row that takes it past one of these; its chunks go to owners in messages.
-BLOCK_BYTES, BLOCK_ROWS = 16 << 20, 20_000
+BLOCK_BYTES, BLOCK_ROWS = 32 << 20, 40_000
 #: Text per owner of a hash range, and the bounds of the number of owners.
 TEXT_PER_OWNER, LEAST_OWNERS, MOST_OWNERS = 16 << 20, 12, 1 << 14
 #: An owner starts its table anew beyond so many chunks, and reads so many messages at a time.
@@ -73,17 +73,21 @@ def segment(path: str, chunks: list[str]) -> list[list[int]]:
 
 
 def _pack(*arrays: np.ndarray) -> bytes:
-    """Arrays of int32, compressed together."""
+    """Arrays of whole numbers below 2^31, byte plane by byte plane, compressed together."""
     head = struct.pack(f"<{len(arrays) + 1}q", len(arrays), *map(len, arrays))
-    return zstandard.compress(head + b"".join(a.astype("<i4").tobytes() for a in arrays), 1)
+    planes = (a.astype("<u4").view(np.uint8).reshape(-1, 4).T.tobytes() for a in arrays)
+    return zstandard.compress(head + b"".join(planes), 3)
 
 
 def _unpack(code: bytes) -> list[np.ndarray]:
     raw = zstandard.decompress(code)
     n = struct.unpack_from("<q", raw)[0]
-    lengths = struct.unpack_from(f"<{n}q", raw, 8)
-    flat = np.frombuffer(raw, dtype="<i4", offset=8 * (n + 1))
-    return np.split(flat, np.cumsum(lengths)[:-1])
+    at, out = 8 * (n + 1), []
+    for length in struct.unpack_from(f"<{n}q", raw, 8):
+        planes = np.frombuffer(raw, dtype=np.uint8, count=4 * length, offset=at).reshape(4, length)
+        out.append(np.ascontiguousarray(planes.T).view("<u4").reshape(-1).astype(np.int64))
+        at += 4 * length
+    return out
 
 
 class _Block:
@@ -110,30 +114,28 @@ def _blocks(owners: int, schema: pa.Schema):
     """Batches of ``row, text`` to block rows (kind 0) and chunk messages (kind 1)."""
 
     def given(block: _Block, number: int) -> Iterator[pa.RecordBatch]:
-        lengths = np.array([len(n) for n in block.numbers], dtype=np.int32)
-        body = _pack(lengths, np.concatenate(block.numbers))
+        # Each owner's chunks in order: the text compresses well, and places need not travel.
+        dealt: list[list[str]] = [[] for _ in range(owners)]
+        for chunk in sorted(block.ids):
+            dealt[xxhash.xxh32_intdigest(chunk.encode()) % owners].append(chunk)
+        places = np.fromiter((block.ids[c] for words in dealt for c in words), np.int64, len(block.ids))
+        sizes = np.array([len(words) for words in dealt])
+        lengths = np.array([len(n) for n in block.numbers])
         of = pa.concat_arrays(block.rows).cast(schema.field("rows").type.value_type)
         yield pa.RecordBatch.from_arrays(
             [
                 pa.array([number], pa.int64()),
                 pa.array([-1], pa.int32()),
-                pa.array([body], pa.binary()),
+                pa.array([_pack(lengths, np.concatenate(block.numbers), sizes, places)], pa.binary()),
                 pa.ListArray.from_arrays(pa.array([0, len(of)], pa.int32()), of).cast(schema.field("rows").type),
                 pa.array([0], pa.int32()),
             ],
             schema=schema,
         )
-        dealt: list[tuple[list[str], list[int]]] = [([], []) for _ in range(owners)]
-        for chunk, n in block.ids.items():
-            words, places = dealt[xxhash.xxh32_intdigest(chunk.encode()) % owners]
-            words.append(chunk)
-            places.append(n)
-        for owner, (words, places) in enumerate(dealt):
+        for owner, words in enumerate(dealt):
             if words:
-                text = "".join(words).encode()
-                lengths = np.fromiter(map(len, words), np.int32, len(words))
-                head = _pack(np.array(places, dtype=np.int32), lengths)
-                code = struct.pack("<q", len(head)) + head + zstandard.compress(text, 1)
+                head = _pack(np.fromiter(map(len, words), np.int64, len(words)))
+                code = struct.pack("<q", len(head)) + head + zstandard.compress("".join(words).encode(), 6)
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array([number], pa.int64()),
@@ -160,14 +162,11 @@ def _blocks(owners: int, schema: pa.Schema):
     return run
 
 
-def _read_message(code: bytes) -> tuple[np.ndarray, list[str]]:
+def _read_message(code: bytes) -> list[str]:
     size = struct.unpack_from("<q", code)[0]
-    places, lengths = _unpack(code[8 : 8 + size])
-    text, at, words = zstandard.decompress(code[8 + size :]).decode(), 0, []
-    for n in lengths.tolist():
-        words.append(text[at : at + n])
-        at += n
-    return places, words
+    ends = np.cumsum(_unpack(code[8 : 8 + size])[0]).tolist()
+    text = zstandard.decompress(code[8 + size :]).decode()
+    return [text[a:b] for a, b in zip([0, *ends], ends)]
 
 
 class _Table:
@@ -186,14 +185,14 @@ class _Table:
         self.counts = np.concatenate([self.counts, np.fromiter(map(len, ids), np.int64, len(ids))])
         self.flat = np.concatenate([self.flat, np.fromiter((x for one in ids for x in one), np.int32)])
 
-    def answer(self, places: np.ndarray, words: list[str]) -> bytes:
+    def answer(self, words: list[str]) -> bytes:
         index = np.fromiter(map(self.known.__getitem__, words), np.int64, len(words))
         starts = np.cumsum(self.counts) - self.counts
-        return _pack(places, self.counts[index], _gather(self.flat, starts, self.counts, index))
+        return _pack(self.counts[index], _gather(self.flat, starts, self.counts, index))
 
 
 def _answers(path: str):
-    """Messages, those of an owner together, to answers: chunk numbers of the block, their counts of ids, the ids."""
+    """Messages, those of an owner together, to answers: the chunks' counts of ids, and the ids, in the message's order."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table, owner = _Table(path), None
@@ -202,11 +201,11 @@ def _answers(path: str):
             for at in range(0, len(of), MESSAGES_AT_ONCE):
                 read = [_read_message(c.as_py()) for c in batch.column("code")[at : at + MESSAGES_AT_ONCE]]
                 if of[at] != owner:
-                    table, owner = _Table(path), of[at]
-                table.add([w for _, words in read for w in words])
-                answers = [table.answer(places, words) for places, words in read]
-                blocks = batch.column("block")[at : at + MESSAGES_AT_ONCE]
-                yield pa.RecordBatch.from_arrays([blocks, pa.array(answers, pa.binary())], ["block", "answer"])
+                    table, owner = _Table(path), of[at]  # the rest of the former owner's may join it
+                table.add([w for words in read for w in words])
+                answers = [table.answer(words) for words in read]
+                asked = [batch.column(c)[at : at + MESSAGES_AT_ONCE] for c in ("block", "owner")]
+                yield pa.RecordBatch.from_arrays([*asked, pa.array(answers, pa.binary())], ["block", "owner", "answer"])
 
     return run
 
@@ -223,17 +222,19 @@ def _gather(flat: np.ndarray, starts: np.ndarray, counts: np.ndarray, index: np.
 def _decoded(path: str, result: pa.Schema):
     """Blocks with their answers to ``row, ids, decoded``."""
 
-    def one(body: bytes, rows: pa.Array, answers: list[bytes]) -> Iterator[pa.RecordBatch]:
-        lengths, numbers = _unpack(body)
-        parts = [_unpack(a) for a in answers]
-        flat = np.concatenate([p[2] for p in parts]) if parts else np.zeros(0, np.int32)
-        counts = np.zeros(sum(len(p[0]) for p in parts), np.int64)
+    def one(body: bytes, rows: pa.Array, answers: list[dict]) -> Iterator[pa.RecordBatch]:
+        lengths, numbers, sizes, places = _unpack(body)
+        of_owner = np.split(places, np.cumsum(sizes)[:-1])
+        counts = np.zeros(len(places), np.int64)
         starts = np.zeros_like(counts)
-        before = 0
-        for places, n, ids in parts:
-            ends = np.cumsum(n, dtype=np.int64)
-            counts[places], starts[places] = n, before + ends - n
+        parts, before = [], 0
+        for answer in answers:
+            n, ids = _unpack(answer["answer"])
+            at = of_owner[answer["owner"]]
+            counts[at], starts[at] = n, before + np.cumsum(n) - n
+            parts.append(ids.astype(np.int32))
             before += len(ids)
+        flat = np.concatenate(parts) if parts else np.zeros(0, np.int32)
         bounds = np.concatenate([[0], np.cumsum(lengths, dtype=np.int64)])
         at = 0
         while at < len(lengths):
@@ -278,11 +279,13 @@ def encode_and_decode(df: DataFrame, model_path: str, text_col: str = "text", ca
         T.StructField("rows", T.ArrayType(rows.schema["row"].dataType)),
         T.StructField("kind", T.IntegerType()),
     ])
-    cut = staged(rows.mapInArrow(_blocks(int(owners), to_arrow_schema(schema)), schema), "chunk-blocks", "kind")
+    # Bodies are large: they stay in the buckets of their blocks, and only chunks and answers are shuffled.
+    cut = staged_by(rows.mapInArrow(_blocks(int(owners), to_arrow_schema(schema)), schema), "chunk-blocks", "block", "kind")
     messages = cut.where("kind = 1").select("owner", "block", F.col("body").alias("code"))
     dealt = messages.repartition("owner").sortWithinPartitions("owner")
-    answers = dealt.mapInArrow(_answers(model_path), "block long, answer binary")
-    answered = answers.groupBy("block").agg(F.collect_list("answer").alias("answers"))
+    answers = dealt.mapInArrow(_answers(model_path), "block long, owner int, answer binary")
+    # One answer per owner and block: as much as the block's own chunks.
+    answered = answers.groupBy("block").agg(F.collect_list(F.struct("owner", "answer")).alias("answers"))
     blocks = cut.where("kind = 0").select("block", "body", "rows").join(answered, "block", "left")
     result = T.StructType([
         T.StructField("row", rows.schema["row"].dataType),
