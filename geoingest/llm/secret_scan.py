@@ -22,7 +22,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
-from geoingest.llm.common import join_groups, small_broadcast, staged, staging_path
+from geoingest.llm.common import join_groups, staged, staging_path
 from geoingest.llm.registry import query, table
 
 
@@ -112,7 +112,7 @@ def update_ledger(df: DataFrame, blobs: DataFrame, ledger: str, text: Column, ke
     left = F.array_except(F.array(*[F.lit(r.name) for r in rules]), F.coalesce("seen", F.array().cast("array<string>")))
     todo = staged(wanted.join(seen, "blob", "left").withColumn("todo", left).where("size(todo) > 0").drop("seen"), "blobs-to-scan")
     texts = df.select(text.alias("text"), key.alias("key")).withColumn("blob", F.sha2("text", 256))
-    chosen = texts.join(small_broadcast(todo), ["blob", "key"])
+    chosen = texts.join(todo, ["blob", "key"])
     scan(chosen.select("blob", "text", "todo"), rules).write.mode("append").parquet(ledger)
 
 
@@ -138,9 +138,8 @@ def scan_secrets(
 
 def _paths(df: DataFrame, text: Column, key: Column, text_col: str) -> DataFrame:
     """Every path's row without its text, the blob and a key to fetch the text by."""
-    rest = df.select(*[F.col(f"`{c}`") for c in df.columns if c != text_col], text.alias("_text"), key.alias("_key"))
-    row = F.struct(*[rest[f"`{c}`"].alias(c) for c in df.columns if c != text_col]).alias("row")
-    return rest.select(row, F.sha2("_text", 256).alias("blob"), F.col("_key").alias("key"))
+    row = F.struct(*[F.col(f"`{c}`") for c in df.columns if c != text_col])
+    return df.select(row.alias("row"), F.sha2(text, 256).alias("blob"), key.alias("key"))
 
 
 def _sql_spans(rule: Rule) -> str:

@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from geoingest.llm.common import components, join_groups, packed, small_broadcast, staged, unpacked
+from geoingest.llm.common import components, join_groups, packed, staged, unpacked
 from geoingest.llm.registry import query, table
 
 MAX_BITS = 3
@@ -196,5 +196,5 @@ def simhash_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     apart = F.when(F.col("component_id").isNull(), F.col("print"))
     kept = narrow.where("id <=> component_id").groupBy("component_id", apart.alias("apart")).agg(F.min("place").alias("place"))
     kept = staged(kept.select("place"), "near-kept")
-    stay = rows.withColumn("place", place).join(small_broadcast(kept), "place", "left_semi")
+    stay = rows.withColumn("place", place).join(kept, "place", "left_semi")
     return unpacked(stay, docs.columns)
