@@ -279,7 +279,8 @@ def extract(df: DataFrame, html_col: str = "html", url_col: str = "url") -> Data
         lambda x: (x["ranks"] >= F.col("best")) & ~F.coalesce(F.array_contains(F.col("cut"), x["at"]), F.lit(False)),
     )
     text = F.array_join(F.transform(kept, lambda x: x["texts"]), " ")
-    return joined.withColumn("best", best).select(*[F.col("row").getField(c).alias(c) for c in columns], text.alias("text"))
+    told = joined.withColumn("best", best).select("row", text.alias("text"))
+    return told.select(*[F.col("row").getField(c).alias(c) for c in columns], "text")
 
 
 @query()

@@ -41,7 +41,7 @@ DOMAINS = ("web", "reference", "forum", "archive")
 
 def domain_of(source: Column) -> Column:
     """Domain of a numbered source: five in a row belong together."""
-    number = F.regexp_extract(source, r"(\d+)$", 1).cast("int")
+    number = F.regexp_extract(source, r"(\d+)$", 1).try_cast("int")
     found = F.lit("unknown")
     for i, name in enumerate(DOMAINS):
         found = F.when((number >= 5 * i) & (number < 5 * i + 5), F.lit(name)).otherwise(found)
@@ -72,13 +72,14 @@ def deal(children: DataFrame, parents: list[str], budget: str, capacity: str, we
     earlier = F.coalesce(F.sum(capacity).over(order.rowsBetween(W.unboundedPreceding, -1)), F.lit(0.0))
     weights = F.sum(weight).over(order.rowsBetween(W.currentRow, W.unboundedFollowing))
     rated = children.withColumn("_rate", (F.col(budget) - earlier) / weights).withColumn("_level", level)
-    # From the first child that the rate does not fill, all share what is left at that one rate.
-    first = F.min(F.when(F.col("_rate") < F.col("_level"), F.struct("_level", "_rate"))).over(w)
-    rated = rated.withColumn("_first", first)
-    share = F.when(F.col("_first").isNull() | (F.col("_level") < F.col("_first._level")), F.col(capacity))
-    return rated.withColumn(
-        out, F.greatest(F.least(share.otherwise(F.col("_first._rate") * F.col(weight)), F.col(capacity)), F.lit(0.0))
-    ).drop("_rate", "_level", "_first")
+    # From the first child that the rate does not fill, all share what is left at that one rate. Rates fall
+    # from there on, so it is the largest of them.
+    unfilled = F.col("_rate") < F.col("_level")
+    rated = rated.withColumn("_from", F.min(F.when(unfilled, F.col("_level"))).over(w))
+    rated = rated.withColumn("_at", F.max(F.when(unfilled, F.col("_rate"))).over(w))
+    share = F.when(F.col("_from").isNull() | (F.col("_level") < F.col("_from")), F.col(capacity))
+    share = share.otherwise(F.col("_at") * F.col(weight))
+    return rated.withColumn(out, F.greatest(F.least(share, F.col(capacity)), F.lit(0.0))).drop("_rate", "_level", "_from", "_at")
 
 
 def budgets(leaves: DataFrame, total: Column | None, max_epochs: int, weights: dict[str, Column]) -> DataFrame:
@@ -183,7 +184,7 @@ def _deal_sql(of: str, parents: str, budget: str, weight: str, out: str, names:
     return f"""
         SELECT *, greatest(least(CASE WHEN first IS NULL OR cap / {weight} < level1 THEN cap ELSE first * {weight} END, cap), 0) AS {out}
         FROM (SELECT *, min(level) FILTER (WHERE rate < level) OVER v AS level1,
-                     arg_min(rate, level) FILTER (WHERE rate < level) OVER v AS first
+                     max(rate) FILTER (WHERE rate < level) OVER v AS first
               FROM (SELECT *, cap / {weight} AS level,
                            ({budget} - coalesce(sum(cap) OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))
                            / sum({weight}) OVER (w ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS rate
