@@ -17,11 +17,12 @@ from __future__ import annotations
 import math
 import re
 from collections import Counter
+from collections.abc import Callable
 from dataclasses import dataclass, field
-from uuid import uuid4
 
 import numpy as np
 import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -138,13 +139,16 @@ def fit(words: dict[str, int]) -> Model:
 
 @dataclass
 class Identifier:
-    """The models with what calibration found. ``name`` keys the memory of a worker."""
+    """The models with what calibration found, and the words a worker has met."""
 
-    name: str
     langs: list[str]
     models: list[Model]
     sharpness: float = 0.2
     reach: dict[str, tuple[float, float, float]] = field(default_factory=dict)
+    memory: _Words | None = None
+
+    def __getstate__(self) -> dict:
+        return self.__dict__ | {"memory": None}
 
     def word_bits(self, words: list[str]) -> np.ndarray:
         """Rows: words; columns: bits under each language, then the number of predicted characters."""
@@ -166,14 +170,15 @@ class Identifier:
 
     def totals(self, texts: list[str | None]) -> np.ndarray:
         """Per text: bits under each language, characters, words."""
-        memory = _MEMORY.setdefault(self.name, _Words({}, np.zeros((1024, len(self.langs) + 1))))
+        if self.memory is None:
+            self.memory = _Words({}, np.zeros((1024, len(self.langs) + 1)))
         out = np.zeros((len(texts), len(self.langs) + 2))
         for at in range(0, len(texts), TEXTS_AT_ONCE):
             tallies = [Counter(words_of(t)) for t in texts[at : at + TEXTS_AT_ONCE]]
-            memory.add(self, tallies)
+            self.memory.add(self, tallies)
             for i, tally in enumerate(tallies, at):
                 if tally:
-                    rows = memory.bits[np.fromiter(map(memory.ids.__getitem__, tally), np.int64, len(tally))]
+                    rows = self.memory.bits[np.fromiter(map(self.memory.ids.__getitem__, tally), np.int64, len(tally))]
                     n = np.fromiter(tally.values(), np.float64, len(tally))
                     out[i, :-1], out[i, -1] = n @ rows, n.sum()
         return out
@@ -221,8 +226,17 @@ class _Words:
             self.ids.update(zip(part, range(n, n + len(part))))
 
 
-#: By the identifier's name.
-_MEMORY: dict[str, _Words] = {}
+def _shared(spark: SparkSession, found: Identifier) -> Callable[[], Identifier]:
+    """Broadcast the models, a bounded size by ``FIT_WORDS``, to tasks that open them once each."""
+    sent = spark.sparkContext.broadcast(cloudpickle.dumps(found))
+    kept: list[Identifier] = []
+
+    def opened() -> Identifier:
+        if not kept:
+            kept.append(cloudpickle.loads(sent.value))
+        return kept[0]
+
+    return opened
 
 
 def learn(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang", key_col: str = "doc_id") -> Identifier:
@@ -260,7 +274,7 @@ def learn(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang", k
     for r in summed.withColumn("rank", rank).where(F.col("rank") <= FIT_WORDS).collect():
         by_lang.setdefault(r["lang"], {})[r["word"]] = r["n"]
     langs = sorted(by_lang)
-    found = Identifier(uuid4().hex, langs, [fit(by_lang[lang]) for lang in langs])
+    found = Identifier(langs, [fit(by_lang[lang]) for lang in langs])
     if langs:
         _calibrate(spark, found, drawn.where("fold"))
     return found
@@ -268,11 +282,11 @@ def learn(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang", k
 
 def _calibrate(spark: SparkSession, found: Identifier, texts: DataFrame) -> None:
     """Reach of each language's own texts, and the sharpness with the best log loss."""
-    shared = spark.sparkContext.broadcast(found)
+    opened = _shared(spark, found)
 
     def total(batches):
         for batch in batches:
-            totals = shared.value.totals(batch.column("text").to_pylist())
+            totals = opened().totals(batch.column("text").to_pylist())
             yield pa.RecordBatch.from_arrays(
                 [batch.column("lang"), pa.array(totals.tolist(), pa.list_(pa.float64()))], ["lang", "totals"]
             )
@@ -310,11 +324,11 @@ _RESULT = "struct<lang_pred: string, score: double, cross_entropy: double, rejec
 
 def identify(df: DataFrame, found: Identifier, text_col: str = "text") -> DataFrame:
     """Add ``lang_pred``, ``score`` (0 to 1), ``cross_entropy`` (bits per character) and ``rejected``."""
-    shared = df.sparkSession.sparkContext.broadcast(found)
+    opened = _shared(df.sparkSession, found)
 
     @F.arrow_udf(_RESULT)
     def judged(texts: pa.Array) -> pa.Array:
-        langs, score, entropy, rejected = shared.value.judge(shared.value.totals(texts.to_pylist()))
+        langs, score, entropy, rejected = opened().judge(opened().totals(texts.to_pylist()))
         return pa.StructArray.from_arrays(
             [
                 pa.array(langs, pa.string()),

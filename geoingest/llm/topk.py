@@ -53,6 +53,15 @@ class Index:
             level = np.floor((values - values[0]) / width)
             self.cuts.append(np.concatenate([[0], np.flatnonzero(np.diff(level)) + 1, [len(values)]]))
 
+    def dumps(self) -> bytes:
+        return pickle.dumps((self.ids, self.vectors, self.order, self.cuts), 5)
+
+    @classmethod
+    def loads(cls, data: bytes) -> Index:
+        index = cls.__new__(cls)
+        index.ids, index.vectors, index.order, index.cuts = pickle.loads(data)
+        return index
+
     def search(self, own: int, q: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
         """Ids and scores of the ``k`` best, ties to the smaller id."""
         dims = min(len(q), self.vectors.shape[1])
@@ -119,7 +128,7 @@ def _matrix(vectors: pd.Series) -> np.ndarray:
 
 def _build(rows: pd.DataFrame) -> pd.DataFrame:
     index = Index(rows["vec_id"].to_numpy(), _matrix(rows["vector"]))
-    return pd.DataFrame({"shard": [rows["shard"].iloc[0]], "index": [pickle.dumps(index, 5)]})
+    return pd.DataFrame({"shard": [rows["shard"].iloc[0]], "index": [index.dumps()]})
 
 
 def _search(k: int):
@@ -128,7 +137,7 @@ def _search(k: int):
         for batch in batches:
             for at in range(batch.num_rows):
                 if batch.column("shard")[at].as_py() != shard:
-                    shard, index = batch.column("shard")[at].as_py(), pickle.loads(batch.column("index")[at].as_buffer())
+                    shard, index = batch.column("shard")[at].as_py(), Index.loads(batch.column("index")[at].as_buffer())
                 out: list[tuple[int, int, int, int]] = []
                 for q in batch.column("queries")[at].as_py():
                     ids, scores = index.search(q["vec_id"], np.array(q["vector"], dtype=np.int64), k)

@@ -52,7 +52,7 @@ def slow_bits(words, word):
 
 def test_model_is_interpolated_kneser_ney():
     words = {"the": 9, "then": 3, "than": 2, "hat": 1, "tea": 4, "eat": 1, "a": 5}
-    found = op.Identifier("test-kn", ["x"], [op.fit(words)])
+    found = op.Identifier(["x"], [op.fit(words)])
     asked = ["the", "that", "zoo", "a", "hathen"]
     assert np.allclose(found.word_bits(asked)[:, 0], [slow_bits(words, w) for w in asked])
     assert found.word_bits(asked)[:, 1].tolist() == [len(w) + 1 for w in asked]
@@ -76,6 +76,7 @@ def test_no_letters_and_noise(spark, learned):
 def test_memory_of_words_does_not_change_results(learned, monkeypatch):
     texts = [prose(i, 50) for i in range(30)]
     whole = learned.totals(texts)
+    learned.memory = None
     monkeypatch.setattr(op, "MEMORY_WORDS", 3)
     monkeypatch.setattr(op, "TEXTS_AT_ONCE", 4)
     monkeypatch.setattr(op, "WORDS_AT_ONCE", 2)
