@@ -42,63 +42,52 @@ def country_join(
     points: DataFrame,
     boxes: DataFrame,
     *,
-    key: str = "_pos",
     cell_deg: float = 1.0,
     max_broadcast_cells: int = 200_000,
     salt: int = 32,
 ) -> DataFrame:
-    """Classify ``points(lat, lon, <key>)`` with a user table ``boxes(cc, min_lat, min_lon, max_lat, max_lon, rank)``.
+    """Classify ``points(lat, lon)`` with a user table ``boxes(cc, min_lat, min_lon, max_lat, max_lon, rank)``.
 
-    Boxes are cut into grid cells, so this is an equi-join on the cell, never a nested loop. When the
-    cells fit the checked bound they are broadcast with their boxes in rank order, and a point is
-    classified without a shuffle. Beyond the bound the cells are replicated over ``salt`` values, the
-    points of a crowded cell are spread over the same values, and the lowest rank per point wins.
+    The box of lowest rank that holds the point counts, of equal rank the smaller country, then the smaller
+    bounds; each row is judged by its own point. Boxes are cut into grid cells, so this is an equi-join on
+    the cell, never a nested loop. When the cells fit the checked bound they are broadcast with their
+    boxes in order, and a point is classified without a shuffle. Beyond the bound each distinct point is
+    classified once: the cells are replicated over ``salt`` values, the points of a crowded cell are spread
+    over the same values, and the least box per point wins.
     """
-    # Clamp to the globe, so that one box makes a bounded number of cells.
-    span = lambda lo, hi, lim: F.sequence(
-        F.floor(F.greatest(F.col(lo), F.lit(-lim)) / cell_deg),
-        F.floor(F.least(F.col(hi), F.lit(lim)) / cell_deg),
-    )
-    overlaps = boxes.where(
-        (F.col("min_lat") <= F.col("max_lat"))
-        & (F.col("min_lon") <= F.col("max_lon"))
-        & (F.col("min_lat") <= 90)
-        & (F.col("max_lat") >= -90)
-        & (F.col("min_lon") <= 180)
-        & (F.col("max_lon") >= -180)
-    )
-    cells = overlaps.select(
-        "*", F.explode(span("min_lat", "max_lat", 90.0)).alias("_cy")
-    ).select("*", F.explode(span("min_lon", "max_lon", 180.0)).alias("_cx"))
-    located = points.withColumn("_cy", F.floor(F.col("lat") / cell_deg)).withColumn(
-        "_cx", F.floor(F.col("lon") / cell_deg)
-    )
-    n_cells = cells.limit(max_broadcast_cells + 1).count()
-    if n_cells <= max_broadcast_cells:
-        per_cell = cells.groupBy("_cy", "_cx").agg(
-            F.array_sort(
-                F.collect_list(F.struct("rank", "min_lat", "min_lon", "max_lat", "max_lon", "cc"))
-            ).alias("_boxes")
-        )
+    bounds = ["min_lat", "min_lon", "max_lat", "max_lon"]
+
+    # What lies beyond the globe shares the cells at its edge, for boxes and points alike: a box makes a
+    # bounded number of cells and still meets every point it holds.
+    def cell(x: Column, limit: float) -> Column:
+        return F.floor(F.least(F.greatest(x, F.lit(-limit)), F.lit(limit)) / cell_deg)
+
+    def span(lo: str, hi: str, limit: float) -> Column:
+        return F.sequence(cell(F.col(lo), limit), cell(F.col(hi), limit))
+
+    whole = boxes.where((F.col("min_lat") <= F.col("max_lat")) & (F.col("min_lon") <= F.col("max_lon")))
+    cells = whole.select("*", F.explode(span("min_lat", "max_lat", 90.0)).alias("_cy"))
+    cells = cells.select("*", F.explode(span("min_lon", "max_lon", 180.0)).alias("_cx"))
+    cy, cx = cell(F.col("lat"), 90.0).alias("_cy"), cell(F.col("lon"), 180.0).alias("_cx")
+    if cells.limit(max_broadcast_cells + 1).count() <= max_broadcast_cells:
+        per_cell = cells.groupBy("_cy", "_cx").agg(F.array_sort(F.collect_list(F.struct("rank", "cc", *bounds))).alias("_boxes"))
         hit = F.filter(
             F.col("_boxes"),
             lambda b: F.col("lat").between(b["min_lat"], b["max_lat"])
             & F.col("lon").between(b["min_lon"], b["max_lon"]),
         )
         return (
-            located.join(F.broadcast(per_cell), ["_cy", "_cx"], "left")
+            points.select("*", cy, cx)
+            .join(F.broadcast(per_cell), ["_cy", "_cx"], "left")
             .withColumn("country", F.coalesce(let(hit, lambda h: F.get(h, F.lit(0))["cc"]), F.lit(UNKNOWN)))
             .drop("_boxes", "_cy", "_cx")
         )
     salted_cells = cells.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salt - 1))))
-    salted = located.withColumn("_salt", F.pmod(F.xxhash64(key), F.lit(salt)).cast("int"))
+    asked = points.where("lat is not null and lon is not null").select("lat", "lon").distinct()
+    salted = asked.select("*", cy, cx, F.pmod(F.xxhash64("lat", "lon"), F.lit(salt)).cast("int").alias("_salt"))
     inside = salted.join(salted_cells, ["_cy", "_cx", "_salt"]).where(
         F.col("lat").between(F.col("min_lat"), F.col("max_lat"))
         & F.col("lon").between(F.col("min_lon"), F.col("max_lon"))
     )
-    first = inside.groupBy(key).agg(F.min_by("cc", "rank").alias("_cc"))
-    return (
-        points.join(first, key, "left")
-        .withColumn("country", F.coalesce("_cc", F.lit(UNKNOWN)))
-        .drop("_cc")
-    )
+    first = inside.groupBy("lat", "lon").agg(F.min(F.struct("rank", "cc", *bounds))["cc"].alias("_cc"))
+    return points.join(first, ["lat", "lon"], "left").select(*points.columns, F.coalesce("_cc", F.lit(UNKNOWN)).alias("country"))

@@ -81,5 +81,5 @@ def html_text(html: Column) -> Column:
     return F.array_join(F.filter(nodes, lambda n: n != ""), "\n")
 
 
-def text_or_null(text: Column, limit: int) -> Column:
-    return non_empty(F.substring(text, 1, limit))
+def text_or_null(text: Column, limit: int | None) -> Column:
+    return non_empty(text if limit is None else F.substring(text, 1, limit))

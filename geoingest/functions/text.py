@@ -48,9 +48,13 @@ def pack_diag(diag: Column, prefix: Column | None = None) -> Column:
     )
 
 
-def stable_id(locator: Column, prefix: str = "searxng") -> Column:
-    """Id that is the same in every run, so that a repeated query meets its own key."""
-    return F.concat(F.lit(f"{prefix}:0x"), F.left(F.sha2(locator, 256), F.lit(8)))
+def stable_id(locator: Column, prefix: str = "searxng", digits: int | None = None) -> Column:
+    """Id that is the same in every run, so that a repeated query meets its own key.
+
+    It holds the whole digest. With few ``digits`` (8 in older tables) different queries meet in one key.
+    """
+    digest = F.sha2(locator, 256)
+    return F.concat(F.lit(f"{prefix}:0x"), digest if digits is None else F.left(digest, F.lit(digits)))
 
 
 def retry_wait_s(attempt: Column, initial: float = 2.0, factor: float = 1.5) -> Column:

@@ -8,7 +8,7 @@ from collections.abc import Callable, Iterable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from geoingest.functions.expr import compute_once, let
+from geoingest.functions.expr import compute_once, let, to_float
 from geoingest.functions.tracks import route_coordinates, stamp_track
 from geoingest.functions.urls import ROUTE_BASE_URL, ROUTE_PROFILE, build_route_url
 
@@ -16,12 +16,14 @@ log = logging.getLogger(__name__)
 
 
 def _finish(attrs: Column, body: Callable[[Column, Column], Column]) -> Column:
-    return let(
-        F.try_parse_json(attrs),
-        lambda v: body(
-            F.try_variant_get(v, "$.finish_lat", "string"), F.try_variant_get(v, "$.finish_lon", "string")
-        ),
-    )
+    """Finish as numbers are written: ``50`` and ``50.0`` stay apart, of ``50.10`` the last zero goes."""
+
+    def number(path: str) -> Column:
+        text = F.get_json_object(attrs, path)
+        return F.when(to_float(text).isNotNull(), F.regexp_replace(text, r"(\.\d+?)0+$", "$1"))
+
+    ends = F.struct(number("$.finish_lat").alias("lat"), number("$.finish_lon").alias("lon"))
+    return let(ends, lambda v: body(v["lat"], v["lon"]))
 
 
 def routable(geom: Column, attrs: Column) -> Column:

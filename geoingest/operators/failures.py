@@ -8,23 +8,33 @@ from pyspark.sql import functions as F
 from geoingest.functions.coords import geojson_point
 from geoingest.functions.jsonmerge import keep_old
 from geoingest.functions.text import DETAIL_LIMIT, TITLE_LIMIT, clip
+from geoingest.operators.merge import given_pos
 from geoingest.schemas import FAILURE_TABLE, KEY
 
+UNKNOWN_KEY = "unknown"
 
-def failure_projection(events: DataFrame) -> DataFrame:
+
+def failure_projection(
+    events: DataFrame, *, title_limit: int | None = TITLE_LIMIT, detail_limit: int | None = DETAIL_LIMIT
+) -> DataFrame:
     """Failure events as they are stored.
 
     ``events(source, source_id, text, raw_ref, coord_hint, stage, detail, _pos)``; ``_pos`` may be any
-    orderable column.
+    orderable column, and null in none. An event without a source or id is stored under ``unknown``. A limit of
+    ``None`` keeps whole texts.
     """
+
+    def cut(c: Column, limit: int | None) -> Column:
+        return c if limit is None else clip(c, limit)
+
     return events.select(
-        *KEY,
-        F.when(F.col("text") != "", clip(F.col("text"), TITLE_LIMIT)).alias("title"),
+        *[F.coalesce(F.col(k), F.lit(UNKNOWN_KEY)).alias(k) for k in KEY],
+        F.when(F.col("text") != "", cut(F.col("text"), title_limit)).alias("title"),
         F.when(F.col("raw_ref").rlike("^https?://"), F.col("raw_ref")).alias("url"),
         geojson_point(F.col("coord_hint")).alias("geom"),
         F.col("stage").alias("failure_stage"),
-        clip(F.col("detail"), DETAIL_LIMIT).alias("failure_detail"),
-        "_pos",
+        cut(F.col("detail"), detail_limit).alias("failure_detail"),
+        given_pos().alias("_pos"),
     )
 
 
@@ -36,8 +46,7 @@ def fold_failures(projected: DataFrame) -> DataFrame:
         return F.max_by(c, F.when(c.isNotNull(), F.col("_pos"))).alias(name)
 
     return (
-        projected.where("source is not null and source_id is not null")
-        .groupBy(*KEY)
+        projected.groupBy(*KEY)
         .agg(
             *[last_given(c) for c in ("title", "url", "geom")],
             F.max_by("failure_stage", "_pos").alias("failure_stage"),

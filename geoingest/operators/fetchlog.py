@@ -9,6 +9,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from geoingest.operators.pacing import RUN_SCHEMA, fold_sorted
+from geoingest.session import broadcast_if_small
 
 # Statuses that slow a source down, pacing limits in seconds, mirror cool-downs.
 BACKOFF_STATUSES = (429, 500, 502, 503, 504)
@@ -16,6 +17,8 @@ MAX_INTERVAL_S = 60.0
 RELAX_AFTER_S = 30.0
 MAX_RETRIES = 2
 COOLDOWN_S = 60.0
+#: Mirrors whose aggregate may be broadcast to the log.
+MAX_BROADCAST_MIRRORS = 10_000
 
 
 def is_success(status: Column) -> Column:
@@ -23,22 +26,26 @@ def is_success(status: Column) -> Column:
 
 
 def select_response(
-    log: DataFrame, *, key: str = "url", max_retries: int = MAX_RETRIES
+    log: DataFrame, *, key: str = "url", max_retries: int | None = None
 ) -> tuple[DataFrame, DataFrame]:
-    """First successful attempt per url, and the urls without one.
+    """First successful attempt per url, and the urls without one; each url is in exactly one of them.
 
-    Attempts are ordered by number, then by strategy. Both results come from one aggregation that
-    combines on the map side, so a url with very many attempts is no hot group.
+    All logged attempts count, unless ``max_retries`` limits them; a url that succeeded beyond the limit only is
+    exhausted. Attempts are ordered by number, strategy and time; further ties by a digest of the row. The
+    winner is found over narrow columns by an aggregate that combines on the map side; only successful
+    rows are then joined with it for their bodies.
     """
-    tried = log.where(F.col("attempt") <= max_retries + 1)
     rest = [c for c in log.columns if c != key]
-    order = F.struct("attempt", "strategy_rank", *(["ts"] if "ts" in rest else []))
-    won = is_success(F.col("status"))
-    per_url = tried.groupBy(key).agg(
-        F.min_by(F.when(won, F.struct(*rest)), F.when(won, order)).alias("_r")
-    )
-    chosen = per_url.where("_r is not null").select(key, "_r.*")
-    exhausted = per_url.where("_r is null").select(
+    plain = [name for name, kind in log.dtypes if "map<" not in kind and "variant" not in kind]
+    tie = F.xxhash64(*plain) if "ts" not in rest else F.lit(0).cast("long")
+    order = F.struct("attempt", "strategy_rank", *(["ts"] if "ts" in rest else []), tie.alias("_tie"))
+    within = F.lit(True) if max_retries is None else F.coalesce(F.col("attempt") <= max_retries + 1, F.lit(False))
+    won = is_success(F.col("status")) & within
+    log = log.where(F.col(key).isNotNull())
+    best = log.groupBy(key).agg(F.min(F.when(won, order)).alias("_best"))
+    rows = log.where(won).join(best.where("_best is not null"), key).where(order == F.col("_best"))
+    chosen = rows.select(*log.columns).dropDuplicates([key]).select(key, *rest)
+    exhausted = best.where("_best is null").select(
         key,
         F.lit("fetch").alias("stage"),
         F.concat(F.lit("fetch: RuntimeError: all strategies exhausted for "), F.col(key)).alias("detail"),
@@ -83,12 +90,14 @@ def backoff_interval(
     relax_us = int(RELAX_AFTER_S * 1e6)
     slow = F.coalesce(F.col("status").isin(*BACKOFF_STATUSES), F.lit(False))
     micros = F.unix_micros(F.col("ts").cast("timestamp"))
-    order = [group, "_us", *(["_tie"] if tie else [])]
+    # Without a tie of its own, events of one time and source are taken by status.
+    order = [group, "_us", "_tie", "_status"]
     events = log.where(f"{group} is not null and ts is not null").select(
         F.col(group).cast("string").alias(group),
         micros.alias("_us"),
         slow.alias("_slow"),
-        *([F.col(tie).alias("_tie")] if tie else []),
+        (F.col(tie) if tie else F.lit(0)).alias("_tie"),
+        F.col("status").alias("_status"),
     )
     runs = (
         events.repartitionByRange(*order)
@@ -108,7 +117,9 @@ def backoff_interval(
             r["ok_us"].isNull(), F.struct(slowed.alias("x"), acc["last_ok"].alias("last_ok"))
         ).otherwise(F.struct(clamp(relaxed, r, "tail").alias("x"), r["last_ok_us"].alias("last_ok")))
 
-    names = [f.split()[0] for f in RUN_SCHEMA.split(", ")]
+    # Partitions follow each other in the order of the log, also where runs begin at the same time.
+    names = ["_part", *[f.split()[0] for f in RUN_SCHEMA.split(", ")]]
+    runs = runs.withColumn("_part", F.spark_partition_id())
     per_source = runs.groupBy(group).agg(F.array_sort(F.collect_list(F.struct(*names))).alias("_runs"))
     first = F.get("_runs", F.lit(0))["first_us"]
     start = first if start_ts is None else F.unix_micros(start_ts.cast("timestamp"))
@@ -158,9 +169,8 @@ def cooldown_seconds(status: Column) -> Column:
 def mirror_health(log: DataFrame, now: Column, *, mirror: str = "mirror", tie: str = "event_id") -> DataFrame:
     """Last status, times, failures since the last success and remaining cool-down per mirror.
 
-    A request that failed without a response adds a failure and a cool-down only. The aggregate joins
-    back to the log for the failure count; as it is one row per mirror, adaptive planning broadcasts
-    it, and splits a crowded mirror otherwise.
+    A request that failed without a response adds a failure and a cool-down only. The aggregate, one row per
+    mirror, joins back to the log for the failure count: by broadcast up to ``MAX_BROADCAST_MIRRORS`` of them.
     """
     status = F.col("status")
     order = F.struct("ts", tie)
@@ -180,7 +190,7 @@ def mirror_health(log: DataFrame, now: Column, *, mirror: str = "mirror", tie: s
         ).alias("_until"),
     )
     since = (
-        events.join(health.select(mirror, "_last_ok"), mirror)
+        events.join(broadcast_if_small(health.select(mirror, "_last_ok"), MAX_BROADCAST_MIRRORS), mirror)
         .where(F.col("_last_ok").isNull() | (order > F.col("_last_ok")))
         .groupBy(mirror)
         .agg(F.count("*").alias("consecutive_failures"))

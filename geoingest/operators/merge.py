@@ -43,6 +43,11 @@ _FIELDS, _COUNTRY, _ATTRIBUTE = 0, 1, 2
 _FIELDS_TYPE = "entity_type string, geom string, confidence double"
 
 
+def given_pos() -> Column:
+    """Place in the batch. A row without one has no order among the rows of its key and is refused."""
+    return F.coalesce(F.col("_pos"), F.raise_error(F.lit("_pos is null: number the rows of the batch")))
+
+
 def fold_batch(entities: DataFrame) -> DataFrame:
     """One row per key that has the effect of upserting its rows one by one in ``_pos`` order.
 
@@ -67,7 +72,7 @@ def fold_batch(entities: DataFrame) -> DataFrame:
         F.array(part(_COUNTRY, none, F.col("bbox_country"))), lambda p: p["entry"].isNotNull()
     )
     parts = entities.select(
-        *KEY, "_pos", F.inline(F.concat(F.array(part(_FIELDS, none, fields)), country, attrs))
+        *KEY, given_pos().alias("_pos"), F.inline(F.concat(F.array(part(_FIELDS, none, fields)), country, attrs))
     )
     # Sorting by a hash first compares numbers, where sources and ids mostly share their first bytes.
     parts = parts.withColumn("_h", F.xxhash64(*KEY, "part", "name"))
@@ -96,7 +101,7 @@ def first_of_batch(entities: DataFrame) -> DataFrame:
     cols = ["entity_type", "geom", "attrs", "bbox_country", F.col("confidence").cast("double").alias("confidence")]
     return (
         entities.groupBy(*KEY)
-        .agg(F.min_by(F.struct(*cols), "_pos").alias("_first"), F.count("*").alias("n_rows"))
+        .agg(F.min_by(F.struct(*cols), given_pos()).alias("_first"), F.count("*").alias("n_rows"))
         .select(*KEY, "_first.*", "n_rows")
     )
 
@@ -177,7 +182,7 @@ def row_outcomes(target: DataFrame, entities: DataFrame, *, on_conflict: str = D
     The first rows are found by an aggregate and matched on the key *and* ``_pos``, so the rows of a
     crowded key are spread over all tasks.
     """
-    firsts = entities.groupBy(*KEY).agg(F.min("_pos").alias("_pos"))
+    firsts = entities.groupBy(*KEY).agg(F.min(given_pos()).alias("_pos"))
     inserted = firsts.join(target.select(*KEY), KEY, "left_anti").withColumn("_new", F.lit(True))
     return entities.join(inserted, [*KEY, "_pos"], "left").withColumn(
         "outcome",

@@ -103,8 +103,8 @@ def run_summary(counters: DataFrame) -> DataFrame:
     return counters.select(json_string(F.struct(*counters.columns)).alias("summary"))
 
 
-def record_preview(records: DataFrame) -> DataFrame:
-    """What a reader shows of each record before anything is stored."""
+def record_preview(records: DataFrame, *extra: str) -> DataFrame:
+    """What a reader shows of each record before anything is stored, with further columns as they are."""
     body = F.get_json_object("raw", "$.body")
     return records.select(
         "source",
@@ -114,4 +114,5 @@ def record_preview(records: DataFrame) -> DataFrame:
         F.substring("text", 1, 200).alias("text_preview"),
         "fetched_at",
         F.octet_length(body).alias("raw_size"),
+        *extra,
     )

@@ -17,7 +17,7 @@ def _text_ts(c: str) -> Column:
 
 
 _WON = """won AS (SELECT *, row_number() OVER (PARTITION BY url ORDER BY attempt, strategy_rank, ts) AS rn
-  FROM fetchlog WHERE status >= 200 AND status < 400 AND attempt <= 3)"""
+  FROM fetchlog WHERE status >= 200 AND status < 400)"""
 
 
 @query(f"WITH {FETCH_SQL}, {_WON} SELECT url, event_id, attempt, strategy, status FROM won WHERE rn = 1")
@@ -29,7 +29,7 @@ def select_response(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(f"""WITH {FETCH_SQL} SELECT url, 'fetch' AS stage,
   concat('fetch: RuntimeError: all strategies exhausted for ', url) AS detail
-FROM fetchlog WHERE attempt <= 3 GROUP BY url HAVING count(*) FILTER (WHERE status >= 200 AND status < 400) = 0""")
+FROM fetchlog GROUP BY url HAVING count(*) FILTER (WHERE status >= 200 AND status < 400) = 0""")
 def exhausted_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Urls no attempt succeeded for."""
     _, exhausted = fetchlog.select_response(fetch_log(spark, sf_dir))
@@ -54,6 +54,18 @@ fold(source, rn, x, last_ok) AS (
 ), pace AS (SELECT source, arg_max(x, rn) AS x FROM fold GROUP BY source)"""
 
 
+_DAY = "CAST(CAST(ts AS DATE) AS TIMESTAMP)"
+
+
+@query(f"""WITH RECURSIVE {FETCH_SQL}, {_PACE.format(base='0.5').replace('epoch_us(ts)', f'epoch_us({_DAY})').replace('ORDER BY ts,', f'ORDER BY {_DAY},')}
+SELECT source, round(x, 6) AS current_interval_s FROM pace""")
+def backoff_same_day(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same over a log with day stamps: events of one day follow each other by their id."""
+    log = fetch_log(spark, sf_dir).withColumn("ts", F.date_trunc("day", "ts"))
+    out = fetchlog.backoff_interval(log, base_interval=0.5, tie="event_id")
+    return out.select("source", F.round("current_interval_s", 6).alias("current_interval_s"))
+
+
 @query(f"WITH RECURSIVE {FETCH_SQL}, {_PACE.format(base='0.7')} SELECT source, round(x, 6) AS current_interval_s FROM pace")
 def backoff_interval(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pacing interval of every source after its whole log."""
@@ -148,11 +160,11 @@ def account_health(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("""WITH acc AS (SELECT s_suppkey, s_name, row_number() OVER (ORDER BY s_suppkey) - 1 AS turn,
   count(*) OVER () AS n FROM supplier WHERE s_suppkey % 3 <> 0),
-w AS (SELECT doc_id, row_number() OVER (ORDER BY doc_id) - 1 AS idx FROM documents WHERE doc_id % 5 <> 2)
+w AS (SELECT doc_id, row_number() OVER (ORDER BY doc_id) - 1 AS idx FROM documents)
 SELECT doc_id, s_name AS account FROM w JOIN acc ON idx % n = turn""")
 def round_robin(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents shared out over the suppliers that are not cooling, in turn."""
-    work = table(spark, sf_dir, "documents").where("doc_id % 5 <> 2").select("doc_id")
+    work = table(spark, sf_dir, "documents").select("doc_id")
     pool = table(spark, sf_dir, "supplier").select(
         F.col("s_name").alias("account"),
         F.col("s_suppkey").alias("account_rank"),

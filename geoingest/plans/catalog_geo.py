@@ -80,13 +80,13 @@ def skipped_locators(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(f"""WITH {GEO_SQL} SELECT k,
-  CASE WHEN k % 6 = 0 THEN concat(lon_s, ',', lat_s) WHEN k % 6 = 1 THEN concat(lat_s, ',', lon_s) END AS point_text
-FROM geo WHERE k % 6 IN (0, 1)""")
+  CASE WHEN k % 6 = 0 THEN concat(lon_s, ',', lat_s) WHEN k % 6 IN (1, 4) THEN concat(lat_s, ',', lon_s) END AS point_text
+FROM geo""")
 def link_parameter(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Decoded query parameter of the links that carry their point in one."""
+    """Decoded query parameter of all links; null where the point is not in one."""
     q = F.regexp_extract("url", r"\?(.*)", 1)
     found = F.coalesce(query_param(q, "ll"), query_param(q, "q"))
-    return geo_orders(spark, sf_dir).where("k % 6 in (0, 1)").select("k", found.alias("point_text"))
+    return geo_orders(spark, sf_dir).select("k", found.alias("point_text"))
 
 
 _DMS = """SELECT k, abs(lat_m) // 1000 % 90 AS a, k % 60 AS am, k % 50 AS asec,
@@ -167,7 +167,7 @@ def country_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Points classified with a box table by a grid-cell join."""
     points = geo_orders(spark, sf_dir).where(is_valid(F.col("lat"), F.col("lon"))).select("k", "lat", "lon")
     boxes = spark.sql(f"SELECT {_BOX} FROM {{nation}}", nation=table(spark, sf_dir, "nation"))
-    return join_country(points, boxes, key="k").select("k", "country")
+    return join_country(points, boxes).select("k", "country")
 
 
 @query("SELECT page_id, trim(replace(replace(regexp_extract(html, '<title>([^<]*)</title>', 1), '&quot;', '\"'), '&amp;', '&')) AS title FROM pages")
@@ -205,10 +205,21 @@ FROM txt JOIN pages USING (page_id, url)""")
 def record_preview(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Page records as a reader previews them."""
     pages = spread(table(spark, sf_dir, "pages")).withColumnRenamed("html", "body")
-    records = page_records(pages)
-    shown = preview(records).select("source", "source_id", "raw_ref", "raw_size", "text_preview")
-    digest = records.select("source_id", F.md5("text").alias("text_digest"))
-    return shown.join(digest, "source_id")
+    shown = preview(page_records(pages).withColumn("text_digest", F.md5("text")), "text_digest")
+    return shown.select("source", "source_id", "raw_ref", "raw_size", "text_preview", "text_digest")
+
+
+@query("""SELECT page_id, concat('ab', chr(65533), 'c') AS title, page_id % 3 AS kind, concat('ab', chr(65533), 'c', chr(10), CASE WHEN page_id % 3 = 1 THEN 'пример' ELSE concat('x', chr(65533)) END) AS text
+FROM pages""")
+def html_bytes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages as bytes: broken UTF-8 is read with replacement characters, a declared encoding is followed."""
+    bad = "encode('<title>ab', 'UTF-8') || X'FF' || encode('c</title>', 'UTF-8')"
+    cyrillic = "encode('<meta charset=windows-1251><title>ab', 'UTF-8') || X'98' || encode('c</title><p>', 'UTF-8') || X'EFF0E8ECE5F0'"
+    body = f"CASE WHEN page_id % 3 = 1 THEN {cyrillic} ELSE {bad} || encode('<p>x', 'UTF-8') || X'C3' END"
+    pages = table(spark, sf_dir, "pages").selectExpr("page_id AS _pos", "url", f"{body} AS body")
+    return page_records(pages).select(
+        F.col("_pos").alias("page_id"), F.get_json_object("raw", "$.title").alias("title"), (F.col("_pos") % 3).alias("kind"), "text"
+    )
 
 
 @query("""SELECT event_id, CAST(json_extract_string(props, '$.k') AS BIGINT) AS payload_k, 'api' AS source
@@ -240,13 +251,12 @@ def locator_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
     return inline_locators(lists).select("k", F.col("_item").alias("item"), F.col("value").alias("locator"))
 
 
-@query(f"""WITH {GEO_SQL} SELECT k, 'raw' AS entity_type, 'url' AS source, url AS source_id,
-  lat AS g_lat, lon AS g_lon, CAST(1 AS DOUBLE) AS confidence, {COUNTRY_SQL} AS bbox_country
-FROM geo WHERE k % 6 IN (0, 1, 2) AND ok""")
+@query(f"""{_POINTS}, used AS (SELECT k, url, pts.lat, pts.lon FROM pts JOIN geo USING (k) WHERE point_pos = 0)
+SELECT k, 'raw' AS entity_type, 'url' AS source, url AS source_id,
+  lat AS g_lat, lon AS g_lon, CAST(1 AS DOUBLE) AS confidence, {COUNTRY_SQL} AS bbox_country FROM used""")
 def default_entities(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Records to entities by the default projection, with the country filled in."""
-    links = _links(spark, sf_dir).where("_pos % 6 in (0, 1, 2)")
-    return with_country(to_entity(url_records(links))).select(
+    return with_country(to_entity(url_records(_links(spark, sf_dir)))).select(
         F.col("_pos").alias("k"), "entity_type", "source", "source_id",
         F.col("geom.lat").alias("g_lat"), F.col("geom.lon").alias("g_lon"), "confidence", "bbox_country",
     )
@@ -308,7 +318,7 @@ def truncation_limits(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@query("""SELECT page_id, concat('searxng:0x', substr(sha256(url), 1, 8)) AS source_id FROM pages""")
+@query("""SELECT page_id, concat('searxng:0x', sha256(url)) AS source_id FROM pages""")
 def stable_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spread(table(spark, sf_dir, "pages")).select("page_id", digest_id(F.col("url")).alias("source_id"))
 
@@ -376,7 +386,7 @@ def _osm_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
 _OSM_POINT = "CASE WHEN ok THEN lat ELSE lat2 END AS lat, CASE WHEN ok THEN lon ELSE lon2 END AS lon"
 
 
-@query(f"""WITH {GEO_SQL} SELECT k, concat('[out:json];node(', CAST(k AS STRING), ');out center;') AS source_id,
+@query(f"""WITH {GEO_SQL} SELECT k, concat('overpass:0x', sha256(concat('[out:json];node(', CAST(k AS STRING), ');out center;'))) AS source_id,
   CASE WHEN k % 9 = 2 THEN NULL ELSE 3 END AS n_elements,
   CASE WHEN k % 9 = 2 THEN NULL WHEN ok THEN lat ELSE lat2 END AS hint_lat,
   CASE WHEN k % 9 = 2 THEN NULL WHEN ok THEN lon ELSE lon2 END AS hint_lon
@@ -467,7 +477,7 @@ def gpx_track_points(spark: SparkSession, sf_dir: str) -> DataFrame:
   lat AS hint_lat FROM geo WHERE k % 8 <> 0""")
 def gpx_waypoints(spark: SparkSession, sf_dir: str) -> DataFrame:
     records = gpx_records(_gpx_documents(spark, sf_dir))
-    rows = waypoint_rows(records).join(records.select("_pos", F.col("coord_hint.lat").alias("hint_lat")), "_pos")
+    rows = waypoint_rows(records, F.col("coord_hint.lat").alias("hint_lat"))
     return rows.select("source_id", "lat", "lon", "name", "type", "hint_lat")
 
 

@@ -30,14 +30,14 @@ def _routes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return geo_orders(spark, sf_dir).selectExpr(
         "'raw' AS entity_type", "'web' AS source", "CAST(k AS STRING) AS source_id",
         "CASE WHEN k % 7 <> 0 THEN named_struct('lat', CAST(k % 500 AS DOUBLE) / 10, 'lon', CAST(k % 500 AS DOUBLE) / 4) END AS geom",
-        """CASE WHEN k % 5 = 0 THEN '{"finish_lat":1}' ELSE concat('{"finish_lat":', k % 500, ',"finish_lon":', k % 500, '.5}') END AS attrs""",
+        """CASE WHEN k % 5 = 0 THEN '{"finish_lat":1}' ELSE concat('{"finish_lat":', k % 500, CASE k % 500 % 3 WHEN 0 THEN '' WHEN 1 THEN '.0' ELSE '.10' END, ',"finish_lon":', k % 500, '.5}') END AS attrs""",
         "CAST(NULL AS STRING) AS bbox_country", "CAST(1 AS DOUBLE) AS confidence", "k AS _pos",
     )
 
 
 _URL = """concat('https://brouter.de/brouter?lonlats=', CAST(CAST(k % 500 AS DOUBLE) / 4 AS STRING), '%2C',
   CAST(CAST(k % 500 AS DOUBLE) / 10 AS STRING), '%7C', CAST(k % 500 AS STRING), '.5%2C', CAST(k % 500 AS STRING),
-  '&profile=river&alternativeidx=0&format=geojson')"""
+  CASE k % 500 % 3 WHEN 0 THEN '' WHEN 1 THEN '.0' ELSE '.1' END, '&profile=river&alternativeidx=0&format=geojson')"""
 
 
 @query(f"WITH {GEO_SQL} SELECT k, {_URL} AS url FROM geo WHERE k % 7 <> 0 AND k % 5 <> 0")

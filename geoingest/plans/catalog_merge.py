@@ -183,16 +183,15 @@ def soft_deleted_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(f"""{_GONE}, back AS (SELECT DISTINCT CAST(o_custkey AS STRING) AS source_id FROM orders)
-SELECT t.source_id, CASE WHEN b.source_id IS NULL AND was_removed THEN '2024-01-01' END AS removed_at
-FROM target t LEFT JOIN back b USING (source_id)""")
+SELECT source_id, CASE WHEN b.source_id IS NULL AND was_removed THEN '2024-01-01' END AS removed_at
+FROM target t FULL JOIN back b USING (source_id)""")
 def reactivate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Soft delete, then an upsert: every row that comes in again is active."""
     removed, _ = merge.soft_delete_entities(
         customer_table(spark, sf_dir), _deleted_keys(spark, sf_dir), _now()
     )
     merged, _ = merge.upsert_entities(removed, order_entities(spark, sf_dir), _now())
-    known = F.col("created_at") == F.lit(EARLIER).cast("timestamp")
-    return merged.where(known).select("source_id", _day("removed_at"))
+    return merged.select("source_id", _day("removed_at"))
 
 
 def _mixed(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -237,11 +236,14 @@ def _failure_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return events.withColumn("coord_hint", F.expr(point)).drop("has_point")
 
 
+_KNOWN_KEY = "concat(CASE WHEN user_id % 3 = 0 THEN 'u' ELSE 'former-u' END, CAST(user_id AS STRING))"
+
+
 def _known_failures(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Stored failures of users with a multiple of three as number."""
-    users = table(spark, sf_dir, "events").where("user_id % 3 = 0").select("user_id").distinct()
+    """Stored failures of all users; those whose number is no multiple of three go by another key."""
+    users = table(spark, sf_dir, "events").select("user_id").distinct()
     return users.selectExpr(
-        "'feed' AS source", "concat('u', CAST(user_id AS STRING)) AS source_id", "'old title' AS title",
+        "'feed' AS source", f"{_KNOWN_KEY} AS source_id", "'old title' AS title",
         "CAST(NULL AS STRING) AS url", "CAST(NULL AS STRING) AS geom", "'parse' AS failure_stage",
         "'old' AS failure_detail", "CAST(user_id % 4 + 1 AS BIGINT) AS attempts",
         f"CAST('{EARLIER}' AS TIMESTAMP) AS first_attempt_at", f"CAST('{EARLIER}' AS TIMESTAMP) AS last_attempt_at",
@@ -262,7 +264,7 @@ def failure_projection(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(f"""WITH {_FAILED_SQL}, s AS (SELECT source_id, count(*) AS n, arg_max(stage, _pos) AS st, arg_max(substr(detail, 1, 2000), _pos) AS de,
   arg_max(text, _pos) FILTER (WHERE text IS NOT NULL) AS ti, arg_max(raw_ref, _pos) FILTER (WHERE raw_ref LIKE 'https://%') AS ur,
   arg_max(_pos % 180, _pos) FILTER (WHERE has_point = 0) AS x FROM ev GROUP BY source_id),
-t AS (SELECT DISTINCT concat('u', CAST(user_id AS STRING)) AS source_id, user_id % 4 + 1 AS n FROM events WHERE user_id % 3 = 0)
+t AS (SELECT DISTINCT {_KNOWN_KEY} AS source_id, user_id % 4 + 1 AS n FROM events)
 SELECT coalesce(s.source_id, t.source_id) AS source_id, coalesce(ti, CASE WHEN t.source_id IS NOT NULL THEN 'old title' END) AS title, ur AS url,
   CAST(x AS DOUBLE) AS x, coalesce(st, 'parse') AS failure_stage, md5(coalesce(de, 'old')) AS detail_digest,
   CAST(coalesce(s.n, 0) + coalesce(t.n, 0) AS BIGINT) AS attempts,

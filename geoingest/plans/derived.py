@@ -140,11 +140,15 @@ ENTITY_SQL = f"""{GEO_SQL}, ent AS (
 )"""
 
 
+# Orders meet the even customers only, so that both known and new keys come in.
+_STORED_KEY = "CASE WHEN c_custkey % 2 = 0 THEN c_custkey ELSE c_custkey + 1000000000 END"
+
+
 def customer_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Stored entities: customers with an even key, every tenth one removed."""
-    return table(spark, sf_dir, "customer").where("c_custkey % 2 = 0").selectExpr(
+    """Stored entities: all customers, those with an odd key under another one, every tenth one removed."""
+    return table(spark, sf_dir, "customer").selectExpr(
         "'crm' AS source",
-        "CAST(c_custkey AS STRING) AS source_id",
+        f"CAST({_STORED_KEY} AS STRING) AS source_id",
         "'customer' AS entity_type",
         "CASE WHEN c_custkey % 3 = 0 THEN '{\"type\":\"Point\",\"coordinates\":[1.5,2.5]}' END AS geom",
         "concat('{\"segment\":\"', c_mktsegment, '\",\"status\":\"old\",\"slot1\":', CAST(c_nationkey AS STRING), '}') AS attrs",
@@ -157,11 +161,11 @@ def customer_table(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 TARGET_SQL = f"""target AS (
-  SELECT 'crm' AS source, CAST(c_custkey AS STRING) AS source_id, 'customer' AS entity_type,
+  SELECT 'crm' AS source, CAST({_STORED_KEY} AS STRING) AS source_id, 'customer' AS entity_type,
     CASE WHEN c_custkey % 3 = 0 THEN '{{"type":"Point","coordinates":[1.5,2.5]}}' END AS geom,
     CASE WHEN c_custkey % 4 = 0 THEN 'UA' END AS bbox_country, CAST(1 AS DOUBLE) AS confidence,
     c_mktsegment, c_nationkey, CAST(c_custkey % 10 = 0 AS BOOLEAN) AS was_removed
-  FROM customer WHERE c_custkey % 2 = 0
+  FROM customer
 ), target_attr AS (
   SELECT source, source_id, 'segment' AS ak, concat('"', c_mktsegment, '"') AS av FROM target
   UNION ALL SELECT source, source_id, 'status', '"old"' FROM target

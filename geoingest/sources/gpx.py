@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from geoingest.functions.coords import first_point, latlon
@@ -123,9 +123,10 @@ def gpx_track_points(records: DataFrame) -> DataFrame:
     )
 
 
-def gpx_waypoints(records: DataFrame) -> DataFrame:
-    """One row per waypoint, in document order."""
+def gpx_waypoints(records: DataFrame, *extra: Column) -> DataFrame:
+    """One row per waypoint, in document order, with further columns of its record."""
     kind = "array<struct<lat:double,lon:double,name:string,type:string>>"
     pts = F.from_json(F.get_json_object("raw", "$.waypoints"), kind)
-    rows = records.select("source", "source_id", "_pos", F.posexplode(pts).alias("point_pos", "_w"))
-    return rows.select("source", "source_id", "_pos", "point_pos", "_w.*")
+    rows = records.select("source", "source_id", "_pos", F.struct(F.lit(0), *extra).alias("_x"), F.posexplode(pts).alias("point_pos", "_w"))
+    names = [f.name for f in rows.schema["_x"].dataType.fields[1:]]
+    return rows.select("source", "source_id", "_pos", "point_pos", "_w.*", *[F.col("_x").getField(n).alias(n) for n in names])

@@ -2,19 +2,76 @@
 
 from __future__ import annotations
 
+import codecs
+import sys
+
+import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from geoingest.functions.expr import json_string
+from geoingest.functions.expr import compute_once, json_string
 from geoingest.functions.html import html_text, html_title, text_or_null
 from geoingest.functions.text import TEXT_LIMIT
 from geoingest.sources.record import to_raw_records
 
 
+# The executors get these functions by value, they need no installed package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
+#: How far into a page its encoding may be declared, in bytes.
+_DECLARED_WITHIN = 1024
+
+
 def body_text(df: DataFrame, column: str) -> Column:
-    """Body as text; bytes are read as UTF-8 with replacement characters."""
+    """Body as text; bytes are read as UTF-8 with replacement characters, so no byte ends a job."""
     c = F.col(column)
-    return F.decode(c, "UTF-8") if dict(df.dtypes)[column] == "binary" else c
+    return F.make_valid_utf8(c.cast("string")) if dict(df.dtypes)[column] == "binary" else c
+
+
+def declared_charset(df: DataFrame, column: str) -> Column:
+    """Encoding that a byte order mark, the content type or the page itself declares; null if none does."""
+    head = F.make_valid_utf8(F.substring(F.col(column), 1, _DECLARED_WITHIN).cast("string"))
+    mark = F.hex(F.substring(F.col(column), 1, 3))
+    by_mark = (
+        F.when(mark == "EFBBBF", "utf-8-sig").when(mark.startswith("FFFE"), "utf-16").when(mark.startswith("FEFF"), "utf-16")
+    )
+    headers = optional(df, "headers", "map<string,string>")
+    types = F.filter(F.map_entries(headers), lambda e: F.lower(e["key"]) == "content-type")
+    by_header = F.regexp_extract(F.get(types, F.lit(0))["value"], r"(?i)charset\s*=\s*[\"']?([A-Za-z0-9._:-]+)", 1)
+    by_page = F.regexp_extract(head, r"(?is)<meta[^>]*charset\s*=\s*[\"']?\s*([A-Za-z0-9._:-]+)", 1)
+    return F.lower(F.coalesce(by_mark, F.nullif(by_header, F.lit("")), F.nullif(by_page, F.lit(""))))
+
+
+@F.arrow_udf(T.StringType())
+def _decoded(bodies: pa.Array, charsets: pa.Array) -> pa.Array:
+    def text(body: bytes | None, charset: str | None) -> str | None:
+        if body is None:
+            return None
+        try:
+            name = codecs.lookup(charset or "utf-8").name
+        except LookupError:
+            name = "utf-8"
+        # Pages that name Latin-1 or ASCII are read as its superset, as browsers do.
+        name = "cp1252" if name in ("iso8859-1", "ascii") else name
+        try:
+            return body.decode(name, "replace")
+        except (LookupError, UnicodeError, AttributeError):
+            return body.decode("utf-8", "replace")
+
+    return pa.array(map(text, bodies.to_pylist(), charsets.to_pylist()), pa.string())
+
+
+def page_text(df: DataFrame, column: str) -> Column:
+    """Body of a page as text, in the encoding it declares. Only bodies that declare another than UTF-8
+    leave the JVM, batch by batch."""
+    if dict(df.dtypes)[column] != "binary":
+        return F.col(column)
+    charset = declared_charset(df, column)
+    other = charset.isNotNull() & ~charset.isin("utf-8", "utf8")
+    decoded = _decoded(F.when(other, F.col(column)), F.when(other, charset))
+    return F.coalesce(decoded, body_text(df, column))
 
 
 def optional(df: DataFrame, column: str, kind: str) -> Column:
@@ -22,10 +79,16 @@ def optional(df: DataFrame, column: str, kind: str) -> Column:
 
 
 def html_records(
-    pages: DataFrame, *, url: str = "url", body: str = "body", keep_failed: bool = False
+    pages: DataFrame,
+    *,
+    url: str = "url",
+    body: str = "body",
+    keep_failed: bool = False,
+    text_limit: int | None = TEXT_LIMIT,
 ) -> DataFrame:
-    """One record per page, kept also when it yields no title or text."""
-    page, link = body_text(pages, body), F.col(url)
+    """One record per page, kept also when it yields no title or text; ``text_limit=None`` keeps whole texts."""
+    page, link = F.col("_page"), F.col(url)
+    pages = compute_once(pages, "_page", page_text(pages, body))
     return to_raw_records(
         pages,
         source="html",
@@ -41,6 +104,6 @@ def html_records(
         raw_ref=link,
         locator=link,
         ok=F.lit(True),
-        text=text_or_null(html_text(page), TEXT_LIMIT),
+        text=text_or_null(html_text(page), text_limit),
         keep_failed=keep_failed,
     )

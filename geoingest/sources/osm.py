@@ -23,13 +23,13 @@ def osm_records(
     status: str = "status",
     body: str = "body",
     base_url: str = OSM_BASE_URL,
-    unique_ids: bool = False,
+    prefix_ids: bool = False,
     keep_failed: bool = False,
 ) -> DataFrame:
     """One envelope per readable response with all of its elements; the first one gives the hint.
 
-    The id is the start of the query, so long queries with a common start share it; ``unique_ids``
-    takes a digest of the whole query instead.
+    The id is a digest of the whole query. ``prefix_ids`` takes the start of the query, as older tables do;
+    long queries with a common start then share one key.
     """
     readable = F.when(F.col(status) < 400, F.try_parse_json(body_text(responses, body)))
     df = compute_once(responses, "_json", readable)
@@ -54,7 +54,7 @@ def osm_records(
     return to_raw_records(
         df,
         source="overpass",
-        source_id=stable_id(q, "overpass") if unique_ids else clip(q, QUERY_ID_LIMIT),
+        source_id=clip(q, QUERY_ID_LIMIT) if prefix_ids else stable_id(q, "overpass"),
         raw=F.when(some, filled).otherwise(empty),
         raw_ref=F.lit(base_url),
         locator=q,

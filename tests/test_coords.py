@@ -110,8 +110,8 @@ def test_country_join_matches_first_box_in_both_plans(spark):
 
     boxes_local = rows(boxes)
     expected = {p["k"]: brute(p["lat"], p["lon"]) for p in rows(points)}
-    broadcast = country_join(points, boxes, key="k")
-    shuffled = country_join(points, boxes, key="k", max_broadcast_cells=10, salt=4)
+    broadcast = country_join(points, boxes)
+    shuffled = country_join(points, boxes, max_broadcast_cells=10, salt=4)
     for out in (broadcast, shuffled):
         assert {r["k"]: r["country"] for r in rows(out)} == expected
     for out in (broadcast, shuffled):
@@ -119,6 +119,22 @@ def test_country_join_matches_first_box_in_both_plans(spark):
         assert "NestedLoop" not in plan and "Cartesian" not in plan
 
 
+def test_country_join_has_one_rule_in_both_plans(spark):
+    """Repeated and null keys, equal ranks, boxes past the date line: the bound changes the plan alone."""
+    boxes = spark.createDataFrame(
+        [("Z", 0.0, 0.0, 10.0, 10.0, 1), ("A", 0.0, 0.0, 5.0, 5.0, 1), ("E", 0.0, 170.0, 10.0, 190.0, 2), ("F", 0.0, 186.0, 9.0, 200.0, 1)],
+        "cc string, min_lat double, min_lon double, max_lat double, max_lon double, rank int",
+    )
+    points = spark.createDataFrame(
+        [(1, 2.0, 2.0), (1, 7.0, 7.0), (None, 7.0, 8.0), (2, 3.0, 185.0), (3, 3.0, 187.0), (4, None, 1.0), (5, 3.0, -175.0)],
+        "k long, lat double, lon double",
+    )
+    expected = [(1, 2.0, "A"), (1, 7.0, "Z"), (2, 3.0, "E"), (3, 3.0, "F"), (4, None, "unknown"), (5, 3.0, "unknown"), (None, 7.0, "Z")]
+    for bound in (200_000, 0):
+        got = country_join(points, boxes, max_broadcast_cells=bound).select("k", "lat", "country").collect()
+        assert sorted(map(tuple, got), key=repr) == sorted(expected, key=repr)
+
+
 @pytest.mark.parametrize(
     ("element", "expected"),
     [

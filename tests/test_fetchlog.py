@@ -37,7 +37,7 @@ def log(spark, *events):
         ([(1, 0, 500), (1, 1, 404), (2, 0, 503), (2, 1, 302)], (2, 1), None),
         ([(2, 0, 200), (1, 1, 200)], (1, 1), None),
         ([(i, 0, 500) for i in (1, 2, 3)], None, "all strategies exhausted for u"),
-        ([(1, 0, 500), (4, 0, 200)], None, "all strategies exhausted for u"),
+        ([(1, 0, 500), (4, 0, 200), (5, 0, 200)], (4, 0), None),
         ([(1, 0, None)], None, "all strategies exhausted for u"),
     ],
 )
@@ -52,6 +52,26 @@ def test_select_response(spark, attempts, won, lost):
     assert (details == []) if lost is None else details[0].endswith(lost)
 
 
+def test_attempts_beyond_a_limit_leave_the_url_exhausted(spark):
+    kind = "url string, attempt int, strategy_rank int, status int, body binary"
+    df = spark.createDataFrame([("u", 1, 0, 500, b"x"), ("u", 4, 0, 200, b"x"), ("v", 5, 0, 200, b"x"), ("w", 2, 0, 200, b"x")], kind)
+    chosen, exhausted = select_response(df, max_retries=2)
+    assert [r["url"] for r in rows(chosen)] == ["w"] and sorted(r["url"] for r in rows(exhausted)) == ["u", "v"]
+    chosen, exhausted = select_response(df.unionByName(df))
+    assert sorted((r["url"], r["attempt"]) for r in rows(chosen)) == [("u", 4), ("v", 5), ("w", 2)] and rows(exhausted) == []
+
+
+def test_backoff_interval_keeps_the_order_of_equal_times(spark):
+    """4,000 events of one moment in several partitions: only the tie orders them."""
+    events = [("s", 0, 503 if i < 6 else 200) for i in range(3999)] + [("s", 40, 200)]
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        out = backoff_interval(log(spark, *events), base_interval=0.5, tie="event_id")
+        assert rows(out)[0]["current_interval_s"] == _sequential(events, 0.5)
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+
+
 def _sequential(events, base):
     """One source, event by event."""
     interval, last_ok = base, events[0][1]

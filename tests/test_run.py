@@ -194,7 +194,7 @@ def test_failure_table_counts_attempts(spark):
     a, b = got["a"], got["b"]
     assert len(a["title"]) == 200 and a["url"] == "https://x" and json.loads(a["geom"])["coordinates"] == [2.0, 1.0]
     assert (a["failure_stage"], a["failure_detail"], a["attempts"]) == ("persist", "last", 2)
-    assert b["attempts"] == 5 and b["title"] is None and set(got) == {"a", "b"}
+    assert b["attempts"] == 5 and b["title"] is None and set(got) == {"a", "b", "unknown"}
     again = record_failures(table, spark.createDataFrame([events[0]], kind), at(LATER))
     a = {r["source_id"]: r for r in rows(again)}["a"]
     assert a["attempts"] == 3 and len(a["failure_detail"]) == 2000

@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import hashlib
 import json
 
 import pytest
@@ -106,7 +107,7 @@ def test_osm_envelope_and_elements(spark):
     )
     df = _osm(spark, 200, body)
     (rec,) = rows(df)
-    assert rec["source"] == "overpass" and rec["source_id"] == "q" * 120
+    assert rec["source"] == "overpass" and rec["source_id"] == "overpass:0x" + hashlib.sha256(b"q" * 200).hexdigest()
     assert rec["coord_hint"] == {"lat": 50.5, "lon": 30.5}
     raw = json.loads(rec["raw"])
     assert raw["n_elements"] == 2 and raw["raw_response"] == json.loads(body) and raw["query"] == "q" * 200
@@ -171,3 +172,21 @@ def test_link_records_and_union(spark):
     assert bad["_error"] == "adapter_returned_none"
     stacked = union_sources(url_records(links), html_records(links.withColumnsRenamed({"value": "url"}).withColumn("body", F.lit("x"))))
     assert stacked.columns == RAW_RECORD.fieldNames() and stacked.count() == 3
+
+
+@pytest.mark.parametrize("body", [b"\xff\xfe<", b"<title>a\xff</title>", bytes(range(256)), b"\xed\xa0\x80", b"<meta charset=nonsense>\xe9"])
+def test_no_byte_string_ends_the_job(spark, body):
+    df = spark.createDataFrame([(1, "u", "q", 200, body)], "_pos long, url string, query string, status int, body binary")
+    for reader in (html_records, json_records, gpx_records, osm_records, search_records):
+        reader(df, keep_failed=True).collect()
+
+
+@pytest.mark.parametrize(("body", "headers", "text"), [
+    ("<title>привет</title>".encode("cp1251"), {"Content-Type": "text/html; charset=windows-1251"}, "привет"),
+    ("<meta charset='koi8-r'><title>привет</title>".encode("koi8-r"), None, "привет"),
+    ("<title>é</title>".encode("utf-16"), None, "é"), ("<meta charset=iso-8859-1><title>\u2019</title>".encode("cp1252"), None, "\u2019"),
+    (b"\xef\xbb\xbf<title>x</title>", None, "x"), ("<title>é</title>".encode(), {"content-type": "text/html"}, "é"),
+])
+def test_declared_encodings(spark, body, headers, text):
+    df = spark.createDataFrame([("u", body, headers)], "url string, body binary, headers map<string,string>")
+    assert json.loads(rows(html_records(df))[0]["raw"])["title"] == text
