@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import logging
 import time
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
 from uuid import uuid4
 
+from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -15,7 +17,7 @@ from geoingest.operators.enrich import enrich
 from geoingest.operators.failures import record_failures
 from geoingest.operators.fetchlog import select_response
 from geoingest.operators.merge import DO_UPDATE, invalid_reason, upsert_entities
-from geoingest.operators.normalize import normalize
+from geoingest.operators.normalize import NORMALIZER_NONE, normalize
 from geoingest.schemas import RUN_LOG
 from geoingest.session import checkpoint_dir
 from geoingest.sinks.tables import VersionedTable, append_run_log, read_run_log
@@ -23,15 +25,22 @@ from geoingest.sources.record import NO_RECORD
 
 Stage = Callable[[DataFrame], DataFrame]
 
+log = logging.getLogger(__name__)
+
 
 @dataclass
 class Target:
-    """A sink of entities. Without a table it is a dry run: every row counts as inserted."""
+    """A sink of entities. Without a table it is a dry run: every row counts as inserted.
+
+    ``write`` takes any other sink: a function of the valid rows and ``now`` that stores them and returns what
+    became of each key, ``(n_inserted, n_updated, n_skipped)``, as ``upsert_entities`` does.
+    """
 
     table: VersionedTable | None = None
     name: str = "entities"
     on_conflict: str = DO_UPDATE
     soft_delete: bool = True
+    write: Callable[[DataFrame, Column], DataFrame] | None = None
 
 
 @dataclass
@@ -67,23 +76,73 @@ def run_ingest(
     run_id: str | None = None,
     tag: str | None = None,
     errors_kept: int = 3,
+    errors_path: str | None = None,
 ) -> RunResult:
     """Read ``locators(value, _pos)`` with ``reader`` and carry the records to all targets.
 
     ``reader`` returns raw records; a reader called with ``keep_failed=True`` also tells which locators
     gave none, otherwise they are found by an anti join on ``_pos``. The rows of the run are computed
     once and written to a table in the checkpoint folder, which the merges, the failure table and the
-    counters read column by column. A ``tag`` makes the run repeatable: a table that holds it already
-    is left alone.
+    counters read column by column; so are the locators, before anything reads them, and both go when
+    the run ends, also when it fails. A locator that gave a record but no row, since a normalizer or
+    enricher dropped it, counts as skipped. ``errors_path`` takes the errors of all rows, of which the
+    result holds the first. A ``tag`` makes the run repeatable: a table that holds it already is left alone.
     """
-    started = time.monotonic()
     run_id = run_id or uuid4().hex
-    raw = reader(locators)
+    base = f"{checkpoint_dir(spark)}/run-{run_id}-{uuid4().hex[:8]}"
+    try:
+        return _run(
+            spark, locators, reader, base, source_name=source_name, now=now, normalizer=normalizer, enrichers=enrichers,
+            targets=targets, failures=failures, run_log_path=run_log_path, http_status=http_status, run_id=run_id,
+            tag=tag, errors_kept=errors_kept, errors_path=errors_path,
+        )
+    finally:
+        _delete(spark, base)
+
+
+def _stage_rows(good: Callable[[Sequence[Stage]], DataFrame], enrichers: Sequence[Stage], path: str) -> None:
+    """Write the rows; an enricher that fails on a row is left out, which leaves all rows as they were."""
+    try:
+        good(enrichers).write.mode("overwrite").parquet(path)
+    except PySparkException:
+        kept: list[Stage] = []
+        for fn in enrichers:
+            try:
+                good([*kept, fn]).write.format("noop").mode("overwrite").save()
+                kept.append(fn)
+            except PySparkException as exc:
+                log.warning("enricher %s left out: %s", getattr(fn, "__name__", fn), exc)
+        if len(kept) == len(enrichers):
+            raise
+        good(kept).write.mode("overwrite").parquet(path)
+
+
+def _run(
+    spark: SparkSession,
+    locators: DataFrame,
+    reader: Stage,
+    base: str,
+    *,
+    source_name: str,
+    now: Column,
+    normalizer: Stage | None,
+    enrichers: Sequence[Stage],
+    targets: Sequence[Target],
+    failures: VersionedTable | None,
+    run_log_path: str | None,
+    http_status: int | None,
+    run_id: str,
+    tag: str | None,
+    errors_kept: int,
+    errors_path: str | None,
+) -> RunResult:
+    started = time.monotonic()
+    locators.write.mode("overwrite").parquet(f"{base}/locators")
+    located = spark.read.schema(locators.schema).parquet(f"{base}/locators")
+    raw = reader(located)
     if "_error" not in raw.columns:
-        raw = _with_missing(locators, raw)
+        raw = _with_missing(located, raw)
     fetched = raw.withColumnRenamed("_error", "_fetch_error")
-    good = enrich(normalize(fetched.where("_fetch_error is null"), normalizer), enrichers)
-    good = good.withColumn("_stage", F.lit("normalize"))
     missing = fetched.where("_fetch_error is not null").select(
         F.lit(source_name).alias("source"),
         F.col("_locator").alias("source_id"),
@@ -93,11 +152,20 @@ def run_ingest(
         F.lit("skipped").alias("_outcome"),
         F.col("_fetch_error").alias("_error"),
     )
-    staged_at = f"{checkpoint_dir(spark)}/run-{run_id}"
-    good.unionByName(missing, allowMissingColumns=True).select(*_STAGED).withColumn(
-        "_reason", F.when(F.col("_outcome").isNull(), invalid_reason())
-    ).write.mode("overwrite").parquet(staged_at)
-    rows = spark.read.parquet(staged_at)
+
+    def everything(used: Sequence[Stage]) -> DataFrame:
+        good = enrich(normalize(fetched.where("_fetch_error is null"), normalizer), used)
+        both = good.withColumn("_stage", F.lit("normalize")).unionByName(missing, allowMissingColumns=True)
+        return both.select(*_STAGED).withColumn("_reason", F.when(F.col("_outcome").isNull(), invalid_reason()))
+
+    _stage_rows(everything, enrichers, f"{base}/rows")
+    rows = spark.read.parquet(f"{base}/rows")
+    dropped = located.join(rows.select("_pos"), "_pos", "left_anti").select(
+        F.lit(source_name).alias("source"), F.col("value").alias("source_id"), F.lit("").alias("raw_ref"), "_pos",
+        F.lit("normalize").alias("_stage"), F.lit("skipped").alias("_outcome"), F.lit(NORMALIZER_NONE).alias("_error"),
+    )
+    dropped.write.mode("overwrite").parquet(f"{base}/dropped")
+    rows = rows.unionByName(spark.read.schema(dropped.schema).parquet(f"{base}/dropped"), allowMissingColumns=True)
 
     result = RunResult()
     by_outcome = {
@@ -115,12 +183,22 @@ def run_ingest(
     refused = rows.where("_outcome is null and _reason is not null")
     events = [rows.where("_outcome is not null").withColumn("_seq", F.lit(0))]
     for i, target in enumerate(targets):
-        if target.table is None:
+        if target.write is not None:
+            sums = target.write(valid, now).agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("n_inserted", "n_updated", "n_skipped")])
+            told = sums.first()
+            result.rows_inserted += told["n_inserted"]
+            result.rows_updated += told["n_updated"]
+            result.rows_skipped += told["n_skipped"]
+            added = None
+        elif target.table is None:
             result.rows_inserted += n_valid + n_refused
             continue
-        added = _persist(target, valid, now, tag)
-        result.rows_inserted += added
-        if target.on_conflict == DO_UPDATE:
+        else:
+            added = _persist(target, valid, now, tag)
+            result.rows_inserted += added
+        if added is None:
+            pass
+        elif target.on_conflict == DO_UPDATE:
             result.rows_updated += n_valid - added
         else:
             result.rows_skipped += n_valid - added
@@ -135,11 +213,18 @@ def run_ingest(
     failed = events[0]
     for more in events[1:]:
         failed = failed.unionByName(more, allowMissingColumns=True)
+    # A row without a key of its own is recorded under the locator it came from.
+    failed = failed.join(located.select("_pos", F.col("value").alias("_value")).dropDuplicates(["_pos"]), "_pos", "left")
+    failed = failed.withColumn("source", F.coalesce("source", F.lit(source_name)))
+    failed = failed.withColumn("source_id", F.coalesce("source_id", F.col("_value").cast("string")))
     failed = failed.select(
         "source", "source_id", "text", "raw_ref", "coord_hint",
         F.col("_stage").alias("stage"), F.col("_error").alias("detail"),
         F.struct("_pos", "_seq").alias("_pos"),
     )
+    if errors_path is not None and not (tag and _logged(spark, errors_path, run_id)):
+        told = failed.select(F.lit(run_id).alias("run_id"), "source", "source_id", "stage", "detail", "_pos._pos")
+        told.write.mode("append").parquet(errors_path)
     # A bounded sample by design: the first errors of the run, for the summary and the log row.
     first = failed.orderBy("_pos").limit(max(errors_kept, 1)).collect()
     result.errors = [r["detail"] for r in first]
@@ -148,7 +233,6 @@ def run_ingest(
     result.duration_ms = int((time.monotonic() - started) * 1000)
     if run_log_path is not None and not (tag and _logged(spark, run_log_path, run_id)):
         _log_run(spark, result, run_log_path, run_id, now, source_name, http_status)
-    _delete(spark, staged_at)
     return result
 
 
@@ -168,12 +252,10 @@ def landed_reader(log: DataFrame, parse: Callable[..., DataFrame], **options) ->
 
     def reader(locators: DataFrame) -> DataFrame:
         rows = locators.select("value", "_pos").join(responses, "value", "left")
-        parsed = parse(rows.where("_landed").drop("_landed"), url="value", keep_failed=True, **options)
         message = F.concat(F.lit("all strategies exhausted for "), F.col("value"))
-        lost = fetch_error(rows.where("_landed is null"), message)
-        return parsed.unionByName(
-            lost.select("_pos", F.col("value").alias("_locator"), "_error"), allowMissingColumns=True
-        )
+        lost = error_text("fetch", F.lit("RuntimeError"), message)
+        rows = rows.withColumn("_not_landed", F.when(F.col("_landed").isNull(), lost)).drop("_landed")
+        return parse(rows, url="value", keep_failed=True, **options)
 
     return reader
 
@@ -190,6 +272,8 @@ def _persist(target: Target, valid: DataFrame, now: Column, tag: str | None) ->
     """Upsert and return the number of new keys; an upsert never deletes, so the row counts tell."""
     table = target.table
     if tag and table.has(tag):
+        if not table.has_version(tag):
+            return 0  # pruned since: the batch is stored, what it added is no longer known
         versions = table.read_before(tag).count(), table.read_tagged(tag).count()
         return versions[1] - versions[0]
     before = table.read()

@@ -34,8 +34,9 @@ def checkpoint_dir(spark: SparkSession) -> str:
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if spark.sparkContext.master.partition("[")[0] != "local":
         raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
+    # One process on one machine: driver and executors share its folders.
     own = tempfile.mkdtemp(prefix="geoingest-")
     spark.conf.set("spark.checkpoint.dir", own)
     return own

@@ -60,9 +60,20 @@ class VersionedTable:
     def read_tagged(self, tag: str) -> DataFrame:
         return self._load(next(location for _, t, location in self._versions() if t == tag))
 
-    def has(self, tag: str) -> bool:
+    def has_version(self, tag: str) -> bool:
         return any(t == tag for _, t, _ in self._versions())
 
+    def has(self, tag: str) -> bool:
+        """Whether a commit with ``tag`` was made, also when its version is pruned since."""
+        return self.has_version(tag) or self._fs().exists(self._marker(tag))
+
+    def _fs(self):
+        root = self.spark._jvm.org.apache.hadoop.fs.Path(self.path)
+        return root.getFileSystem(self.spark._jsc.hadoopConfiguration())
+
+    def _marker(self, tag: str):
+        return self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/tags/{tag}")
+
     def commit(self, df: DataFrame, tag: str | None = None) -> DataFrame:
         """Write ``df`` as the next version and return it as read back."""
         versions = self._versions()
@@ -72,9 +83,11 @@ class VersionedTable:
         return self._load(location)
 
     def prune(self, keep: int = 3) -> None:
-        """Delete all but the newest ``keep`` versions."""
+        """Delete all but the newest ``keep`` versions; their tags stay known."""
         hadoop = self.spark._jvm.org.apache.hadoop.fs
-        for _, _, location in self._versions()[: -max(keep, 1)]:
+        for _, tag, location in self._versions()[: -max(keep, 1)]:
+            if tag:
+                self._fs().create(self._marker(tag), True).close()
             path = hadoop.Path(location)
             path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
 

@@ -28,7 +28,7 @@ def to_raw_records(
     """Raw records of the rows that are ``ok``.
 
     With ``keep_failed`` every row stays and carries ``_locator`` and ``_error`` (null when ok), so a
-    run can tell failed locators without joining them back. ``fetched_at``, ``media_url`` and ``_pos``
+    run can tell failed locators without joining them back; a text in ``_not_landed`` of the input goes first. ``fetched_at``, ``media_url`` and ``_pos``
     are taken over when the input has them.
     """
     have = set(df.columns)
@@ -45,7 +45,10 @@ def to_raw_records(
         (F.col("media_url") if "media_url" in have else F.lit(None)).cast("string").alias("media_url"),
         (F.col("_pos") if "_pos" in have else F.lit(None)).cast("long").alias("_pos"),
         locator.alias("_locator"),
-        F.when(~F.coalesce(ok, F.lit(False)), F.lit(NO_RECORD) if error is None else error).alias("_error"),
+        F.coalesce(
+            F.col("_not_landed") if "_not_landed" in have else F.lit(None),
+            F.when(~F.coalesce(ok, F.lit(False)), F.lit(NO_RECORD) if error is None else error),
+        ).alias("_error"),
     )
     if keep_failed:
         return out

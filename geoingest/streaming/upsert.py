@@ -24,11 +24,14 @@ def stream_upsert(
 ) -> StreamingQuery:
     """Start a query that carries each micro-batch of ``arrivals(value, ...)`` through a run.
 
-    Every table commit of a batch carries the batch number. When a batch is replayed after a crash, the
-    tables that hold it already are left alone, so no attempt is counted twice.
+    Every table commit of a batch carries the query's id, which lives in its checkpoint, and the batch number.
+    When a batch is replayed after a crash, the tables that hold it already are left alone, so no attempt is
+    counted twice; a query with another checkpoint starts anew whatever its name.
     """
 
     def one_batch(batch: DataFrame, batch_id: int) -> None:
+        query_id = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+        tag = f"{query_name}-{query_id}-{batch_id}"
         located = batch.withColumn("_pos", F.monotonically_increasing_id())
         run_ingest(
             batch.sparkSession,
@@ -36,8 +39,8 @@ def stream_upsert(
             reader,
             source_name=source_name,
             now=now(batch_id),
-            run_id=f"{query_name}-{batch_id}",
-            tag=f"{query_name}-{batch_id}",
+            run_id=tag,
+            tag=tag,
             **run_options,
         )
 

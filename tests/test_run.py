@@ -27,10 +27,10 @@ from geoingest import (
     url_records,
 )
 from geoingest.functions.country import with_country
-from geoingest.operators.merge import DO_NOTHING
+from geoingest.operators.merge import DO_NOTHING, upsert_entities
 from geoingest.operators.runlog import errors_sample, run_counters, source_health
 from geoingest.plans.ingest import fetch_error
-from geoingest.schemas import ENTITY, FAILURE_TABLE, RUN_LOG
+from geoingest.schemas import ENTITY, ENTITY_TABLE, FAILURE_TABLE, RUN_LOG
 from geoingest.session import broadcast_if_small, checkpoint_dir
 from geoingest.sinks.tables import VersionedTable
 from helpers import at, rows
@@ -234,7 +234,7 @@ def test_versioned_table(spark, tmp_path):
     assert table.read_before("b-1").count() == 1 and table.read_tagged("b-1").count() == 2
     table.commit(one)
     table.prune(keep=1)
-    assert table.read().count() == 1 and not table.has("b-1")
+    assert table.read().count() == 1 and table.has("b-1") and not table.has_version("b-1")
 
 
 def test_counters_samples_and_health(spark):
@@ -307,3 +307,76 @@ def test_session_helpers(spark):
     assert checkpoint_dir(spark) == spark.conf.get("spark.checkpoint.dir")
     hinted = lambda n: "ResolvedHint" in broadcast_if_small(spark.range(10), n)._jdf.queryExecution().analyzed().toString()
     assert hinted(10) and not hinted(9)
+
+
+def test_rows_that_a_stage_drops_or_the_table_refuses_are_accounted_for(spark, tmp_path):
+    drop_first = lambda raw: with_country(to_entity(raw)).where("_pos <> 0")
+    no_source = lambda raw: drop_first(raw).withColumn("source", F.lit(None).cast("string"))
+    good = LINKS[:2] + ["https://maps.google.com/?q=51.0,31.0"]
+    failures = failure_table(spark, f"{tmp_path}/f")
+    r = run_ingest(
+        spark, locators(spark, *good), with_errors, source_name="maps", now=at(NOW), normalizer=no_source,
+        targets=[Target(entity_table(spark, f"{tmp_path}/e"))], failures=failures, errors_path=f"{tmp_path}/errors", errors_kept=1,
+    )
+    assert counts(r) == (3, 0, 0, 1, 2) and len(r.errors) == 1
+    assert {(x["source"], x["source_id"], x["failure_stage"]) for x in rows(failures.read())} == {
+        ("maps", good[0], "normalize"), ("maps", good[1], "persist"), ("maps", good[2], "persist"),
+    }
+    told = rows(spark.read.parquet(f"{tmp_path}/errors"))
+    assert sorted((x["_pos"], x["stage"]) for x in told) == [(0, "normalize"), (1, "persist"), (2, "persist")]
+
+
+def test_an_enricher_that_fails_on_a_row_leaves_all_rows(spark, tmp_path):
+    breaks = lambda df: df.withColumn("attrs", F.when(F.col("_pos") == 1, F.raise_error(F.lit("bad row"))).otherwise(F.col("attrs")))
+    works = lambda df: df.withColumn("confidence", F.lit(0.25))
+    table = entity_table(spark, f"{tmp_path}/e")
+    r = run_ingest(
+        spark, locators(spark, *LINKS), with_errors, source_name="maps", now=at(NOW), enrichers=[breaks, works], targets=[Target(table)]
+    )
+    assert counts(r) == (3, 2, 0, 1, 0) and {x["confidence"] for x in rows(table.read())} == {0.25}
+
+
+def test_a_failed_run_leaves_nothing_staged(spark, tmp_path):
+    where = checkpoint_dir(spark)
+    before = {d for d in os.listdir(where) if d.startswith("run-")} if os.path.isdir(where) else set()
+    fails = lambda df: url_records(df).withColumn("raw", F.raise_error(F.lit("no reader")).cast("string"))
+    with pytest.raises(Exception, match="no reader"):
+        run_ingest(spark, locators(spark, *LINKS), fails, source_name="maps", now=at(NOW))
+    assert {d for d in os.listdir(where) if d.startswith("run-")} == before
+
+
+def test_any_function_can_be_a_sink(spark, tmp_path):
+    def store(valid, now):
+        valid.write.parquet(f"{tmp_path}/out")
+        one = F.lit(1).cast("long")
+        return valid.select("source", "source_id", one.alias("n_inserted"), (one - 1).alias("n_updated"), (one - 1).alias("n_skipped"))
+
+    r = run_ingest(spark, locators(spark, *LINKS), with_errors, source_name="maps", now=at(NOW), targets=[Target(write=store)])
+    assert counts(r) == (3, 2, 0, 1, 0) and spark.read.parquet(f"{tmp_path}/out").count() == 2
+
+
+def test_a_stream_with_a_new_checkpoint_is_no_replay(spark, tmp_path):
+    table = entity_table(spark, f"{tmp_path}/e")
+    for i, link in enumerate(LINKS[:2]):
+        (tmp_path / f"in{i}").mkdir()
+        (tmp_path / f"in{i}" / "1.txt").write_text(link)
+        stream_upsert(
+            spark.readStream.text(f"{tmp_path}/in{i}"), with_errors, source_name="maps", checkpoint=f"{tmp_path}/ck{i}",
+            now=lambda batch: at(NOW), targets=[Target(table)],
+        ).awaitTermination()
+    assert table.read().count() == 2
+
+
+def test_pruned_versions_keep_their_tags(spark, tmp_path):
+    table = VersionedTable(spark, f"{tmp_path}/t", RUN_LOG)
+    for i in range(5):
+        table.commit(spark.createDataFrame([], RUN_LOG), f"tag-{i}")
+    table.prune(keep=2)
+    assert all(table.has(f"tag-{i}") for i in range(5)) and not table.has("tag-9")
+    assert [table.has_version(f"tag-{i}") for i in range(5)] == [False, False, False, True, True]
+
+
+def test_rows_without_a_place_are_refused(spark):
+    e = spark.createDataFrame([("raw", "s", "a", None, "{}", None, 1.0, None)], ENTITY)
+    with pytest.raises(Exception, match="_pos is null"):
+        upsert_entities(spark.createDataFrame([], ENTITY_TABLE), e, at(NOW))[0].collect()
