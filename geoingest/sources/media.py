@@ -25,15 +25,37 @@ _EXIF_TYPE = T.StructType(
     + [T.StructField(n, T.StringType()) for n in TEXT_FIELDS]
 )
 
-def read_media(spark: SparkSession, paths: str | list[str], mime: str | None = None) -> DataFrame:
-    """Files below ``paths`` with a mime type (given, or by file extension) and their position."""
-    files = spark.read.format("binaryFile").load(paths).select("path", "content")
+#: Files by name whose content is read, and the size up to which it is.
+_READ_GLOB = "*.{[jJ][pP][gG],[jJ][pP][eE][gG],[mM][pP]4,[mM][oO][vV],[qQ][tT]}"
+MAX_MEDIA_BYTES = 1 << 30
+
+
+def read_media(
+    spark: SparkSession, paths: str | list[str], mime: str | None = None, max_bytes: int = MAX_MEDIA_BYTES
+) -> DataFrame:
+    """Files below ``paths`` with a mime type (given, or by file extension), their position and ``error``.
+
+    Content is read of photos and videos up to ``max_bytes`` only, which bounds a task's memory; a larger
+    file keeps its row and says so in ``error``, any other file keeps its row without a position.
+    """
+    files = spark.read.format("binaryFile")
     by_name = (
         F.when(F.col("path").rlike(r"(?i)\.jpe?g$"), "image/jpeg")
         .when(F.col("path").rlike(r"(?i)\.mp4$"), "video/mp4")
         .when(F.col("path").rlike(r"(?i)\.(mov|qt)$"), "video/quicktime")
     )
-    return media_geo(files.withColumn("mime", F.lit(mime) if mime else by_name))
+    kind = F.lit(mime) if mime else by_name
+    fits = F.col("length") <= max_bytes
+    wanted = files.option("pathGlobFilter", _READ_GLOB) if mime is None else files
+    read = media_geo(wanted.load(paths).where(fits).select("path", "content").withColumn("mime", kind))
+    read = read.withColumn("error", F.lit(None).cast("string"))
+    # Without the content column only the listing is read.
+    listed = spark.read.format("binaryFile").load(paths).select("path", "length").withColumn("mime", kind)
+    rest = listed.where(F.col("mime").isNull() | ~fits).select(
+        "path", "mime", F.lit(None).cast(MEDIA_GEO).alias("geo"),
+        F.when(F.col("mime").isNotNull(), F.concat(F.lit("larger than "), F.lit(max_bytes), F.lit(" bytes"))).alias("error"),
+    )
+    return read.select("path", "mime", "geo", "error").unionByName(rest)
 
 
 def media_geo(media: DataFrame, *, content: str = "content", mime: str = "mime") -> DataFrame:

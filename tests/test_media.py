@@ -96,6 +96,8 @@ def test_media_files(spark, tmp_path):
     (tmp_path / "c.txt").write_bytes(jpeg())
     got = {r["path"][-5:]: r["geo"] for r in rows(read_media(spark, str(tmp_path)))}
     assert got["a.JPG"]["lat"] == pytest.approx(50.45) and got["b.mov"]["lon"] == -2.5 and got["c.txt"] is None
+    small = {r["path"][-5:]: (r["geo"], r["error"]) for r in rows(read_media(spark, str(tmp_path), max_bytes=60))}
+    assert small["a.JPG"] == (None, "larger than 60 bytes") and small["b.mov"][0]["lat"] == 1.5 and small["c.txt"] == (None, None)
 
 
 @pytest.mark.parametrize(

@@ -29,10 +29,10 @@ from helpers import rows
 GPX = """<?xml version="1.0" encoding="UTF-8"?>
 <gpx version="1.1" creator="t" xmlns="http://www.topografix.com/GPX/1/1">
   <metadata><name>Lake loop</name><desc>around</desc></metadata>
-  <wpt lat="55.7558" lon="37.6173"><name>Start</name><type>pier</type></wpt>
-  <wpt lat="55.77" lon="37.65"/>
-  <trk><trkseg><trkpt lat="55.7558" lon="37.6173"/><trkpt lat="55.76" lon="37.63"/></trkseg><trkseg/></trk>
-  <trk><name>b</name><trkseg><trkpt lat="55.77" lon="37.65"><ele>3</ele></trkpt></trkseg></trk>
+  <wpt lat="61.7849" lon="34.3469"><name>Start</name><type>pier</type></wpt>
+  <wpt lat="61.81" lon="34.41"/>
+  <trk><trkseg><trkpt lat="61.7849" lon="34.3469"/><trkpt lat="61.80" lon="34.38"/></trkseg><trkseg/></trk>
+  <trk><name>b</name><trkseg><trkpt lat="61.81" lon="34.41"><ele>3</ele></trkpt></trkseg></trk>
 </gpx>"""
 
 
@@ -55,10 +55,10 @@ def test_gpx_document(spark):
     df = gpx_records(_docs(spark, GPX))
     (rec,) = rows(df)
     assert rec["source"] == "gpx" and rec["source_id"] == "Lake loop" and rec["raw_ref"] == "f0"
-    assert rec["coord_hint"] == {"lat": 55.7558, "lon": 37.6173}
+    assert rec["coord_hint"] == {"lat": 61.7849, "lon": 34.3469}
     raw = json.loads(rec["raw"])
     assert raw["description"] == "around" and len(raw["track_points"]) == 3
-    assert [(p["point_pos"], p["lat"]) for p in rows(gpx_track_points(df))] == [(0, 55.7558), (1, 55.76), (2, 55.77)]
+    assert [(p["point_pos"], p["lat"]) for p in rows(gpx_track_points(df))] == [(0, 61.7849), (1, 61.80), (2, 61.81)]
     assert [(w["name"], w["type"]) for w in rows(gpx_waypoints(df))] == [("Start", "pier"), ("", "")]
 
 
