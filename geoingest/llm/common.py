@@ -59,15 +59,15 @@ def join_groups(members: DataFrame, groups: DataFrame, key: str, size: str, how:
     """Join rows with one row per group when a group may hold a third of all rows.
 
     ``groups[size]`` counts the members. Groups above 1/4096 of all rows, fewer than 4,096 of them,
-    are broadcast; the others are even enough for a shuffle.
+    are broadcast; the others are even enough for a shuffle, which is the plan at every size.
     """
     total = groups.agg(F.coalesce(F.sum(size), F.lit(0)).alias("n")).first()["n"]
     bound = max(total // HEAVY_PARTS, 1000)
     if groups.where(F.col(size) > bound).limit(1).count() == 0:
-        return members.join(groups, key, how)
+        return members.join(groups.hint("merge"), key, how)
     heavy = groups.where(F.col(size) > bound)
     flagged = members.join(F.broadcast(heavy.select(key, F.lit(True).alias("_heavy"))), key, "left")
-    light = flagged.where("_heavy is null").drop("_heavy").join(groups.where(F.col(size) <= bound), key, how)
+    light = flagged.where("_heavy is null").drop("_heavy").join(groups.where(F.col(size) <= bound).hint("merge"), key, how)
     hot = flagged.where("_heavy").drop("_heavy").join(F.broadcast(heavy), key, "inner")
     return light.unionByName(hot)
 

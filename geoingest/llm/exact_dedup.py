@@ -31,7 +31,7 @@ from geoingest.llm.registry import query, table
 
 BLANK = " \t\n\x0b\x0c\r"
 #: A block ends with the Arrow batch that takes it past one of these.
-BLOCK_ROWS, BLOCK_BYTES = 50_000, 24 << 20
+BLOCK_ROWS, BLOCK_BYTES = 50_000, 12 << 20
 #: An owner's share of the hashes, and the bounds of the number of owners (powers of two).
 OWNER_HASHES, LEAST_OWNERS, MOST_OWNERS = 1 << 18, 16, 1 << 14
 
@@ -84,7 +84,7 @@ def _fingerprint(owner_bits: int, schema: pa.Schema):
         start = np.repeat(first, n)
         yield pa.RecordBatch.from_arrays(
             [
-                pa.concat_arrays(rows).cast(schema.field(0).type),
+                (pa.concat_arrays(rows) if len(rows) > 1 else rows[0]).cast(schema.field(0).type),
                 pa.array(digests, pa.binary()),
                 pa.array(np.full(len(prints), block), pa.int64()),
                 pa.array(np.arange(len(prints)), pa.int32()),
@@ -126,6 +126,7 @@ def _fingerprint(owner_bits: int, schema: pa.Schema):
                 block, held, n, size = block + 1, [], 0, 0
         if held:
             yield from block_rows(held, block)
+        pa.default_memory_pool().release_unused()
 
     return run
 

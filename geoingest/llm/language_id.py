@@ -39,7 +39,7 @@ CALIBRATION_PARTS = 4
 #: Rejection: so many spreads above the calibrated mean cross-entropy, at least halfway to a uniform code.
 REJECT_SPREADS = 8.0
 #: Words a worker remembers with their scores, and how many it takes in hand at once.
-MEMORY_WORDS = 400_000
+MEMORY_WORDS = 200_000
 TEXTS_AT_ONCE, WORDS_AT_ONCE = 400, 100_000
 UNKNOWN = "und"
 
@@ -168,13 +168,13 @@ class Identifier:
         ]
         return np.column_stack([*columns, lengths - 1.0])
 
-    def totals(self, texts: list[str | None]) -> np.ndarray:
+    def totals(self, texts: pa.Array) -> np.ndarray:
         """Per text: bits under each language, characters, words."""
         if self.memory is None:
             self.memory = _Words({}, np.zeros((1024, len(self.langs) + 1)))
         out = np.zeros((len(texts), len(self.langs) + 2))
         for at in range(0, len(texts), TEXTS_AT_ONCE):
-            tallies = [Counter(words_of(t)) for t in texts[at : at + TEXTS_AT_ONCE]]
+            tallies = [Counter(words_of(t.as_py())) for t in texts[at : at + TEXTS_AT_ONCE]]
             self.memory.add(self, tallies)
             for i, tally in enumerate(tallies, at):
                 if tally:
@@ -286,7 +286,7 @@ def _calibrate(spark: SparkSession, found: Identifier, texts: DataFrame) -> None
 
     def total(batches):
         for batch in batches:
-            totals = opened().totals(batch.column("text").to_pylist())
+            totals = opened().totals(batch.column("text"))
             yield pa.RecordBatch.from_arrays(
                 [batch.column("lang"), pa.array(totals.tolist(), pa.list_(pa.float64()))], ["lang", "totals"]
             )
@@ -328,7 +328,7 @@ def identify(df: DataFrame, found: Identifier, text_col: str = "text") -> DataFr
 
     @F.arrow_udf(_RESULT)
     def judged(texts: pa.Array) -> pa.Array:
-        langs, score, entropy, rejected = opened().judge(opened().totals(texts.to_pylist()))
+        langs, score, entropy, rejected = opened().judge(opened().totals(texts))
         return pa.StructArray.from_arrays(
             [
                 pa.array(langs, pa.string()),

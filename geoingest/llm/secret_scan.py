@@ -112,7 +112,7 @@ def update_ledger(df: DataFrame, blobs: DataFrame, ledger: str, text: Column, ke
     left = F.array_except(F.array(*[F.lit(r.name) for r in rules]), F.coalesce("seen", F.array().cast("array<string>")))
     todo = staged(wanted.join(seen, "blob", "left").withColumn("todo", left).where("size(todo) > 0").drop("seen"), "blobs-to-scan")
     texts = df.select(text.alias("text"), key.alias("key")).withColumn("blob", F.sha2("text", 256))
-    chosen = texts.join(todo, ["blob", "key"])
+    chosen = texts.join(todo.hint("merge"), ["blob", "key"])
     scan(chosen.select("blob", "text", "todo"), rules).write.mode("append").parquet(ledger)
 
 

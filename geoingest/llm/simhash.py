@@ -196,5 +196,5 @@ def simhash_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     apart = F.when(F.col("component_id").isNull(), F.col("print"))
     kept = narrow.where("id <=> component_id").groupBy("component_id", apart.alias("apart")).agg(F.min("place").alias("place"))
     kept = staged(kept.select("place"), "near-kept")
-    stay = rows.withColumn("place", place).join(kept, "place", "left_semi")
+    stay = rows.withColumn("place", place).join(kept.hint("merge"), "place", "left_semi")
     return unpacked(stay, docs.columns)

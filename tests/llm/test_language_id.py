@@ -3,6 +3,7 @@ from __future__ import annotations
 import math
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -74,7 +75,7 @@ def test_no_letters_and_noise(spark, learned):
 
 
 def test_memory_of_words_does_not_change_results(learned, monkeypatch):
-    texts = [prose(i, 50) for i in range(30)]
+    texts = pa.array([prose(i, 50) for i in range(30)])
     whole = learned.totals(texts)
     learned.memory = None
     monkeypatch.setattr(op, "MEMORY_WORDS", 3)
