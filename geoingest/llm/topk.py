@@ -45,21 +45,23 @@ class Index:
     def __init__(self, ids: np.ndarray, vectors: np.ndarray) -> None:
         order = np.argsort(ids, kind="stable")
         self.ids, self.vectors = ids[order], vectors[order]
-        self.order = np.argsort(self.vectors, axis=0, kind="stable").T.astype(np.int32)
+        self.order = np.ascontiguousarray(np.argsort(self.vectors, axis=0, kind="stable").T)
+        #: Components in the order of their postings.
+        self.sorted = np.ascontiguousarray(np.sort(self.vectors, axis=0).T)
         self.cuts: list[np.ndarray] = []
         for j in range(vectors.shape[1]):
-            values = self.vectors[self.order[j], j].astype(np.float64)
+            values = self.sorted[j].astype(np.float64)
             width = max((values[-1] - values[0]) / LEVELS, 1.0)
             level = np.floor((values - values[0]) / width)
             self.cuts.append(np.concatenate([[0], np.flatnonzero(np.diff(level)) + 1, [len(values)]]))
 
     def dumps(self) -> bytes:
-        return pickle.dumps((self.ids, self.vectors, self.order, self.cuts), 5)
+        return pickle.dumps((self.ids, self.vectors, self.order, self.sorted, self.cuts), 5)
 
     @classmethod
     def loads(cls, data: bytes) -> Index:
         index = cls.__new__(cls)
-        index.ids, index.vectors, index.order, index.cuts = pickle.loads(data)
+        index.ids, index.vectors, index.order, index.sorted, index.cuts = pickle.loads(data)
         return index
 
     def search(self, own: int, q: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
@@ -70,7 +72,7 @@ class Index:
         if most >= 2**62:
             exact = vectors.astype(object) @ q.astype(object)
             return self._best(np.arange(len(exact)), np.clip(exact, -(2**63), 2**63 - 1).astype(np.int64), own, k)
-        alive = self._possible(own, vectors, q, k)
+        alive = self._possible(own, q, k)
         return self._best(alive, vectors[alive] @ q, own, k)
 
     def _best(self, places: np.ndarray, scores: np.ndarray, own: int, k: int) -> tuple[np.ndarray, np.ndarray]:
@@ -79,16 +81,15 @@ class Index:
         top = np.lexsort((self.ids[places], ~scores))[:k]
         return self.ids[places[top]], scores[top]
 
-    def _possible(self, own: int, vectors: np.ndarray, q: np.ndarray, k: int) -> np.ndarray:
+    def _possible(self, own: int, q: np.ndarray, k: int) -> np.ndarray:
         """Places of all vectors that may be among the best ``k``."""
-        n = len(vectors)
+        n = len(self.ids)
         segments = []
         least = np.zeros(len(q), dtype=np.int64)
         for j in np.flatnonzero(q):
-            w, order, cuts = q[j], self.order[j], self.cuts[j]
-            ends = vectors[order[-1], j], vectors[order[0], j]
-            least[j] = min(w * ends[0], w * ends[1])
-            tops = vectors[order[cuts[1:] - 1 if w > 0 else cuts[:-1]], j] * w - least[j]
+            w, values, cuts = q[j], self.sorted[j], self.cuts[j]
+            least[j] = min(w * values[0], w * values[-1])
+            tops = values[cuts[1:] - 1 if w > 0 else cuts[:-1]] * w - least[j]
             segments.extend(zip(tops.tolist(), [int(j)] * len(tops), cuts[:-1].tolist(), cuts[1:].tolist()))
         segments.sort(key=lambda s: -s[0])
         following: dict[int, list[float]] = {}
@@ -100,18 +101,18 @@ class Index:
         taken = dict.fromkeys(following, 0)
         scores = np.zeros(n, dtype=np.int64)
         scores[self.ids == own] = np.iinfo(np.int64).min // 2
-        open_ = np.ones((n, len(q)), dtype=np.float32)
+        open_ = np.ones((len(q), n), dtype=np.float32)
         looks = {int(len(segments) * share) for share in LOOKS}
         for at, (_, j, a, b) in enumerate(segments, 1):
             members = self.order[j, a:b]
-            scores[members] += vectors[members, j] * q[j] - least[j]
-            open_[members, j] = 0
+            scores[members] += self.sorted[j, a:b] * q[j] - least[j]
+            open_[j, members] = 0
             taken[j] += 1
             bound[j] = following[j][taken[j]] if taken[j] < len(following[j]) else 0
             if at in looks and n > k:
                 # Nothing is lost below what a vector has so far; rounding is covered by the last factor.
                 floor = np.partition(scores, n - k)[n - k]
-                alive = np.flatnonzero(scores + (open_ @ bound) * np.float32(1.0001) + 1 >= floor)
+                alive = np.flatnonzero(scores + (bound @ open_) * np.float32(1.0001) + 1 >= floor)
                 if len(alive) <= FEW:
                     return alive
         if n <= k:
