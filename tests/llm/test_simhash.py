@@ -124,3 +124,43 @@ def test_stage_keeps_one_of_each_component(spark):
     got = op.simhash_stage(spark, docs, "")
     assert got.columns == docs.columns
     assert plain(got.select("doc_id")) == plain(found.select("component_id").distinct())
+
+
+def test_stage_drops_near_copies_beyond_three_bits(spark):
+    """Links are five-word Jaccard of 0.8 or more, also through a third text, whatever the bits say."""
+    rng = random.Random(5)
+    words = lambda n: [f"w{rng.randrange(10**6)}" for _ in range(n)]
+
+    def edited(text, *places):
+        return [f"new{rng.randrange(10**6)}" if i in places else w for i, w in enumerate(text)]
+
+    def alike(a, b):
+        x, y = ({tuple(t[i : i + 5]) for i in range(len(t) - 4)} for t in (a, b))
+        return len(x & y) / len(x | y)
+
+    texts, far = [], 0
+    for k in range(12):
+        base = words(120)
+        # The ends are linked through the base only; a quarter of the words exchanged is another text.
+        family = [edited(base, 20, 60), base, edited(base, 40, 80), edited(base, *range(0, 120, 8))]
+        texts += family
+        far += bin(slow_fingerprint(" ".join(family[0])) ^ slow_fingerprint(" ".join(base))).count("1") > 3
+    assert far >= 6
+    docs = frame(spark, [(i, " ".join(t), "en", "s", 0) for i, t in enumerate(texts)])
+    root = list(range(len(texts)))
+    for _ in range(3):
+        for a in range(len(texts)):
+            for b in range(a):
+                if alike(texts[a], texts[b]) >= 0.8:
+                    root[a] = root[b] = min(root[a], root[b])
+    assert len(set(root)) == 24
+    assert sorted(r["doc_id"] for r in op.simhash_stage(spark, docs, "").collect()) == sorted(set(root))
+
+
+def test_links_of_a_large_bucket_are_whole(spark):
+    """Nodes that the least of a bucket does not link are held against the others."""
+    base = [f"w{i}" for i in range(100)]
+    texts = [[f"x{i}" for i in range(100)], base, base[:-1] + ["a"], [f"y{i}" for i in range(100)], base[:-2] + ["b", "c"]]
+    df = spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(texts)], "node long, text string")
+    links = op.alike_links(df.select(F.lit(1).cast("long").alias("key"), "node"), df)
+    assert {r["node"]: r["root"] for r in components(links).collect()} == {1: 1, 2: 1, 4: 1}
