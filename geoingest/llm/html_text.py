@@ -3,12 +3,13 @@
 A page becomes text lines, one per block, each with the rank of the region it lies in: noise (menus, headers,
 footers, sidebars, notices, adverts, forms, comments), plain, or a declared container of the article. Pages of
 one host are ordered by path; each is paired with the neighbour whose path agrees with its own for longer, and
-the two are aligned line by line by their longest common subsequence. Shared lines go, unless they lie in
-a declared article: copies of an article under two URLs share it too. Noise goes in any case, and where
-a page declares an article, what lies outside it.
+the two are aligned line by line by their longest common subsequence. Shared lines go, also inside a declared
+article, unless the two are copies as wholes: less than half of the text is the page's own, and what
+is own is nothing or for half of its words the same on both. Noise goes in any case, and where a page
+declares an article, what lies outside it.
 
 The order by path is made by range partitions whose edges are exchanged, so no host is gathered in one
-task; alignment sees hashes of lines only, and texts are not shuffled.
+task; alignment sees hashes of lines only, and texts are shuffled only where copies are in doubt.
 
 Defined results: null or empty html gives the empty text; a page alone on its host, or of a null url, is cut by
 its regions only; pages that would lose more than four fifths of their text are taken as copies and keep
@@ -36,6 +37,8 @@ from geoingest.llm.url_filter import host_of, path_of
 NOISE, PLAIN, CONTENT, MAIN, ARTICLE = -1, 0, 1, 2, 3
 #: A page of which less than this share would remain is a copy of its neighbour.
 LEAST_LEFT = 0.2
+#: With this share of its text or more its own, a page is no copy; copies have this share of the words of the rest in common.
+HALF = 0.5
 
 # Fixed values of the HTML format: elements that break a line, and those whose content is not markup.
 _BLOCKS = frozenset(
@@ -159,21 +162,21 @@ def lines_of(html: str | None) -> tuple[list[str], list[int]]:
     return texts, ranks
 
 
-def shared(a: list[int], b: list[int]) -> list[int]:
-    """Places in ``a`` of a longest common subsequence of ``a`` and ``b``, by rows of bits."""
+def aligned(a: list[int], b: list[int]) -> tuple[list[int], list[int]]:
+    """Places in ``a`` and ``b`` of a longest common subsequence of both, by rows of bits."""
     both = set(a) & set(b)
     places = [i for i, x in enumerate(a) if x in both]
-    other = [x for x in b if x in both]
+    others = [j for j, x in enumerate(b) if x in both]
     masks: dict[int, int] = {}
-    for j, x in enumerate(other):
-        masks[x] = masks.get(x, 0) | 1 << j
-    full = (1 << len(other)) - 1
+    for j, at in enumerate(others):
+        masks[b[at]] = masks.get(b[at], 0) | 1 << j
+    full = (1 << len(others)) - 1
     rows = [full]
     for i in places:
         v = rows[-1]
         u = v & masks[a[i]]
         rows.append(((v + u) | (v - u)) & full)
-    out, i, j = [], len(places), len(other)
+    out, i, j = [], len(places), len(others)
     while i and j:
         if rows[i] >> (j - 1) & 1:
             j -= 1
@@ -181,8 +184,31 @@ def shared(a: list[int], b: list[int]) -> list[int]:
             i -= 1
         else:
             i, j = i - 1, j - 1
-            out.append(places[i])
-    return out[::-1]
+            out.append((places[i], others[j]))
+    return [x for x, _ in out[::-1]], [x for _, x in out[::-1]]
+
+
+def shared(a: list[int], b: list[int]) -> list[int]:
+    """Places in ``a`` of a longest common subsequence of ``a`` and ``b``."""
+    return aligned(a, b)[0]
+
+
+def same_words(a: str, b: str) -> bool:
+    """Half of the words of the longer text are a common subsequence of both."""
+    x, y = a.split(), b.split()
+    masks: dict[str, int] = {}
+    for j, word in enumerate(y):
+        masks[word] = masks.get(word, 0) | 1 << j
+    full = v = (1 << len(y)) - 1
+    for word in x:
+        u = v & masks.get(word, 0)
+        v = ((v + u) | (v - u)) & full
+    return len(y) - v.bit_count() >= HALF * max(len(x), len(y))
+
+
+@F.arrow_udf(T.BooleanType())
+def _same_words(a: pa.Array, b: pa.Array) -> pa.Array:
+    return pa.array(map(same_words, a.to_pylist(), b.to_pylist()), pa.bool_())
 
 
 _LINES = T.StructType([
@@ -208,23 +234,39 @@ def _lines(html: pa.Array) -> pa.Array:
     )
 
 
+_CUTS = "place long, cut array<int>, near long, rest array<int>, near_rest array<int>"
+
+
 def _cuts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Per pair the places of shared lines that go; pairs that lose nothing are left out."""
+    """Per pair the places of shared lines that go; pairs that lose nothing are left out.
+
+    With ``near`` it is in doubt whether they are copies: the lines ``rest`` and ``near_rest`` tell.
+    """
+    kinds = [pa.int64(), pa.list_(pa.int32()), pa.int64(), pa.list_(pa.int32()), pa.list_(pa.int32())]
     for batch in batches:
-        places, cuts = [], []
-        columns = [batch.column(c) for c in ("place", "ranks", "sizes", "hashes", "near")]
+        out: list[tuple] = []
+        columns = [batch.column(c) for c in ("place", "ranks", "sizes", "hashes", "near", "near_ranks", "near_hashes")]
         for i in range(batch.num_rows):
-            place, ranks, sizes, hashes, near = (c[i].as_py() for c in columns)
-            common = shared(hashes, near)
-            # A declared article stays whole, copies of it under other URLs notwithstanding.
-            if max(ranks, default=PLAIN) > PLAIN:
+            place, ranks, sizes, hashes, near, near_ranks, near_hashes = (c[i].as_py() for c in columns)
+            common, others = aligned(hashes, near_hashes)
+            best = max([PLAIN, *ranks])
+            cut = [k for k in common if ranks[k] == best]
+            if not cut:
+                continue
+            gone = set(cut)
+            rest = [k for k, r in enumerate(ranks) if r == best and k not in gone]
+            own, whole = sum(sizes[k] for k in rest), sum(s for s, r in zip(sizes, ranks) if r == best)
+            if best == PLAIN and own < LEAST_LEFT * whole:
+                continue
+            if own >= HALF * whole:
+                out.append((place, cut, None, None, None))
                 continue
-            cut = [k for k in common if ranks[k] == PLAIN]
-            plain = sum(s for s, r in zip(sizes, ranks) if r == PLAIN)
-            if cut and plain - sum(sizes[k] for k in cut) >= LEAST_LEFT * plain:
-                places.append(place)
-                cuts.append(cut)
-        yield pa.RecordBatch.from_arrays([pa.array(places, pa.int64()), pa.array(cuts, pa.list_(pa.int32()))], ["place", "cut"])
+            best, gone = max([PLAIN, *near_ranks]), set(others)
+            near_rest = [k for k, r in enumerate(near_ranks) if r == best and k not in gone]
+            if rest and near_rest:
+                out.append((place, cut, near, rest, near_rest))
+        columns = zip(*out) if out else [[]] * len(kinds)
+        yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], ["place", "cut", "near", "rest", "near_rest"])
 
 
 def nearest(pages: DataFrame) -> DataFrame:
@@ -269,9 +311,14 @@ def extract(df: DataFrame, html_col: str = "html", url_col: str = "url") -> Data
     pages = staged(pages, "page-lines")
     pairs = nearest(pages.where("host <> ''"))
     sides = pages.select("place", "ranks", "sizes", "hashes").join(pairs, "place")
-    sides = sides.join(pages.select(F.col("place").alias("near"), F.col("hashes").alias("near_hashes")), "near")
-    sides = sides.select("place", "ranks", "sizes", "hashes", F.col("near_hashes").alias("near"))
-    cuts = staged(sides.mapInArrow(_cuts, "place long, cut array<int>"), "shared-lines")
+    other = pages.select(F.col("place").alias("near"), F.col("ranks").alias("near_ranks"), F.col("hashes").alias("near_hashes"))
+    sides = sides.join(other, "near").select("place", "ranks", "sizes", "hashes", "near", "near_ranks", "near_hashes")
+    cuts = staged(sides.mapInArrow(_cuts, _CUTS), "shared-lines")
+    doubted = cuts.where("near is not null").join(pages.select("place", "texts"), "place")
+    doubted = doubted.join(pages.select(F.col("place").alias("near"), F.col("texts").alias("near_texts")), "near")
+    rest, near_rest = (F.expr(f"array_join(transform({r}, i -> {t}[i]), ' ')") for r, t in (("rest", "texts"), ("near_rest", "near_texts")))
+    told = doubted.where(~_same_words(rest, near_rest)).select("place", "cut")
+    cuts = staged(cuts.where("near is null").select("place", "cut").unionByName(told), "lines-cut")
     joined = pages.join(small_broadcast(cuts), "place", "left")
     best = F.greatest(F.array_max("ranks"), F.lit(PLAIN))
     kept = F.filter(

@@ -109,3 +109,21 @@ def test_empty_long_repeated_and_clashing(spark):
     got = op.extract(df)
     assert sorted(len(r["text"]) for r in got.collect()) == [0, 199_999, 199_999, 300_000] or got.count() == 4
     assert {"row", "cut", "best"} <= set(got.columns) and dict(got.dtypes)["text"] == "string"
+
+
+def test_shared_lines_in_declared_articles_go(spark):
+    """Notices and share lines within articles repeat on the host; versions of one article stay whole."""
+    def page(*own):
+        lines = ["Read our terms before use", *own, "Share this with friends"]
+        return f"{MENU}<article>{''.join(f'<p>{x}</p>' for x in lines)}</article>{FOOT}"
+
+    one = [f"first text number {i} " + " ".join(f"w{i}x{j}" for j in range(20)) for i in range(3)]
+    rows = [(i, f"http://h.org/en/{i}", page(one[i])) for i in range(3)]
+    # Of a short article the larger part is shared, yet what is left differs.
+    rows += [(10, "http://s.org/a", page("gone fishing")), (11, "http://s.org/b", page("snow tonight"))]
+    story = [f"line {j} of a story that two urls show" for j in range(5)]
+    rows += [(20, "http://c.org/a", page(*story, "seen 17 times today")), (21, "http://c.org/b", page(*story, "seen 18 times today"))]
+    got = text_of(pages(spark, rows))
+    assert [got[i] for i in range(3)] == one
+    assert (got[10], got[11]) == ("gone fishing", "snow tonight")
+    assert got[20] == " ".join(["Read our terms before use", *story, "seen 17 times today", "Share this with friends"])
