@@ -1,7 +1,9 @@
 """Main text of pages by differencing each page with its nearest by URL.
 
 A page becomes text lines, one per block, each with the rank of the region it lies in: noise (menus, headers,
-footers, sidebars, notices, adverts, forms, comments), plain, or a declared container of the article. Pages of
+footers, sidebars, notices, adverts, forms, comments), plain, or the declared article: all that main and article
+elements hold, or else, if that is less than half of the page's text without noise, also containers named as content;
+if that is less than half too, as for a teaser beside the text, nothing counts as declared. Pages of
 one host are ordered by path; each is paired with the neighbour whose path agrees with its own for longer, and
 the two are aligned line by line by their longest common subsequence. Shared lines go, also inside a declared
 article, unless the two are copies as wholes: less than half of the text is the page's own, and what
@@ -12,8 +14,7 @@ The order by path is made by range partitions whose edges are exchanged, so no h
 task; alignment sees hashes of lines only, and texts are shuffled only where copies are in doubt.
 
 Defined results: null or empty html gives the empty text; a page alone on its host, or of a null url, is cut by
-its regions only; pages that would lose more than four fifths of their text are taken as copies and keep
-their lines; repeated rows give repeated results; an empty table gives an empty result. Input columns
+its regions only; repeated rows give repeated results; an empty table gives an empty result. Input columns
 stay, a result column replaces one of its name.
 """
 
@@ -34,9 +35,9 @@ from geoingest.llm.common import small_broadcast, staged
 from geoingest.llm.registry import query, table
 from geoingest.llm.url_filter import host_of, path_of
 
-NOISE, PLAIN, CONTENT, MAIN, ARTICLE = -1, 0, 1, 2, 3
-#: A page of which less than this share would remain is a copy of its neighbour.
-LEAST_LEFT = 0.2
+#: Ranks of lines; while a page is read, marks of the declared containers that hold a line, together.
+NOISE, PLAIN, CONTENT, MAIN, ARTICLE = -1, 0, 1, 2, 4
+#: A declared region holds this share of the text that is not noise, or the page counts as undeclared.
 #: With this share of its text or more its own, a page is no copy; copies have this share of the words of the rest in common.
 HALF = 0.5
 
@@ -91,7 +92,7 @@ def _region(tag: str, attributes: str, outer: int, forced: bool) -> tuple[int, b
         return NOISE, True
     if tag in ("article", "main") or role in ("main", "article") or found.get("itemprop") == "articlebody":
         rank = MAIN if tag == "main" or role == "main" else ARTICLE
-        return (max(outer, rank), False)
+        return (max(outer, PLAIN) | rank, False)
     if outer == NOISE:
         return NOISE, False
     if tag == "header":
@@ -102,10 +103,20 @@ def _region(tag: str, attributes: str, outer: int, forced: bool) -> tuple[int, b
         if not (noise <= {"header", "banner"} and (outer > PLAIN or words & _CONTENT_WORDS)):
             return NOISE, False
     if tag in ("div", "section", "td") and words & _CONTENT_WORDS:
-        return max(outer, CONTENT), False
+        return outer | CONTENT, False
     return outer, False
 
 
+def declared(sizes: list[int], marks: list[int]) -> list[int]:
+    """Ranks of lines from the marks of the containers that hold them: noise, plain or content."""
+    least = HALF * sum(n for n, m in zip(sizes, marks) if m >= PLAIN)
+    for region in (MAIN | ARTICLE, MAIN | ARTICLE | CONTENT):
+        ranks = [min(m, PLAIN) if m <= PLAIN or not m & region else CONTENT for m in marks]
+        if sum(n for n, r in zip(sizes, ranks) if r == CONTENT) >= least:
+            return ranks
+    return [min(m, PLAIN) for m in marks]
+
+
 def lines_of(html: str | None) -> tuple[list[str], list[int]]:
     """Text lines of a page in order, white space made single spaces, and the rank of each."""
     texts: list[str] = []
@@ -159,7 +170,7 @@ def lines_of(html: str | None) -> tuple[list[str], list[int]]:
                 flush()
             stack.append((name, rank, forced))
     flush()
-    return texts, ranks
+    return texts, declared([len(t) for t in texts], ranks)
 
 
 def aligned(a: list[int], b: list[int]) -> tuple[list[int], list[int]]:
@@ -256,8 +267,6 @@ def _cuts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             gone = set(cut)
             rest = [k for k, r in enumerate(ranks) if r == best and k not in gone]
             own, whole = sum(sizes[k] for k in rest), sum(s for s, r in zip(sizes, ranks) if r == best)
-            if best == PLAIN and own < LEAST_LEFT * whole:
-                continue
             if own >= HALF * whole:
                 out.append((place, cut, None, None, None))
                 continue

@@ -127,3 +127,29 @@ def test_shared_lines_in_declared_articles_go(spark):
     assert [got[i] for i in range(3)] == one
     assert (got[10], got[11]) == ("gone fishing", "snow tonight")
     assert got[20] == " ".join(["Read our terms before use", *story, "seen 17 times today", "Share this with friends"])
+
+
+LONG = "a text that is much longer than what stands beside it"
+
+
+@pytest.mark.parametrize("html,text", [
+    (f"<main><p>{LONG}</p><article class=teaser>more</article></main>", f"{LONG} more"),
+    (f"<main><h1>head</h1><article>{LONG}</article></main>", f"head {LONG}"),
+    (f"<div>{LONG}</div><div class=post>teaser</div>", f"{LONG} teaser"),
+    (f"<div>{LONG}</div><article>teaser</article>", f"{LONG} teaser"),
+    (f"<div>beside</div><div class=content>{LONG}<article>teaser</article></div>", f"{LONG} teaser"),
+    (f"<div>beside</div><article>{LONG}</article>", LONG),
+    (f"<div>beside</div><main></main><div class=post>{LONG}</div>", LONG),
+])
+def test_a_small_declared_region_takes_nothing_away(html, text):
+    test_regions_and_text(html, text)
+
+
+def test_short_texts_under_long_menus(spark):
+    """Pages of which a small part is their own lose what they share, unless they are copies."""
+    menu = "".join(f"<div>entry {i} of a long menu</div>" for i in range(40))
+    rows = [(0, "http://h.org/a", f"{menu}<p>gone fishing</p>"), (1, "http://h.org/b", f"{menu}<p>snow tonight</p>")]
+    rows += [(2, "http://c.org/a", f"{menu}<p>seen 17 times today</p>"), (3, "http://c.org/b", f"{menu}<p>seen 18 times today</p>")]
+    got = text_of(pages(spark, rows))
+    assert (got[0], got[1]) == ("gone fishing", "snow tonight")
+    assert got[2].startswith("entry 0 of") and got[3].endswith("seen 18 times today")
