@@ -52,6 +52,8 @@ class RunResult:
     rows_failed: int = 0
     duration_ms: int = 0
     errors: list[str] = field(default_factory=list)
+    #: Rows that an enricher failed on and left as they were, summed over the enrichers.
+    rows_unenriched: int = 0
 
 
 _STAGED = [
@@ -100,21 +102,84 @@ def run_ingest(
         _delete(spark, base)
 
 
-def _stage_rows(good: Callable[[Sequence[Stage]], DataFrame], enrichers: Sequence[Stage], path: str) -> None:
-    """Write the rows; an enricher that fails on a row is left out, which leaves all rows as they were."""
+def _stage_rows(good: DataFrame, enrichers: Sequence[Stage], shaped: Stage, base: str) -> int:
+    """Write the rows; returns how many an enricher left as they were because it failed on them."""
     try:
-        good(enrichers).write.mode("overwrite").parquet(path)
-    except PySparkException:
-        kept: list[Stage] = []
+        df, unplanned = good, 0
         for fn in enrichers:
-            try:
-                good([*kept, fn]).write.format("noop").mode("overwrite").save()
-                kept.append(fn)
-            except PySparkException as exc:
-                log.warning("enricher %s left out: %s", getattr(fn, "__name__", fn), exc)
-        if len(kept) == len(enrichers):
+            if _planned(fn, df) is None:
+                unplanned += 1
+            else:
+                df = enrich(df, [fn])
+        shaped(df).write.mode("overwrite").parquet(f"{base}/rows")
+        return unplanned and unplanned * good.sparkSession.read.parquet(f"{base}/rows").where("_stage = 'normalize'").count()
+    except PySparkException:
+        if not enrichers:
             raise
-        good(kept).write.mode("overwrite").parquet(path)
+    at, left = _kept(good, f"{base}/normalized"), 0
+    for i, fn in enumerate(enrichers):
+        at, n = _enriched_apart(at, fn, f"{base}/enriched-{i}")
+        left += n
+        if n:
+            log.warning("enricher %s left %d rows as they were", getattr(fn, "__name__", fn), n)
+    shaped(at).write.mode("overwrite").parquet(f"{base}/rows")
+    return left
+
+
+def _planned(fn: Stage, df: DataFrame) -> DataFrame | None:
+    try:
+        out = fn(df)
+        out.schema  # a plan that does not resolve fails here
+        return out
+    except Exception as exc:  # noqa: BLE001
+        log.warning("enricher %s left out: %s", getattr(fn, "__name__", fn), exc)
+        return None
+
+
+def _storable(df: DataFrame) -> DataFrame:
+    return df.select(*[F.col(f"`{c}`").cast("string").alias(c) if kind == "void" else F.col(f"`{c}`") for c, kind in df.dtypes])
+
+
+def _kept(df: DataFrame, path: str) -> DataFrame:
+    df = _storable(df)
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def _enriched_apart(rows: DataFrame, fn: Stage, path: str) -> tuple[DataFrame, int]:
+    """Enrich staged rows; those that ``fn`` fails on, found by halving what fails, stay as they were.
+
+    Each failing split is staged as two halves, so one bad row costs about two readings of the rows in all.
+    """
+    spark, planned = rows.sparkSession, _planned(fn, rows)
+    if planned is None:
+        return rows, rows.count()
+    schema, left = _storable(planned).schema, 0
+
+    def store(df: DataFrame) -> None:
+        values = [(F.col(f"`{f.name}`") if f.name in df.columns else F.lit(None)).cast(f.dataType).alias(f.name) for f in schema]
+        df.select(*values).write.mode("append").parquet(f"{path}/out")
+
+    todo = [(_kept(rows.withColumn("_gx_row", F.monotonically_increasing_id()), f"{path}/all"), 0, f"{path}/all")]
+    while todo:
+        part, depth, where = todo.pop()
+        plain = part.drop("_gx_row")
+        try:
+            store(fn(plain))
+        except PySparkException as exc:
+            n = part.count()
+            if n <= 1:
+                log.warning("enricher %s fails on a row: %s", getattr(fn, "__name__", fn), str(exc)[:300])
+                store(plain)
+                left += n
+                continue
+            # The hash of one long is one to one: its bits tell all rows apart.
+            bit = F.shiftrightunsigned(F.xxhash64("_gx_row"), depth).bitwiseAND(F.lit(1))
+            for side in (0, 1):
+                half = f"{where}-{side}"
+                todo.append((_kept(part.where(bit == side), half), depth + 1, half))
+            _delete(spark, where)
+    return spark.read.schema(schema).parquet(f"{path}/out"), left
 
 
 def _run(
@@ -153,12 +218,11 @@ def _run(
         F.col("_fetch_error").alias("_error"),
     )
 
-    def everything(used: Sequence[Stage]) -> DataFrame:
-        good = enrich(normalize(fetched.where("_fetch_error is null"), normalizer), used)
+    def shaped(good: DataFrame) -> DataFrame:
         both = good.withColumn("_stage", F.lit("normalize")).unionByName(missing, allowMissingColumns=True)
         return both.select(*_STAGED).withColumn("_reason", F.when(F.col("_outcome").isNull(), invalid_reason()))
 
-    _stage_rows(everything, enrichers, f"{base}/rows")
+    unenriched = _stage_rows(normalize(fetched.where("_fetch_error is null"), normalizer), enrichers, shaped, base)
     rows = spark.read.parquet(f"{base}/rows")
     dropped = located.join(rows.select("_pos"), "_pos", "left_anti").select(
         F.lit(source_name).alias("source"), F.col("value").alias("source_id"), F.lit("").alias("raw_ref"), "_pos",
@@ -167,7 +231,7 @@ def _run(
     dropped.write.mode("overwrite").parquet(f"{base}/dropped")
     rows = rows.unionByName(spark.read.schema(dropped.schema).parquet(f"{base}/dropped"), allowMissingColumns=True)
 
-    result = RunResult()
+    result = RunResult(rows_unenriched=unenriched)
     by_outcome = {
         (r["_outcome"], r["refused"]): r["n"]
         for r in rows.groupBy("_outcome", F.col("_reason").isNotNull().alias("refused"))

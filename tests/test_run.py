@@ -380,3 +380,21 @@ def test_rows_without_a_place_are_refused(spark):
     e = spark.createDataFrame([("raw", "s", "a", None, "{}", None, 1.0, None)], ENTITY)
     with pytest.raises(Exception, match="_pos is null"):
         upsert_entities(spark.createDataFrame([], ENTITY_TABLE), e, at(NOW))[0].collect()
+
+
+def test_rows_an_enricher_fails_on_stay_alone_as_they_were(spark, tmp_path):
+    links = [f"https://maps.google.com/?q=50.{i},30.{i}" for i in range(1, 41)]
+    bad = F.col("_pos").isin(3, 17)
+    breaks = lambda df: df.withColumn("confidence", F.when(bad, F.raise_error(F.lit("bad row")).cast("double")).otherwise(F.lit(0.25)))
+    works = lambda df: df.withColumn("entity_type", F.lit("place"))
+    unplanned = lambda df: df.withColumn("attrs", F.col("no_such_column"))
+    table = entity_table(spark, f"{tmp_path}/e")
+    r = run_ingest(
+        spark, locators(spark, *links), with_errors, source_name="maps", now=at(NOW), enrichers=[breaks, works], targets=[Target(table)]
+    )
+    assert counts(r) == (40, 40, 0, 0, 0) and r.rows_unenriched == 2
+    stored = rows(table.read())
+    assert {x["source_id"] for x in stored if x["confidence"] != 0.25} == {links[3], links[17]}
+    assert {x["entity_type"] for x in stored} == {"place"}
+    r = run_ingest(spark, locators(spark, *links), with_errors, source_name="maps", now=at(NOW), enrichers=[unplanned, works])
+    assert r.rows_unenriched == 40
