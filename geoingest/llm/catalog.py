@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from geoingest.llm import chat, exact_dedup, html_text, language_id, mixing, pieces, secret_scan, simhash, topk, url_filter  # noqa: F401
+from geoingest.llm import chat, decontaminate, exact_dedup, html_text, importance, language_id, mixing, pieces, secret_scan, simhash, spelling, topk, url_filter  # noqa: F401
 from geoingest.llm.registry import ORACLE, QUERIES, QueryFn
 
 

@@ -15,6 +15,9 @@ HEAVY_PARTS = 4096
 #: A table of at most this many narrow rows may be broadcast.
 SMALL_ROWS = 200_000
 
+#: A staged table whose values take at most so many bytes may be broadcast.
+SMALL_BYTES = 8 << 20
+
 
 def staging_path(spark: SparkSession, name: str) -> str:
     return f"{checkpoint_dir(spark)}/llm/{name}-{uuid4().hex}"
@@ -55,6 +58,16 @@ def small_broadcast(df: DataFrame, max_rows: int = SMALL_ROWS) -> DataFrame:
     return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
 
 
+def broadcast_within(df: DataFrame, size: Column | int, max_bytes: int = SMALL_BYTES) -> DataFrame:
+    """Broadcast hint behind the summed ``size`` of the rows in bytes; a larger table is joined by shuffle, with the same rows.
+
+    ``df`` should be staged, as it is read once for its size.
+    """
+    each = size if isinstance(size, Column) else F.lit(size)
+    total = df.agg(F.coalesce(F.sum(each.cast("long")), F.lit(0)).alias("n")).first()["n"]
+    return F.broadcast(df) if total <= max_bytes else df
+
+
 def join_groups(members: DataFrame, groups: DataFrame, key: str, size: str, how: str = "inner") -> DataFrame:
     """Join rows with one row per group when a group may hold a third of all rows.
 
