@@ -11,9 +11,9 @@ Defined results: a null or wordless text has fingerprint zero, which links like
 id is the smallest that is not null, or null if it has none; repeated rows share their component; an empty table gives an empty result. Input columns stay, a result column replaces one
 of its name.
 
-The pipeline's stage links by another rule, five-word Jaccard of ``LEAST_ALIKE`` or more: copies of that kind lie up
-to 11 bits apart, where buckets of bits no longer tell anything. Its candidates share one of ``BANDS`` bands of
-``BAND_ROWS`` least hashes; every link is verified on the texts.
+The pipeline's stage links by another rule, five-word Jaccard of 0.8 or more: copies of that kind lie up to 11 bits
+apart, where buckets of bits no longer tell anything. It takes the links of the variant index over fingerprints of
+five-word shingles as candidates, adds those of least hashes (``alike``) and verifies all of them on the shingles.
 """
 
 from __future__ import annotations
@@ -27,6 +27,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from geoingest.llm.alike import near_copies, sketches
 from geoingest.llm.common import components, join_groups, packed, staged, unpacked
 from geoingest.llm.registry import query, table
 
@@ -36,10 +37,6 @@ SHINGLE_WORDS = 3
 SHORT_RUN, LONG_RUN = 32, 8192
 #: Hashes whose bits are counted at once.
 HASHES_AT_ONCE = 65_536
-#: The stage's rule: words of a shingle and the Jaccard similarity from which on two texts are near copies.
-ALIKE_WORDS, LEAST_ALIKE = 5, 0.8
-#: A pair of that similarity shares no band with a probability of (1 - 0.8^4)^32, below 1 in 10 million.
-BANDS, BAND_ROWS = 32, 4
 
 
 def fingerprint(text: bytes) -> int:
@@ -195,103 +192,32 @@ def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_dedup(table(spark, sf_dir, "documents").select("doc_id", "text")).drop("text")
 
 
-_FACTORS = np.random.default_rng(42).integers(0, 2**63, (BANDS * BAND_ROWS,), np.uint64) * np.uint64(2) + np.uint64(1)
-_MIX = np.random.default_rng(43).integers(0, 2**63, (BANDS, BAND_ROWS), np.uint64) * np.uint64(2) + np.uint64(1)
-
-
-def alike_shingles(text: bytes) -> np.ndarray:
-    """XXH64 of the distinct five-word shingles, in order; of a shorter text its words as one, of a wordless one none."""
-    words = text.lower().split()
-    if len(words) <= ALIKE_WORDS:
-        shingles = {b" ".join(words)} if words else set()
-    else:
-        shingles = set(map(b" ".join, zip(*(words[i:] for i in range(ALIKE_WORDS)))))
-    return np.sort(np.fromiter((xxhash.xxh64_intdigest(s, 42) for s in shingles), np.uint64, len(shingles)))
-
-
-def bands_of(shingles: np.ndarray) -> np.ndarray:
-    """A key per band of least hashes; equal only within the band, but for chance."""
-    least = np.full(len(_FACTORS), np.iinfo(np.uint64).max, np.uint64)
-    for at in range(0, len(shingles), 512):
-        np.minimum(least, (shingles[at : at + 512, None] * _FACTORS).min(axis=0), out=least)
-    least ^= least >> np.uint64(29)
-    return (least.reshape(BANDS, BAND_ROWS) * _MIX).sum(axis=1, dtype=np.uint64).view(np.int64)
-
-
-_SKETCH = T.StructType([T.StructField("print", T.LongType()), T.StructField("bands", T.ArrayType(T.LongType()))])
-
-
-@F.arrow_udf(_SKETCH)
-def _sketches(texts: pa.Array) -> pa.Array:
-    prints, bands = [], []
-    for t in texts.cast(pa.binary()):
-        shingles = alike_shingles(t.as_py() or b"")
-        prints.append(xxhash.xxh64_intdigest(shingles.tobytes(), 42) - (1 << 63))
-        bands.append(bands_of(shingles))
-    flat = np.concatenate(bands) if bands else np.zeros(0, np.int64)
-    lists = pa.ListArray.from_arrays(pa.array(np.arange(len(bands) + 1) * BANDS, pa.int32()), pa.array(flat))
-    return pa.StructArray.from_arrays([pa.array(prints, pa.int64()), lists], ["print", "bands"])
-
-
-@F.arrow_udf(T.BooleanType())
-def _alike(a: pa.Array, b: pa.Array) -> pa.Array:
-    out, last, x = [], None, None
-    for one, other in zip(a.cast(pa.binary()), b.cast(pa.binary())):
-        one = one.as_py() or b""
-        if x is None or one != last:
-            last, x = one, alike_shingles(one)
-        y = alike_shingles(other.as_py() or b"")
-        both = len(np.intersect1d(x, y, assume_unique=True))
-        out.append(both >= LEAST_ALIKE * (len(x) + len(y) - both))
-    return pa.array(out, pa.bool_())
-
-
-def _verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
-    """Of ``a, b`` the pairs whose ``texts(node, text)`` are near copies."""
-    ends = [texts.select(F.col("node").alias(c), F.col("text").alias(f"text_{c}")) for c in ("a", "b")]
-    met = pairs.join(ends[0].hint("merge"), "a").join(ends[1].hint("merge"), "b")
-    return staged(met.where(_alike("text_a", "text_b")).select("a", "b"), "alike-links")
-
-
-def alike_links(keyed: DataFrame, texts: DataFrame) -> DataFrame:
-    """Verified links ``a, b`` that connect all near copies among ``keyed(key, node)`` that share a key.
-
-    First each node of a bucket is held against the least; then those that are not connected to it are held
-    against all of the bucket that they are not connected to. No bucket is capped.
-    """
-    least = keyed.groupBy("key").agg(F.min("node").alias("lead"), F.count("*").alias("n")).where("n > 1").drop("n")
-    hits = staged(keyed.join(least.hint("merge"), "key"), "alike-buckets")
-    first = staged(hits.where("node <> lead").select(F.col("lead").alias("a"), F.col("node").alias("b")).distinct(), "alike-pairs")
-    links = _verified(first, texts)
-    roots = staged(components(links, "alike-stars"), "alike-roots")
-    placed = hits.join(roots.hint("merge"), "node", "left").withColumn("root", F.coalesce("root", "node"))
-    leads = roots.select(F.col("node").alias("lead"), F.col("root").alias("lead_root"))
-    placed = placed.join(leads.hint("merge"), "lead", "left").withColumn("apart", F.col("root") != F.coalesce("lead_root", "lead"))
-    placed = staged(placed.select("key", "node", "root", "apart", (F.col("node") == F.col("lead")).alias("leads")), "alike-placed")
-    outside = placed.where("apart").select("key", F.col("node").alias("u"), F.col("root").alias("u_root"))
-    # The least itself has met all of its bucket already.
-    pairs = placed.where("not leads").join(outside.hint("merge"), "key").where("root <> u_root")
-    pairs = pairs.select(F.least("u", "node").alias("a"), F.greatest("u", "node").alias("b")).distinct()
-    return links.unionByName(_verified(pairs.join(first.hint("merge"), ["a", "b"], "left_anti"), texts))
+def fingerprint_pairs(nodes: DataFrame) -> DataFrame:
+    """From ``node, print``: pairs ``a, b`` that connect all nodes whose fingerprints lie within ``MAX_BITS``."""
+    ones = staged(nodes.groupBy("print").agg(F.min("node").alias("one"), F.count("*").alias("n")), "print-nodes")
+    same = nodes.join(ones.where("n > 1").select("print", "one"), "print").where("node <> one").select(F.col("one").alias("a"), F.col("node").alias("b"))
+    ends = [ones.select(F.col("print").alias(c), F.col("one").alias(f"one_{c}")) for c in ("a", "b")]
+    links = fingerprint_links(ones.select("print")).join(ends[0], "a").join(ends[1], "b")
+    return same.unionByName(links.select(F.col("one_a").alias("a"), F.col("one_b").alias("b")))
 
 
 def simhash_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pipeline: of each component of near copies one document stays, the one with the smallest id (one row of it, if it repeats)."""
     rows = packed(docs.withColumn("_gx_row", F.monotonically_increasing_id()), id=F.col("doc_id"), text=F.col("text"))
-    rows = rows.select("row", "id", F.col("row").getField("_gx_row").alias("place"), _sketches("text").alias("sketch"))
+    rows = rows.select("row", "id", F.col("row").getField("_gx_row").alias("place"), sketches("text").alias("sketch"))
     rows = staged(rows.select("row", "id", "place", "sketch.*"), "sketches")
     # Texts of the same shingles are one node, named by one of its rows.
-    nodes = rows.groupBy("print").agg(F.min("place").alias("node"), F.min("id").alias("least"), F.count("*").alias("n"))
-    nodes = staged(nodes, "alike-nodes")
-    ones = nodes.select(F.col("node").alias("place")).hint("merge")
-    keyed = rows.select("place", "bands").join(ones, "place", "left_semi").select(F.posexplode("bands").alias("band", "key"), F.col("place").alias("node"))
-    keyed = keyed.select(F.xxhash64("band", "key").alias("key"), "node")
+    ones = rows.groupBy("same").agg(F.min("place").alias("node"), F.min("id").alias("least"), F.count("*").alias("n"))
+    ones = staged(ones, "alike-nodes")
+    names = ones.select(F.col("node").alias("place")).hint("merge")
+    nodes = rows.select("place", "size", "print", "sketch").join(names, "place", "left_semi").withColumnRenamed("place", "node")
+    nodes = staged(nodes, "alike-sketches")
     texts = rows.select(F.col("place").alias("node"), F.col("row").getField("text").alias("text"))
-    roots = staged(components(alike_links(keyed, texts), "alike-stars"), "alike-roots")
-    of = nodes.join(roots.hint("merge"), "node", "left").withColumn("root", F.coalesce("root", "node"))
+    roots = near_copies(nodes, texts, fingerprint_pairs(nodes.select("node", "print")))
+    of = ones.join(roots.hint("merge"), "node", "left").withColumn("root", F.coalesce("root", "node"))
     least = of.groupBy("root").agg(F.min("least").alias("component_id"), F.count("*").alias("prints"))
-    found = staged(join_groups(of.select("print", "root", "n"), least, "root", "prints").select("print", "n", "root", "component_id"), "near-alike")
-    narrow = join_groups(rows.select("id", "print", "place"), found, "print", "n")
+    found = staged(join_groups(of.select("same", "root", "n"), least, "root", "prints").select("same", "n", "root", "component_id"), "near-alike")
+    narrow = join_groups(rows.select("id", "same", "place"), found, "same", "n")
     # Without any id in a component, one row of it stays.
     kept = narrow.where("id <=> component_id").groupBy("root").agg(F.min("place").alias("place"))
     kept = staged(kept.select("place"), "near-kept")

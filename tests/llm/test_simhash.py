@@ -155,12 +155,3 @@ def test_stage_drops_near_copies_beyond_three_bits(spark):
                     root[a] = root[b] = min(root[a], root[b])
     assert len(set(root)) == 24
     assert sorted(r["doc_id"] for r in op.simhash_stage(spark, docs, "").collect()) == sorted(set(root))
-
-
-def test_links_of_a_large_bucket_are_whole(spark):
-    """Nodes that the least of a bucket does not link are held against the others."""
-    base = [f"w{i}" for i in range(100)]
-    texts = [[f"x{i}" for i in range(100)], base, base[:-1] + ["a"], [f"y{i}" for i in range(100)], base[:-2] + ["b", "c"]]
-    df = spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(texts)], "node long, text string")
-    links = op.alike_links(df.select(F.lit(1).cast("long").alias("key"), "node"), df)
-    assert {r["node"]: r["root"] for r in components(links).collect()} == {1: 1, 2: 1, 4: 1}
