@@ -18,11 +18,11 @@ def scaled(v):
 
 
 def slow(rows, k=op.K):
-    good = sorted({(i, tuple(scaled(v))) for i, v, _ in rows if i is not None and v is not None and all(x is not None and math.isfinite(x) for x in v)})
+    good = [(i, scaled(v)) for i, v, _ in rows if i is not None and v is not None and all(x is not None and math.isfinite(x) for x in v)]
     out = []
-    for qi, qv in good:
+    for own, (qi, qv) in enumerate(good):
         if qi % 100 == 0:
-            scores = sorted((-sum(a * b for a, b in zip(qv, v)), i) for i, v in good if i != qi)[:k]
+            scores = sorted((-sum(a * b for a, b in zip(qv, v)), i) for at, (i, v) in enumerate(good) if at != own)[:k]
             out += [(qi, rank, i, -s) for rank, (s, i) in enumerate(scores, 1)]
     return sorted(out, key=repr)
 
@@ -38,10 +38,11 @@ def got(spark, rows, **kw):
     return plain(op.search(v, v.where("vec_id % 100 = 0"), **kw))
 
 
-@pytest.mark.parametrize("shard_rows,block_rows,few", [(50_000, 2_000, 512), (120, 2, 30), (7, 1, 1)])
-def test_exact(spark, monkeypatch, shard_rows, block_rows, few):
+@pytest.mark.parametrize("shard_rows,shard_bytes,few", [(50_000, 64 << 20, 512), (120, 1 << 12, 30), (7, 1 << 10, 1)])
+def test_exact(spark, monkeypatch, shard_rows, shard_bytes, few):
     monkeypatch.setattr(op, "SHARD_ROWS", shard_rows)
-    monkeypatch.setattr(op, "BLOCK_ROWS", block_rows)
+    monkeypatch.setattr(op, "SHARD_BYTES", shard_bytes)
+    monkeypatch.setattr(op, "FEW", few)
     rows = vectors(420, 12, 1)
     assert got(spark, rows) == slow(rows)
 
@@ -57,7 +58,7 @@ def test_awkward_vectors(spark):
 def test_search_stops_early_and_stays_exact():
     rng = np.random.default_rng(5)
     x = np.where(rng.random((4000, 16)) < 0.1, rng.integers(200, 1000, (4000, 16)), rng.integers(-20, 20, (4000, 16)))
-    index = op.Index(np.arange(4000), x)
+    index = op.Index(np.arange(4000), np.arange(4000), x)
     q = np.array([500, 300] + [2] * 14)
     assert len(index._possible(-1, q, 10)) <= op.FEW
     ids, scores = index.search(3, q, 10)
@@ -66,7 +67,7 @@ def test_search_stops_early_and_stays_exact():
 
 
 def test_scores_beyond_64_bits_are_held():
-    index = op.Index(np.arange(3), np.array([[2**40], [-(2**40)], [1]]))
+    index = op.Index(np.arange(3), np.arange(3), np.array([[2**40], [-(2**40)], [1]]))
     ids, scores = index.search(9, np.array([2**40]), 3)
     assert ids.tolist() == [0, 2, 1] and scores.tolist() == [2**63 - 1, 2**40, -(2**63)]
 
@@ -76,6 +77,8 @@ def test_few_rows_and_empty_table(spark):
     assert got(spark, [(0, [1.0], 0)]) == []
     assert got(spark, [(0, [1.0], 0), (1, [2.0], 0)]) == [(0, 1, 1, 2 * 1024 * 1024)]
     ranks = got(spark, vectors(205, 3, 4))
+    repeated = got(spark, [(100, [1.0, 2.0], 0)] * 3 + [(5, [1.0, 1.0], 0)])
+    assert repeated == slow([(100, [1.0, 2.0], 0)] * 3 + [(5, [1.0, 1.0], 0)]) and len(repeated) == 9
     assert all([r[1] for r in sorted(g, key=lambda r: r[1])] == list(range(1, 11)) for _, g in groupby(ranks, key=lambda r: r[0]))
 
 
@@ -83,3 +86,9 @@ def test_clashing_columns(spark):
     df = spark.createDataFrame(vectors(120, 3, 6), SCHEMA).select("*", *[F.lit(1).alias(c) for c in ("vector", "shard", "mark", "rank")])
     v = op.scaled(df, "vec_id", "embedding")
     assert op.search(v, v.where("vec_id % 100 = 0")).count() == 20
+
+
+def test_long_vectors_and_a_single_very_long_one(spark):
+    rng = np.random.default_rng(8)
+    rows = [(i, rng.normal(size=1024).astype(np.float32).tolist(), 0) for i in range(90, 130)] + [(200, rng.normal(size=20_000).astype(np.float32).tolist(), 0)]
+    assert got(spark, rows) == slow(rows)
