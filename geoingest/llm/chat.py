@@ -10,10 +10,10 @@ which its rows are rendered. Parts of one conversation and speaker follow each o
 ``part``; mask places are counted in code points from the start of each part.
 
 Defined results: a null role speaks as ``unknown``; a null text is an empty turn; a null turn number comes last; a
-null conversation is one of its own; rows that repeat a turn word for word count once; turns that tie are
-ordered by role, then by a hash of the text, then by the text; the format's own marks inside a text are
-broken by a space; a conversation of system turns only has no perspective; an empty table gives an empty
-result.
+null conversation is one of its own; every row is a turn, also one that repeats another word for word; rows of one
+turn number are ordered by the first 32 bits of the SHA-256 of their text, then by role, then by text; copies of a row
+beyond ``TURN_ROWS`` go to pieces that follow the others; the format's own marks inside a text are broken by a space; a
+conversation of system turns only has no perspective; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -39,19 +39,23 @@ def unmarked(text: Column) -> Column:
 
 
 def _turns(df: DataFrame, conv: str, turn: str, role: str, text: str) -> DataFrame:
-    """Distinct turns with their ``part``: span, turn and piece for a crowded turn, else the span alone."""
-    rows = df.select(
+    """Turns with their ``part``: span, turn and piece for a crowded turn, else the span alone."""
+    each = df.select(
         F.col(f"`{conv}`").cast("long").alias("conv_id"),
         F.col(f"`{turn}`").cast("long").alias("turn"),
         F.coalesce(F.col(f"`{role}`"), F.lit(NO_ROLE)).alias("role"),
         F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("text"),
-    ).distinct()
-    rows = staged(rows.withColumn("hash", F.xxhash64("text")), "turns")
-    crowded = rows.groupBy("conv_id", "turn").agg(F.count("*").alias("n")).where(F.col("n") > TURN_ROWS)
+    )
+    # Equal rows are counted, so that copies can be numbered without a window over them.
+    counted = each.groupBy("conv_id", "turn", "role", "text").agg(F.count("*").alias("copies"))
+    hash_ = F.conv(F.substring(F.sha2("text", 256), 1, 8), 16, 10).cast("long")
+    counted = staged(counted.withColumn("hash", hash_), "turns")
+    crowded = counted.groupBy("conv_id", "turn").agg(F.sum("copies").alias("n")).where(F.col("n") > TURN_ROWS)
+    rows = counted.withColumn("copy", F.explode(F.sequence(F.lit(0).cast("long"), F.col("copies") - 1)))
     same = (F.col("r.conv_id").eqNullSafe(F.col("c.conv_id"))) & (F.col("r.turn").eqNullSafe(F.col("c.turn")))
     pieces = F.ceil(F.col("c.n") / TURN_ROWS)
-    # The signed hash runs evenly from -2^63 to 2^63: its place in that range names the piece.
-    piece = F.floor((F.col("r.hash").cast("double") / 2.0**64 + 0.5) * pieces)
+    # The hash runs evenly from 0 to 2^32: its place in that range names the piece, and pieces keep the order.
+    piece = F.floor(F.col("r.hash") * pieces / 2.0**32) + F.floor(F.col("r.copy") / TURN_ROWS) * pieces
     most = F.lit(2**63 - 1).cast("long")
     span = F.coalesce(F.floor(F.col("r.turn") / PART_TURNS), most)
     part = F.struct(
@@ -82,10 +86,10 @@ def rotate(
         "speaker",
         "part",
         F.struct(
-            F.col("turn").isNull().alias("last"), "turn", "role", "hash", "text", opening.alias("opening"), said.alias("said"), own.alias("own")
+            F.col("turn").isNull().alias("last"), "turn", "hash", "role", "text", opening.alias("opening"), said.alias("said"), own.alias("own")
         ).alias("x"),
     )
-    # A part holds at most PART_TURNS turn numbers of TURN_ROWS rows each, or one piece of a crowded turn.
+    # A part holds at most PART_TURNS turn numbers of TURN_ROWS rows each, or one piece of a crowded turn, copies side by side.
     parts = rows.groupBy("conv_id", "speaker", "part").agg(F.array_sort(F.collect_list("x")).alias("xs"))
     text = F.array_join(F.transform("xs", lambda x: F.concat(x["opening"], x["said"], F.lit("\n"))), "")
     step = F.aggregate(
@@ -105,22 +109,31 @@ def _add(so_far: Column, x: Column) -> Column:
 
 
 _SQL = f"""
-    WITH turns AS (
-        SELECT DISTINCT conv_id, turn, coalesce(role, '{NO_ROLE}') AS role, coalesce(text, '') AS text FROM conversations),
+    WITH each AS (
+        SELECT conv_id, turn, coalesce(role, '{NO_ROLE}') AS role, coalesce(text, '') AS text, count(*) AS n FROM conversations GROUP BY ALL),
+    turns AS (
+        SELECT *, ('0x' || substring(sha256(text), 1, 8))::BIGINT AS h, sum(n) OVER (PARTITION BY conv_id, turn) AS crowd, unnest(range(n)) AS copy FROM each),
+    parts AS (
+        SELECT *, coalesce(CAST(floor(turn / {PART_TURNS}.0) AS BIGINT), 9223372036854775807) AS span,
+               CASE WHEN crowd > {TURN_ROWS} THEN coalesce(turn, 9223372036854775807) ELSE -1 END AS part_turn,
+               CASE WHEN crowd > {TURN_ROWS} THEN CAST(floor(h * ceil(crowd / {TURN_ROWS}.0) / 4294967296.0) + copy // {TURN_ROWS} * ceil(crowd / {TURN_ROWS}.0) AS BIGINT)
+                    ELSE 0 END AS piece
+        FROM turns),
     speakers AS (SELECT DISTINCT conv_id, role AS speaker FROM turns WHERE role <> '{SYSTEM_ROLE}'),
     said AS (
-        SELECT conv_id, speaker, turn // {PART_TURNS} AS span, turn, role, text, role = speaker AS own,
+        SELECT p.*, speaker, role = speaker AS own,
                '{OPEN}' || CASE WHEN role = speaker THEN 'assistant' WHEN role = '{SYSTEM_ROLE}' THEN role
                                 ELSE 'user name=' || regexp_replace(role, '[^\\pL\\pN_.-]', '_', 'g') END || chr(10) AS opening,
-               replace(text, '<|', '< |') || '{CLOSE}' AS said
-        FROM turns JOIN speakers USING (conv_id)),
+               replace(text, '<|', '< |') || '{CLOSE}' AS body
+        FROM parts p JOIN speakers s ON p.conv_id IS NOT DISTINCT FROM s.conv_id),
     placed AS (
-        SELECT *, sum(length(opening) + length(said) + 1) OVER (
-            PARTITION BY conv_id, speaker, span ORDER BY turn, role, text ROWS UNBOUNDED PRECEDING) - 1 AS stop FROM said)
-    SELECT conv_id, speaker, span, count(*)::INT AS n_turns,
-           sha256(string_agg(opening || said || chr(10), '' ORDER BY turn, role, text)) AS text_sha256,
-           coalesce(string_agg((stop - length(said))::BIGINT || ':' || stop::BIGINT, ',' ORDER BY stop) FILTER (WHERE own), '') AS mask
-    FROM placed GROUP BY conv_id, speaker, span
+        SELECT *, sum(length(opening) + length(body) + 1) OVER (
+            PARTITION BY conv_id, speaker, span, part_turn, piece ORDER BY turn NULLS LAST, h, role, text, copy ROWS UNBOUNDED PRECEDING) - 1 AS stop
+        FROM said)
+    SELECT conv_id, speaker, span, part_turn, piece, count(*)::INT AS n_turns,
+           sha256(string_agg(opening || body || chr(10), '' ORDER BY turn NULLS LAST, h, role, text, copy)) AS text_sha256,
+           coalesce(string_agg((stop - length(body))::BIGINT || ':' || stop::BIGINT, ',' ORDER BY stop) FILTER (WHERE own), '') AS mask
+    FROM placed GROUP BY conv_id, speaker, span, part_turn, piece
 """
 
 
@@ -128,6 +141,5 @@ _SQL = f"""
 def op10_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     parts = rotate(table(spark, sf_dir, "conversations"))
     spans = F.array_join(F.transform("mask", lambda m: F.concat_ws(":", m["start"].cast("string"), m["end"].cast("string"))), ",")
-    return parts.select(
-        "conv_id", "speaker", F.col("part.span").alias("span"), "n_turns", F.sha2("text", 256).alias("text_sha256"), spans.alias("mask")
-    )
+    where = [F.col("part.span").alias("span"), F.col("part.turn").alias("part_turn"), F.col("part.piece").alias("piece")]
+    return parts.select("conv_id", "speaker", *where, "n_turns", F.sha2("text", 256).alias("text_sha256"), spans.alias("mask"))
