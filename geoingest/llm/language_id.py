@@ -24,16 +24,14 @@ import numpy as np
 import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from geoingest.llm.common import packed, staged, unpacked
+from geoingest.llm.common import packed, small_broadcast, staged, unpacked
 from geoingest.llm.registry import query, table
 
 ORDER = 4
-#: Bounds of the fit: labelled rows per language (expected number), and distinct words kept per language.
+#: Bound of the fit: labelled rows per language (expected number).
 FIT_ROWS = 600
-FIT_WORDS = 30_000
 #: Every fourth of the fitted rows calibrates the scores and the rejection instead of the models.
 CALIBRATION_PARTS = 4
 #: Rejection: so many spreads above the calibrated mean cross-entropy, at least halfway to a uniform code.
@@ -227,7 +225,7 @@ class _Words:
 
 
 def _shared(spark: SparkSession, found: Identifier) -> Callable[[], Identifier]:
-    """Broadcast the models, a bounded size by ``FIT_WORDS``, to tasks that open them once each."""
+    """Broadcast the models, which hold what ``FIT_ROWS`` texts per language have, to tasks that open them once each."""
     sent = spark.sparkContext.broadcast(cloudpickle.dumps(found))
     kept: list[Identifier] = []
 
@@ -242,8 +240,8 @@ def _shared(spark: SparkSession, found: Identifier) -> Callable[[], Identifier]:
 def learn(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang", key_col: str = "doc_id") -> Identifier:
     """Fit and calibrate on a sample of about ``FIT_ROWS`` rows per language, drawn by a hash of the key.
 
-    Word counts are summed by Spark; the driver sees ``FIT_WORDS`` words per language at most, and one
-    row of totals per calibration text.
+    Word counts are summed by Spark; the driver sees the distinct words of the sample, all of them, and one row of
+    totals per calibration text. Each language has a text in the fit, however few it has.
     """
     spark = labelled.sparkSession
     rows = labelled.select(
@@ -254,7 +252,11 @@ def learn(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang", k
     for lang, n in counts.items():
         share = F.when(F.col("lang") == lang, F.lit(min(1.0, FIT_ROWS / n))).otherwise(share)
     drawn = rows.where(F.pmod("h", F.lit(1_000_000)) < share * 1_000_000)
-    drawn = staged(drawn.withColumn("fold", F.pmod(F.shiftright("h", 32), F.lit(CALIBRATION_PARTS)) == 0), "language-sample")
+    fold = F.pmod(F.shiftright("h", 32), F.lit(CALIBRATION_PARTS)) == 0
+    # The text of a language with the least hash is never one that only calibrates.
+    least = drawn.groupBy("lang").agg(F.min("h").alias("least"))
+    drawn = drawn.join(small_broadcast(least), "lang").withColumn("fold", fold & (F.col("h") != F.col("least"))).drop("least")
+    drawn = staged(drawn, "language-sample")
 
     def count_words(batches):
         for batch in batches:
@@ -269,9 +271,8 @@ def learn(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang", k
 
     summed = drawn.where("not fold").mapInArrow(count_words, "lang string, word string, n long")
     summed = summed.groupBy("lang", "word").agg(F.sum("n").alias("n"))
-    rank = F.row_number().over(W.partitionBy("lang").orderBy(F.desc("n"), "word"))
     by_lang: dict[str, dict[str, int]] = {}
-    for r in summed.withColumn("rank", rank).where(F.col("rank") <= FIT_WORDS).collect():
+    for r in summed.toLocalIterator():
         by_lang.setdefault(r["lang"], {})[r["word"]] = r["n"]
     langs = sorted(by_lang)
     found = Identifier(langs, [fit(by_lang[lang]) for lang in langs])

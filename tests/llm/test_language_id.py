@@ -92,11 +92,42 @@ def test_nothing_to_learn_from(spark):
 
 
 def test_held_out_rows_teach_nothing(spark):
+    """Other texts and languages in the held-out rows leave the models as they are."""
     import zlib
 
-    rows = [r for r in documents() if r[0] is not None]
-    kept = {r["doc_id"] for r in frame(spark, rows).where(op.held_out()).collect()}
-    assert kept == {r[0] for r in rows if zlib.crc32(str(r[0]).encode()) % 4 == 2}
+    rows = [(i, prose(i, 30, lang), lang, "s", 0) for i, lang in enumerate(["en", "de"] * 60)]
+    out = {i for i, *_ in rows if zlib.crc32(str(i).encode()) % 4 == 2}
+    assert {r["doc_id"] for r in frame(spark, rows).where(op.held_out()).collect()} == out and out
+    changed = [(i, "zzz qqq xxx", "xx", "s", 0) if i in out else (i, *rest) for i, *rest in rows]
+    one, other = (op.learn_from_documents(frame(spark, r)) for r in (rows, changed))
+    assert one.langs == other.langs == ["de", "en"] and one.sharpness == other.sharpness and one.reach == other.reach
+    asked = ["haus", "house", "zzz"]
+    assert np.array_equal(one.word_bits(asked), other.word_bits(asked))
+
+
+def test_held_out_accuracy_on_a_whole_table(spark):
+    from geoingest.llm.registry import table
+
+    got = op.op7_language_id(spark, "/root/testdata/sf0.01")
+    truth = table(spark, "/root/testdata/sf0.01", "documents").select("doc_id", "lang")
+    rows = got.where("held_out").join(truth, "doc_id").where("lang IS NOT NULL AND lang_pred <> 'und'").collect()
+    assert len(rows) > 200 and sum(r["lang"] == r["lang_pred"] for r in rows) >= 0.99 * len(rows)
+
+
+def test_all_words_of_the_sample_are_learned_and_each_language_has_a_text(spark):
+    rows = [(i, " ".join(f"w{c}{d}" for c in "abcdefghij" for d in "klmnopqrst"), "en", "s", 0) for i in range(8)]
+    for k in range(40):
+        rows.append((1000 + k, f"lonely{'abcdefghij'[k % 10]}{'klmn'[k // 10]} word", f"x{k}", "s", 0))
+    found = op.learn(frame(spark, rows))
+    assert found.langs == sorted({"en", *(f"x{k}" for k in range(40))})
+    bits = found.word_bits(["wjt", "zzz"])
+    assert bits[0, 0] < bits[1, 0]
+
+
+def test_very_long_text(spark, learned):
+    rows = [(1, prose(3, 60_000, "de"), None, None, 0), (2, "straße" * 50_000, None, None, 0)]
+    got = {r["doc_id"]: r for r in op.identify(frame(spark, rows), learned).collect()}
+    assert got[1]["lang_pred"] == "de" and not got[1]["rejected"] and got[2]["lang_pred"] == "de"
 
 
 def test_clashing_columns_and_repeats(spark, learned):
