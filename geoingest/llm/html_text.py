@@ -3,15 +3,18 @@
 A page becomes text lines, one per block, each with the rank of the region it lies in: noise (menus, headers,
 footers, sidebars, notices, adverts, forms, comments), plain, or the declared article: all that main and article
 elements hold, or else, if that is less than half of the page's text without noise, also containers named as content;
-if that is less than half too, as for a teaser beside the text, nothing counts as declared. Pages of
-one host are ordered by path; each is paired with the neighbour whose path agrees with its own for longer, and
-the two are aligned line by line by their longest common subsequence. Shared lines go, also inside a declared
-article, unless the two are copies as wholes: less than half of the text is the page's own, and what
-is own is nothing or for half of its words the same on both. Noise goes in any case, and where a page
+if that is less than half too, as for a teaser beside the text, nothing counts as declared. Noise goes, and where a page
 declares an article, what lies outside it.
 
+Pages of one host are ordered by path; each is paired with the neighbour whose path agrees with its own for longer, and
+the two are aligned line by line by their longest common subsequence. A shared line is deleted if its host shows that
+it belongs to the pages' frame: it stands on ``SHARE`` of the host's pages, and on ``LEAST_PAGES`` of them where it lies in a declared
+article. Copies of an article share their lines with each other, not with their host, so they keep them. The page's
+title and its first heading stay in any case, and so does the text of a page that would lose all of it.
+
 The order by path is made by range partitions whose edges are exchanged, so no host is gathered in one
-task; alignment sees hashes of lines only, and texts are shuffled only where copies are in doubt.
+task. Alignment sees hashes of lines only and splits long lists, so its memory does not grow with their square; a host's
+pages are counted for the shared lines alone, by partial sums.
 
 Defined results: null or empty html gives the empty text; a page alone on its host, or of a null url, is cut by
 its regions only; repeated rows give repeated results; an empty table gives an empty result. Input columns
@@ -21,9 +24,9 @@ stay, a result column replaces one of its name.
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
 from html import unescape
 
+import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
@@ -31,15 +34,18 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from geoingest.llm.common import small_broadcast, staged
+from geoingest.llm.common import broadcast_within, staged
 from geoingest.llm.registry import query, table
 from geoingest.llm.url_filter import host_of, path_of
 
 #: Ranks of lines; while a page is read, marks of the declared containers that hold a line, together.
 NOISE, PLAIN, CONTENT, MAIN, ARTICLE = -1, 0, 1, 2, 4
 #: A declared region holds this share of the text that is not noise, or the page counts as undeclared.
-#: With this share of its text or more its own, a page is no copy; copies have this share of the words of the rest in common.
 HALF = 0.5
+#: A line of a host's frame stands on this share of its pages, and on so many within declared articles.
+SHARE, LEAST_PAGES = 0.5, 3
+#: Lists of lines with a larger product of lengths are split before they are aligned.
+ALIGNED_AT_ONCE = 1 << 22
 
 # Fixed values of the HTML format: elements that break a line, and those whose content is not markup.
 _BLOCKS = frozenset(
@@ -47,6 +53,7 @@ _BLOCKS = frozenset(
     "figure footer form frameset h1 h2 h3 h4 h5 h6 head header hgroup hr html legend li main menu nav ol optgroup option "
     "p pre search section select summary table tbody td tfoot th thead title tr ul".split()
 )
+_HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 _RAW = frozenset("script style textarea title noscript template iframe xmp noembed noframes svg math object canvas".split())
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 #: Containers that carry a region; others open and close without effect on it.
@@ -117,20 +124,28 @@ def declared(sizes: list[int], marks: list[int]) -> list[int]:
     return [min(m, PLAIN) for m in marks]
 
 
-def lines_of(html: str | None) -> tuple[list[str], list[int]]:
-    """Text lines of a page in order, white space made single spaces, and the rank of each."""
+def spaced(held: list[str]) -> str:
+    """Pieces of markup as one text: character references decoded, white space made single spaces."""
+    return " ".join(unescape("".join(held)).split())
+
+
+def lines_of(html: str | None) -> tuple[list[str], list[int], list[int]]:
+    """Text lines of a page in order, the rank of each, and the places of its title and of its first heading."""
     texts: list[str] = []
     ranks: list[int] = []
     if not html:
-        return texts, ranks
+        return texts, ranks, []
     stack: list[tuple[str, int, bool]] = [("", PLAIN, False)]
     held: list[str] = []
+    heading, headings, title = "", [], None
 
     def flush() -> None:
         if held:
-            text = " ".join(unescape("".join(held)).split())
+            text = spaced(held)
             held.clear()
             if text:
+                if heading:
+                    headings.append(len(texts))
                 texts.append(text)
                 ranks.append(stack[-1][1])
 
@@ -150,6 +165,8 @@ def lines_of(html: str | None) -> tuple[list[str], list[int]]:
         name = name.lower()
         if name in _BLOCKS:
             flush()
+        if name in _HEADINGS:
+            heading = "" if closing else name
         if closing:
             if name in _CONTAINERS:
                 for depth in range(len(stack) - 1, 0, -1):
@@ -161,6 +178,8 @@ def lines_of(html: str | None) -> tuple[list[str], list[int]]:
         elif name in _RAW:
             if not attributes.endswith("/"):
                 end = re.compile(rf"</{re.escape(name)}\b[^>]*>", re.IGNORECASE).search(html, at)
+                if name == "title" and title is None:
+                    title = spaced([html[at : end.start() if end else size]])
                 at = end.end() if end else size
         elif name in _CONTAINERS and name not in _VOID and not (attributes.endswith("/") and name != "p"):
             if name == "p" and stack[-1][0] == "p":
@@ -170,112 +189,117 @@ def lines_of(html: str | None) -> tuple[list[str], list[int]]:
                 flush()
             stack.append((name, rank, forced))
     flush()
-    return texts, declared([len(t) for t in texts], ranks)
+    ranks = declared([len(t) for t in texts], ranks)
+    best = max([PLAIN, *ranks])
+    first = [k for k in headings if ranks[k] == best][:1]
+    return texts, ranks, sorted({*first, *(k for k, t in enumerate(texts) if t == title)})
 
 
-def aligned(a: list[int], b: list[int]) -> tuple[list[int], list[int]]:
-    """Places in ``a`` and ``b`` of a longest common subsequence of both, by rows of bits."""
-    both = set(a) & set(b)
-    places = [i for i, x in enumerate(a) if x in both]
-    others = [j for j, x in enumerate(b) if x in both]
+def _masks(b: list[int]) -> dict[int, int]:
     masks: dict[int, int] = {}
-    for j, at in enumerate(others):
-        masks[b[at]] = masks.get(b[at], 0) | 1 << j
-    full = (1 << len(others)) - 1
-    rows = [full]
-    for i in places:
-        v = rows[-1]
-        u = v & masks[a[i]]
-        rows.append(((v + u) | (v - u)) & full)
-    out, i, j = [], len(places), len(others)
-    while i and j:
-        if rows[i] >> (j - 1) & 1:
-            j -= 1
-        elif not rows[i - 1] >> (j - 1) & 1:
-            i -= 1
-        else:
-            i, j = i - 1, j - 1
-            out.append((places[i], others[j]))
-    return [x for x, _ in out[::-1]], [x for _, x in out[::-1]]
+    for j, x in enumerate(b):
+        masks[x] = masks.get(x, 0) | 1 << j
+    return masks
 
 
-def shared(a: list[int], b: list[int]) -> list[int]:
-    """Places in ``a`` of a longest common subsequence of ``a`` and ``b``."""
-    return aligned(a, b)[0]
+def _next(v: int, mask: int, full: int) -> int:
+    """One row of the alignment: a bit is off where the common subsequence grows."""
+    u = v & mask
+    return ((v + u) | (v - u)) & full
 
 
-def same_words(a: str, b: str) -> bool:
-    """Half of the words of the longer text are a common subsequence of both."""
-    x, y = a.split(), b.split()
-    masks: dict[str, int] = {}
-    for j, word in enumerate(y):
-        masks[word] = masks.get(word, 0) | 1 << j
-    full = v = (1 << len(y)) - 1
-    for word in x:
-        u = v & masks.get(word, 0)
-        v = ((v + u) | (v - u)) & full
-    return len(y) - v.bit_count() >= HALF * max(len(x), len(y))
+def _reach(a: list[int], b: list[int]) -> np.ndarray:
+    """Length of a longest common subsequence of ``a`` and each start of ``b``, the empty one first."""
+    masks, full = _masks(b), (1 << len(b)) - 1
+    v = full
+    for x in a:
+        v = _next(v, masks.get(x, 0), full)
+    bits = np.unpackbits(np.frombuffer(v.to_bytes(len(b) // 8 + 1, "little"), np.uint8), bitorder="little")[: len(b)]
+    return np.concatenate([[0], np.cumsum(bits == 0)])
 
 
-@F.arrow_udf(T.BooleanType())
-def _same_words(a: pa.Array, b: pa.Array) -> pa.Array:
-    return pa.array(map(same_words, a.to_pylist(), b.to_pylist()), pa.bool_())
+def shared(a: list[int], b: list[int]) -> list[int]:
+    """Places in ``a`` of a longest common subsequence of ``a`` and ``b``."""
+    both = set(a) & set(b)
+    places, out = [i for i, x in enumerate(a) if x in both], []
+    # Parts of both lists that are aligned with each other; a large one is split at the middle of the first.
+    parts = [(places, [x for x in b if x in both])]
+    while parts:
+        rows, others = parts.pop()
+        if not rows or not others:
+            continue
+        if len(rows) > 1 and len(rows) * len(others) > ALIGNED_AT_ONCE:
+            half = len(rows) // 2
+            before = _reach([a[i] for i in rows[:half]], others)
+            after = _reach([a[i] for i in rows[half:][::-1]], others[::-1])[::-1]
+            cut = int((before + after).argmax())
+            parts += [(rows[half:], others[cut:]), (rows[:half], others[:cut])]
+            continue
+        masks, full = _masks(others), (1 << len(others)) - 1
+        steps = [full]
+        for i in rows:
+            steps.append(_next(steps[-1], masks.get(a[i], 0), full))
+        i, j, found = len(rows), len(others), []
+        while i and j:
+            if steps[i] >> (j - 1) & 1:
+                j -= 1
+            elif not steps[i - 1] >> (j - 1) & 1:
+                i -= 1
+            else:
+                i, j = i - 1, j - 1
+                found.append(rows[i])
+        out += found[::-1]
+    return out
 
 
 _LINES = T.StructType([
     T.StructField("texts", T.ArrayType(T.StringType())),
     T.StructField("ranks", T.ArrayType(T.IntegerType())),
     T.StructField("hashes", T.ArrayType(T.LongType())),
-    T.StructField("sizes", T.ArrayType(T.IntegerType())),
+    T.StructField("firm", T.ArrayType(T.IntegerType())),
 ])
 
 
 @F.arrow_udf(_LINES)
 def _lines(html: pa.Array) -> pa.Array:
     found = [lines_of(h.as_py()) for h in html]
-    hashes = [[xxhash.xxh64_intdigest(t.encode("utf-8", "surrogatepass")) - (1 << 63) for t in texts] for texts, _ in found]
+    hashes = [[xxhash.xxh64_intdigest(t.encode("utf-8", "surrogatepass")) - (1 << 63) for t in texts] for texts, _, _ in found]
     return pa.StructArray.from_arrays(
         [
-            pa.array([[t.encode("utf-8", "replace").decode() for t in texts] for texts, _ in found], pa.list_(pa.string())),
-            pa.array([ranks for _, ranks in found], pa.list_(pa.int32())),
+            pa.array([[t.encode("utf-8", "replace").decode() for t in texts] for texts, _, _ in found], pa.list_(pa.string())),
+            pa.array([ranks for _, ranks, _ in found], pa.list_(pa.int32())),
             pa.array(hashes, pa.list_(pa.int64())),
-            pa.array([[len(t) for t in texts] for texts, _ in found], pa.list_(pa.int32())),
+            pa.array([firm for _, _, firm in found], pa.list_(pa.int32())),
         ],
-        ["texts", "ranks", "hashes", "sizes"],
+        ["texts", "ranks", "hashes", "firm"],
     )
 
 
-_CUTS = "place long, cut array<int>, near long, rest array<int>, near_rest array<int>"
-
-
-def _cuts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Per pair the places of shared lines that go; pairs that lose nothing are left out.
-
-    With ``near`` it is in doubt whether they are copies: the lines ``rest`` and ``near_rest`` tell.
-    """
-    kinds = [pa.int64(), pa.list_(pa.int32()), pa.int64(), pa.list_(pa.int32()), pa.list_(pa.int32())]
-    for batch in batches:
-        out: list[tuple] = []
-        columns = [batch.column(c) for c in ("place", "ranks", "sizes", "hashes", "near", "near_ranks", "near_hashes")]
-        for i in range(batch.num_rows):
-            place, ranks, sizes, hashes, near, near_ranks, near_hashes = (c[i].as_py() for c in columns)
-            common, others = aligned(hashes, near_hashes)
-            best = max([PLAIN, *ranks])
-            cut = [k for k in common if ranks[k] == best]
-            if not cut:
-                continue
-            gone = set(cut)
-            rest = [k for k, r in enumerate(ranks) if r == best and k not in gone]
-            own, whole = sum(sizes[k] for k in rest), sum(s for s, r in zip(sizes, ranks) if r == best)
-            if own >= HALF * whole:
-                out.append((place, cut, None, None, None))
-                continue
-            best, gone = max([PLAIN, *near_ranks]), set(others)
-            near_rest = [k for k, r in enumerate(near_ranks) if r == best and k not in gone]
-            if rest and near_rest:
-                out.append((place, cut, near, rest, near_rest))
-        columns = zip(*out) if out else [[]] * len(kinds)
-        yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], ["place", "cut", "near", "rest", "near_rest"])
+_SHARED = T.StructType([T.StructField("at", T.IntegerType()), T.StructField("line", T.LongType())])
+
+
+@F.arrow_udf(T.ArrayType(_SHARED))
+def _shared(ranks: pa.Array, firm: pa.Array, hashes: pa.Array, near_hashes: pa.Array) -> pa.Array:
+    """The lines of the best rank that the nearest page shares, but for title and heading: their places and hashes."""
+    out = []
+    for row in zip(ranks, firm, hashes, near_hashes):
+        rank, stays, own, near = (c.as_py() for c in row)
+        best = max([PLAIN, *rank])
+        out.append([{"at": k, "line": own[k]} for k in shared(own, near) if rank[k] == best and k not in stays])
+    return pa.array(out, pa.list_(pa.struct([("at", pa.int32()), ("line", pa.int64())])))
+
+
+def _frames(pages: DataFrame, shared_lines: DataFrame) -> DataFrame:
+    """Of ``place, at, line, host, declared`` those on lines that stand on enough pages of the host."""
+    asked = shared_lines.select("host", "line").distinct()
+    held = pages.select("host", F.explode(F.array_distinct("hashes")).alias("line"))
+    seen = held.join(broadcast_within(staged(asked, "asked-lines"), F.length("host") * 4 + 24), ["host", "line"], "left_semi")
+    seen = staged(seen.groupBy("host", "line").agg(F.count("*").alias("n")), "lines-of-hosts")
+    hosts = staged(pages.groupBy("host").agg(F.count("*").alias("pages")), "hosts")
+    least = F.greatest(F.col("pages") * SHARE, F.when(F.col("declared"), F.lit(LEAST_PAGES)).otherwise(F.lit(2)))
+    counted = shared_lines.join(broadcast_within(seen, F.length("host") * 4 + 24), ["host", "line"])
+    counted = counted.join(broadcast_within(hosts, F.length("host") * 4 + 16), "host")
+    return counted.where(F.col("n") >= least).select("place", "at")
 
 
 def nearest(pages: DataFrame) -> DataFrame:
@@ -319,23 +343,22 @@ def extract(df: DataFrame, html_col: str = "html", url_col: str = "url") -> Data
     ).select("row", "host", "path", "lines.*", F.monotonically_increasing_id().alias("place"))
     pages = staged(pages, "page-lines")
     pairs = nearest(pages.where("host <> ''"))
-    sides = pages.select("place", "ranks", "sizes", "hashes").join(pairs, "place")
-    other = pages.select(F.col("place").alias("near"), F.col("ranks").alias("near_ranks"), F.col("hashes").alias("near_hashes"))
-    sides = sides.join(other, "near").select("place", "ranks", "sizes", "hashes", "near", "near_ranks", "near_hashes")
-    cuts = staged(sides.mapInArrow(_cuts, _CUTS), "shared-lines")
-    doubted = cuts.where("near is not null").join(pages.select("place", "texts"), "place")
-    doubted = doubted.join(pages.select(F.col("place").alias("near"), F.col("texts").alias("near_texts")), "near")
-    rest, near_rest = (F.expr(f"array_join(transform({r}, i -> {t}[i]), ' ')") for r, t in (("rest", "texts"), ("near_rest", "near_texts")))
-    told = doubted.where(~_same_words(rest, near_rest)).select("place", "cut")
-    cuts = staged(cuts.where("near is null").select("place", "cut").unionByName(told), "lines-cut")
-    joined = pages.join(small_broadcast(cuts), "place", "left")
+    sides = pages.select("place", "host", "ranks", "firm", "hashes").join(pairs, "place")
+    other = pages.select(F.col("place").alias("near"), F.col("hashes").alias("near_hashes"))
+    sides = sides.join(other, "near").withColumn("lines", _shared("ranks", "firm", "hashes", "near_hashes"))
+    sides = sides.select("place", "host", (F.array_max("ranks") > PLAIN).alias("declared"), F.explode("lines").alias("x"))
+    lines = staged(sides.select("place", "host", "declared", "x.*"), "shared-lines")
+    cuts = staged(_frames(pages.where("host <> ''"), lines).groupBy("place").agg(F.collect_list("at").alias("cut")), "lines-cut")
+    joined = pages.join(broadcast_within(cuts, F.size("cut") * 4 + 24), "place", "left")
     best = F.greatest(F.array_max("ranks"), F.lit(PLAIN))
-    kept = F.filter(
-        F.arrays_zip("texts", "ranks", F.sequence(F.lit(0), F.size("texts")).alias("at")),
-        lambda x: (x["ranks"] >= F.col("best")) & ~F.coalesce(F.array_contains(F.col("cut"), x["at"]), F.lit(False)),
+    article = F.filter(
+        F.arrays_zip("texts", "ranks", F.sequence(F.lit(0), F.size("texts")).alias("at")), lambda x: x["ranks"] >= F.col("best")
     )
+    own = F.filter(F.col("article"), lambda x: ~F.coalesce(F.array_contains(F.col("cut"), x["at"]), F.lit(False)))
+    joined = joined.withColumn("best", best).withColumn("article", article).withColumn("own", own)
+    kept = F.when(F.size("own") > 0, F.col("own")).otherwise(F.col("article"))
     text = F.array_join(F.transform(kept, lambda x: x["texts"]), " ")
-    told = joined.withColumn("best", best).select("row", text.alias("text"))
+    told = joined.select("row", text.alias("text"))
     return told.select(*[F.col("row").getField(c).alias(c) for c in columns], "text")
 
 
