@@ -1,7 +1,7 @@
 """Landed raw sources to clean, keyed geo-entities, as Spark DataFrame jobs."""
 
 from geoingest.operators.accounts import account_health, assign_round_robin
-from geoingest.operators.enrich import enrich, enrich_tracks, routable, route_url
+from geoingest.operators.enrich import enrich, enrich_tracks, isolated, routable, route_url
 from geoingest.operators.failures import failure_projection, record_failures
 from geoingest.operators.fetchlog import (
     backoff_interval,
@@ -34,6 +34,7 @@ from geoingest.operators.runlog import (
 )
 from geoingest.plans.ingest import RunResult, Target, landed_reader, run_ingest
 from geoingest.session import build_session, checkpoint_dir
+from geoingest.sinks.buckets import BucketTable, bucketed_entities, bucketed_failures
 from geoingest.sinks.tables import (
     VersionedTable,
     append_run_log,

@@ -5,8 +5,12 @@ from __future__ import annotations
 import logging
 from collections.abc import Callable, Iterable
 
+import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from geoingest.functions.expr import compute_once, let, to_float
 from geoingest.functions.tracks import route_coordinates, stamp_track
@@ -70,3 +74,43 @@ def enrich(df: DataFrame, enrichers: Iterable[Callable[[DataFrame], DataFrame]])
             continue
         df = out
     return df
+
+
+def isolated(fn: Callable[[pd.DataFrame], pd.DataFrame], inputs: list[str], outputs: str) -> Callable[[DataFrame], DataFrame]:
+    """An enricher that fails row by row: of a batch that ``fn`` fails on, only the bad rows stay as they were.
+
+    ``fn`` takes the columns ``inputs`` of a batch and returns the columns ``outputs`` (a schema text), a row for each row. Where
+    it raises, or returns what does not fit the schema, the batch is halved in the task until the rows at fault are alone; their error goes to
+    ``_enrich_error``, where several enrichers' errors are joined. So a run costs the same jobs however many rows fail.
+    """
+    fields = T.StructType.fromDDL(outputs)
+    names = fields.fieldNames()
+    schema, result = to_arrow_schema(fields), T.StructType([*fields.fields, T.StructField("_error", T.StringType())])
+
+    def attempt(rows: pd.DataFrame) -> list[pd.DataFrame]:
+        try:
+            out = fn(rows.reset_index(drop=True).copy())[names].reset_index(drop=True)
+            if len(out) != len(rows):
+                raise ValueError(f"{len(out)} rows for {len(rows)}")
+            pa.RecordBatch.from_pandas(out, schema=schema, preserve_index=False)
+            return [out.assign(_error=None)]
+        except Exception as exc:  # noqa: BLE001
+            if len(rows) > 1:
+                half = len(rows) // 2
+                return attempt(rows.iloc[:half]) + attempt(rows.iloc[half:])
+            return [pd.DataFrame([dict.fromkeys(names) | {"_error": f"{type(exc).__name__}: {exc}"[:1000]}])]
+
+    @F.pandas_udf(result)
+    def run(rows: pd.DataFrame) -> pd.DataFrame:
+        parts = attempt(rows) if len(rows) else [pd.DataFrame(columns=[*names, "_error"])]
+        return pd.concat([p.astype(object) for p in parts], ignore_index=True)
+
+    def stage(df: DataFrame) -> DataFrame:
+        found = df.withColumn("_found", run(F.struct(*[F.col(f"`{c}`") for c in inputs])))
+        old = {f.name: F.col(f"`{f.name}`") if f.name in df.columns else F.lit(None).cast(f.dataType) for f in fields}
+        failed = F.col("_found._error")
+        errors = F.concat_ws("; ", *([F.col("_enrich_error")] if "_enrich_error" in df.columns else []), failed)
+        new = {c: F.when(failed.isNull(), F.col("_found").getField(c)).otherwise(old[c]) for c in names}
+        return found.withColumns({**new, "_enrich_error": F.nullif(errors, F.lit(""))}).drop("_found")
+
+    return stage

@@ -227,3 +227,31 @@ def rank_mirrors(health: DataFrame, mirrors: Sequence[str], *, mirror: str = "mi
     candidates = known.withColumn("_any", F.max("usable").over(everyone)).where("usable or not _any")
     order = W.orderBy(F.col("last_success_ts").desc_nulls_last(), "config_rank")
     return candidates.select(mirror, "config_rank", "usable", F.row_number().over(order).alias("rank"))
+
+
+def windowed_health(log: DataFrame, *, group: str = "source", width: str = "7 days", slide: str = "1 day", late: str | None = None) -> DataFrame:
+    """Attempts, failures and slow-downs per source and sliding window of event time.
+
+    The same aggregate over a table and over a stream; ``late`` is the stream's watermark, after which windows are dropped from state.
+    """
+    log = log.where(F.col("ts").isNotNull()).withColumn("ts", F.col("ts").cast("timestamp"))
+    seen = log.withWatermark("ts", late) if late else log
+    won = is_success(F.col("status"))
+    counts = seen.groupBy(group, F.window("ts", width, slide)).agg(
+        F.count("*").alias("attempts"),
+        F.sum((~won).cast("long")).alias("failures"),
+        F.sum(F.coalesce(F.col("status").isin(*BACKOFF_STATUSES), F.lit(False)).cast("long")).alias("slowed"),
+        F.max("ts").alias("last_ts"),
+    )
+    return counts.select(group, F.col("window.start").alias("since"), F.col("window.end").alias("until"), "attempts", "failures", "slowed", "last_ts")
+
+
+def outages(log: DataFrame, *, group: str = "source", gap: str = "1 hour", late: str | None = None) -> DataFrame:
+    """Runs of failed attempts of a source that follow each other within ``gap``: start, last failure and number.
+
+    Sessions of event time, over a table or, with the watermark ``late``, over a stream.
+    """
+    failed = log.where(F.col("ts").isNotNull() & ~is_success(F.col("status"))).withColumn("ts", F.col("ts").cast("timestamp"))
+    failed = failed.withWatermark("ts", late) if late else failed
+    runs = failed.groupBy(group, F.session_window("ts", gap)).agg(F.count("*").alias("failures"), F.max("ts").alias("last_ts"))
+    return runs.select(group, F.col("session_window.start").alias("first_ts"), "last_ts", "failures")

@@ -171,3 +171,30 @@ def round_robin(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.col("s_suppkey") % 3 == 0).alias("is_cooling"),
     )
     return accounts.assign_round_robin(work, pool, order_col="doc_id").select("doc_id", "account")
+
+
+@query(f"""WITH {FETCH_SQL}, w AS (SELECT source, ts, status, CAST(ts AS DATE) - CAST(unnest(range(7)) AS INT) AS day FROM fetchlog)
+SELECT source, strftime(day, '%Y-%m-%d') AS since, CAST(count(*) AS BIGINT) AS attempts,
+  CAST(count(*) FILTER (WHERE NOT coalesce(status >= 200 AND status < 400, false)) AS BIGINT) AS failures,
+  CAST(count(*) FILTER (WHERE status IN (429, 500, 502, 503, 504)) AS BIGINT) AS slowed,
+  strftime(max(ts), '%Y-%m-%d %H:%M:%S.%f') AS last_ts
+FROM w GROUP BY source, day""")
+def windowed_health(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Attempts and failures per source over seven days, for every day they begin on."""
+    out = fetchlog.windowed_health(fetch_log(spark, sf_dir))
+    return out.select(
+        "source", F.date_format("since", "yyyy-MM-dd").alias("since"), "attempts", "failures", "slowed", _text_ts("last_ts").alias("last_ts")
+    )
+
+
+@query(f"""WITH {FETCH_SQL}, f AS (
+  SELECT source, ts, lag(ts) OVER (PARTITION BY source ORDER BY ts, event_id) AS before, event_id FROM fetchlog
+  WHERE NOT coalesce(status >= 200 AND status < 400, false)),
+n AS (SELECT source, ts, sum(CASE WHEN before IS NULL OR ts >= before + INTERVAL 1 HOUR THEN 1 ELSE 0 END)
+  OVER (PARTITION BY source ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING) AS run FROM f)
+SELECT source, strftime(min(ts), '%Y-%m-%d %H:%M:%S.%f') AS first_ts, strftime(max(ts), '%Y-%m-%d %H:%M:%S.%f') AS last_ts,
+  CAST(count(*) AS BIGINT) AS failures FROM n GROUP BY source, run""")
+def outages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Failures of a source that follow each other within an hour."""
+    out = fetchlog.outages(fetch_log(spark, sf_dir))
+    return out.select("source", _text_ts("first_ts").alias("first_ts"), _text_ts("last_ts").alias("last_ts"), "failures")

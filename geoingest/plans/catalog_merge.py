@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from uuid import uuid4
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -19,6 +21,8 @@ from geoingest.plans.derived import (
     order_entities,
 )
 from geoingest.plans.registry import query, table
+from geoingest.session import checkpoint_dir
+from geoingest.sinks.buckets import bucketed_entities, bucketed_failures
 
 
 def _now() -> Column:
@@ -261,7 +265,7 @@ def failure_projection(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@query(f"""WITH {_FAILED_SQL}, s AS (SELECT source_id, count(*) AS n, arg_max(stage, _pos) AS st, arg_max(substr(detail, 1, 2000), _pos) AS de,
+_FAILURES = f"""WITH {_FAILED_SQL}, s AS (SELECT source_id, count(*) AS n, arg_max(stage, _pos) AS st, arg_max(substr(detail, 1, 2000), _pos) AS de,
   arg_max(text, _pos) FILTER (WHERE text IS NOT NULL) AS ti, arg_max(raw_ref, _pos) FILTER (WHERE raw_ref LIKE 'https://%') AS ur,
   arg_max(_pos % 180, _pos) FILTER (WHERE has_point = 0) AS x FROM ev GROUP BY source_id),
 t AS (SELECT DISTINCT {_KNOWN_KEY} AS source_id, user_id % 4 + 1 AS n FROM events)
@@ -270,16 +274,57 @@ SELECT coalesce(s.source_id, t.source_id) AS source_id, coalesce(ti, CASE WHEN t
   CAST(coalesce(s.n, 0) + coalesce(t.n, 0) AS BIGINT) AS attempts,
   CASE WHEN t.source_id IS NULL THEN '2024-02-01' ELSE '2024-01-01' END AS first_attempt_at,
   CASE WHEN s.source_id IS NULL THEN '2024-01-01' ELSE '2024-02-01' END AS last_attempt_at
-FROM s FULL JOIN t ON s.source_id = t.source_id""")
+FROM s FULL JOIN t ON s.source_id = t.source_id"""
+
+
+@query(_FAILURES)
 def failure_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Failure table after the events of a run."""
-    out = failures.record_failures(_known_failures(spark, sf_dir), _failure_events(spark, sf_dir), _now())
+    return _shown_failures(failures.record_failures(_known_failures(spark, sf_dir), _failure_events(spark, sf_dir), _now()))
+
+
+def _shown_failures(out: DataFrame) -> DataFrame:
     return out.select(
         "source_id", "title", "url", F.get_json_object("geom", _X).cast("double").alias("x"), "failure_stage",
         F.md5("failure_detail").alias("detail_digest"), "attempts", _day("first_attempt_at"), _day("last_attempt_at"),
     )
 
 
+def _table_path(spark: SparkSession, name: str) -> str:
+    return f"{checkpoint_dir(spark)}/tables/{name}-{uuid4().hex}"
+
+
+@query(_FIELDS.replace("@still", "f.source_id IS NULL"))
+def upsert_in_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stored table after a commit that rewrites the touched buckets, and a replay of it."""
+    stored = bucketed_entities(spark, _table_path(spark, "entities"))
+    stored.apply(customer_table(spark, sf_dir), lambda _, batch: batch, "load")
+    for _ in range(2):
+        stored.upsert(order_entities(spark, sf_dir), _now(), tag="orders")
+    return _fields(stored.read())
+
+
+@query(f"""{_GONE} SELECT t.source_id,
+  CASE WHEN was_removed THEN '2024-01-01' WHEN g.source_id IS NOT NULL THEN '2024-02-01' END AS removed_at
+FROM target t LEFT JOIN gone g USING (source_id)""")
+def soft_delete_in_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stored table after a soft delete that rewrites the touched buckets."""
+    stored = bucketed_entities(spark, _table_path(spark, "entities"))
+    stored.apply(customer_table(spark, sf_dir), lambda _, batch: batch, "load")
+    stored.soft_delete(_deleted_keys(spark, sf_dir), _now(), tag="gone")
+    return stored.read().select("source_id", _day("removed_at"))
+
+
+@query(_FAILURES)
+def failures_in_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stored failures after a run and its replay: no attempt is counted twice."""
+    stored = bucketed_failures(spark, _table_path(spark, "failures"))
+    stored.apply(_known_failures(spark, sf_dir), lambda _, batch: batch, "load")
+    for _ in range(2):
+        stored.record_failures(_failure_events(spark, sf_dir), _now(), tag="run")
+    return _shown_failures(stored.read())
+
+
 # Outcomes of a run with two sinks, one row per record and sink; sink 1 refuses some rows.
 _RUN = [
     "concat('s', CAST(user_id % 8 AS STRING)) AS source",

@@ -20,6 +20,7 @@ from geoingest.operators.merge import DO_UPDATE, invalid_reason, upsert_entities
 from geoingest.operators.normalize import NORMALIZER_NONE, normalize
 from geoingest.schemas import RUN_LOG
 from geoingest.session import checkpoint_dir
+from geoingest.sinks.buckets import BucketTable
 from geoingest.sinks.tables import VersionedTable, append_run_log, read_run_log
 from geoingest.sources.record import NO_RECORD
 
@@ -36,7 +37,7 @@ class Target:
     became of each key, ``(n_inserted, n_updated, n_skipped)``, as ``upsert_entities`` does.
     """
 
-    table: VersionedTable | None = None
+    table: VersionedTable | BucketTable | None = None
     name: str = "entities"
     on_conflict: str = DO_UPDATE
     soft_delete: bool = True
@@ -58,7 +59,7 @@ class RunResult:
 
 _STAGED = [
     "entity_type", "source", "source_id", "geom", "attrs", "bbox_country", "confidence", "_pos",
-    "text", "raw_ref", "coord_hint", "_stage", "_outcome", "_error",
+    "text", "raw_ref", "coord_hint", "_stage", "_outcome", "_error", "_enrich_error",
 ]
 
 
@@ -72,7 +73,7 @@ def run_ingest(
     normalizer: Stage | None = None,
     enrichers: Sequence[Stage] = (),
     targets: Sequence[Target] = (Target(name="dryrun"),),
-    failures: VersionedTable | None = None,
+    failures: VersionedTable | BucketTable | None = None,
     run_log_path: str | None = None,
     http_status: int | None = None,
     run_id: str | None = None,
@@ -193,7 +194,7 @@ def _run(
     normalizer: Stage | None,
     enrichers: Sequence[Stage],
     targets: Sequence[Target],
-    failures: VersionedTable | None,
+    failures: VersionedTable | BucketTable | None,
     run_log_path: str | None,
     http_status: int | None,
     run_id: str,
@@ -219,6 +220,8 @@ def _run(
     )
 
     def shaped(good: DataFrame) -> DataFrame:
+        if "_enrich_error" not in good.columns:
+            good = good.withColumn("_enrich_error", F.lit(None).cast("string"))
         both = good.withColumn("_stage", F.lit("normalize")).unionByName(missing, allowMissingColumns=True)
         return both.select(*_STAGED).withColumn("_reason", F.when(F.col("_outcome").isNull(), invalid_reason()))
 
@@ -232,12 +235,13 @@ def _run(
     rows = rows.unionByName(spark.read.schema(dropped.schema).parquet(f"{base}/dropped"), allowMissingColumns=True)
 
     result = RunResult(rows_unenriched=unenriched)
-    by_outcome = {
-        (r["_outcome"], r["refused"]): r["n"]
-        for r in rows.groupBy("_outcome", F.col("_reason").isNotNull().alias("refused"))
-        .agg(F.count("*").alias("n"))
+    counted = (
+        rows.groupBy("_outcome", F.col("_reason").isNotNull().alias("refused"))
+        .agg(F.count("*").alias("n"), F.count("_enrich_error").alias("n_apart"))
         .collect()
-    }
+    )
+    by_outcome = {(r["_outcome"], r["refused"]): r["n"] for r in counted}
+    result.rows_unenriched += sum(r["n_apart"] for r in counted)
     result.rows_total = sum(by_outcome.values())
     n_refused, n_valid = by_outcome.get((None, True), 0), by_outcome.get((None, False), 0)
     result.rows_skipped = by_outcome.get(("skipped", False), 0)
@@ -292,7 +296,9 @@ def _run(
     # A bounded sample by design: the first errors of the run, for the summary and the log row.
     first = failed.orderBy("_pos").limit(max(errors_kept, 1)).collect()
     result.errors = [r["detail"] for r in first]
-    if failures is not None and not (tag and failures.has(tag)):
+    if isinstance(failures, BucketTable):
+        failures.record_failures(failed, now, tag=tag)
+    elif failures is not None and not (tag and failures.has(tag)):
         failures.commit(record_failures(failures.read(), failed, now), tag)
     result.duration_ms = int((time.monotonic() - started) * 1000)
     if run_log_path is not None and not (tag and _logged(spark, run_log_path, run_id)):
@@ -335,6 +341,9 @@ def _with_missing(locators: DataFrame, raw: DataFrame) -> DataFrame:
 def _persist(target: Target, valid: DataFrame, now: Column, tag: str | None) -> int:
     """Upsert and return the number of new keys; an upsert never deletes, so the row counts tell."""
     table = target.table
+    if isinstance(table, BucketTable):
+        # A replayed batch finds its buckets written; what it added to them was told by the run before.
+        return table.upsert(valid, now, on_conflict=target.on_conflict, soft_delete=target.soft_delete, tag=tag)["n_inserted"]
     if tag and table.has(tag):
         if not table.has_version(tag):
             return 0  # pruned since: the batch is stored, what it added is no longer known
