@@ -22,6 +22,7 @@ from __future__ import annotations
 import zlib
 from collections.abc import Iterator
 from functools import cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -58,20 +59,21 @@ def buckets_of(text: bytes) -> tuple[int, np.ndarray]:
     tokens = splitter().pre_tokenize_str(text.lower().decode("utf-8", "replace"))
     if not tokens:
         return 0, np.zeros(0, np.uint16)
-    offsets = np.array([pair for _, pair in tokens])
-    spaced = " " + " ".join([word for word, _ in tokens])
-    ends = np.cumsum(offsets[:, 1] - offsets[:, 0] + 1)
+    words, offsets = zip(*tokens)
+    spaced = " " + " ".join(words)
+    bounds = np.fromiter(chain.from_iterable(offsets), np.int64, 2 * len(words))
+    ends = np.cumsum(bounds[1::2] - bounds[::2] + 1)
     if not spaced.isascii():
         points = np.frombuffer(spaced.encode("utf-32-le"), np.uint32)
         ends = np.cumsum(1 + (points >= 0x80) + (points >= 0x800) + (points >= 0x10000))[ends - 1]
-    pairs = [slice(a, b) for a, b in zip([0, *ends.tolist()], ends.tolist())]
-    parts = list(map(memoryview(spaced.encode()).__getitem__, pairs))
+    ends = ends.tolist()
+    parts = list(map(spaced.encode().__getitem__, map(slice, [0, *ends], ends)))
     sums = [zlib.crc32(x[1:]) for x in parts]
-    out = [np.array(sums, np.uint32)]
+    out = [*sums]
     for k in range(1, MOST_WORDS):
         sums = list(map(zlib.crc32, parts[k:], sums))
-        out.append(np.array(sums, np.uint32))
-    return len(tokens), (np.concatenate(out) % BUCKETS).astype(np.uint16)
+        out += sums
+    return len(words), (np.fromiter(out, np.uint32, len(out)) % BUCKETS).astype(np.uint16)
 
 
 _FEATURES = T.StructType([T.StructField("n_words", T.LongType()), T.StructField("buckets", T.BinaryType())])
