@@ -178,7 +178,8 @@ def search(vectors: DataFrame, queries: DataFrame, k: int = K) -> DataFrame:
     rows = vectors.withColumn("shard", shard).withColumn("role", F.lit(0)).select(*names)
     # The stated queries against every shard.
     asked = queries.withColumn("shard", F.explode(F.sequence(F.lit(0), F.lit(max(total - 1, 0))))).withColumn("role", F.lit(1))
-    dealt = rows.unionByName(asked.select(*names)).repartition(max(total, 1), "shard").sortWithinPartitions("shard", "role")
+    # By range, as a hash of so few numbers would put several shards into one task.
+    dealt = rows.unionByName(asked.select(*names)).repartitionByRange(max(total, 1), "shard").sortWithinPartitions("shard", "role")
     found = dealt.mapInArrow(_search(k), "place long, query_id long, vec_id long, score long")
     rank = F.row_number().over(W.partitionBy("place").orderBy(F.desc("score"), "vec_id"))
     return found.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
