@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from geoingest.plans import catalog_fetch, catalog_geo, catalog_media, catalog_merge  # noqa: F401
+from geoingest.plans import catalog_fetch, catalog_geo, catalog_media, catalog_merge, catalog_run  # noqa: F401
 from geoingest.plans.registry import ORACLE, QUERIES, QueryFn
 
 

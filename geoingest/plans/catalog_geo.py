@@ -490,15 +490,36 @@ def gpx_waypoints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("source_id", "lat", "lon", "name", "type", "hint_lat")
 
 
-@query(f"""{_POINTS} SELECT 'url' AS source, url AS source_id FROM pts JOIN geo USING (k) WHERE point_pos = 0
-UNION ALL SELECT 'html', url FROM pages
-UNION ALL SELECT 'api', concat('e', CAST(event_id AS STRING)) FROM events""")
+# Numbers of a record's JSON are compared as numbers, everything else as it is.
+@query(f"""{_POINTS}, {_PAGE_TEXT.replace('WITH ', '')},
+links AS (SELECT k, geo.url, p.lat, p.lon FROM geo JOIN pts p USING (k) WHERE point_pos = 0),
+ends AS (SELECT k, lat, lon FROM pts WHERE point_pos = 1)
+SELECT 'url' AS source, l.url AS source_id, l.url AS raw_ref, l.lat AS hint_lat, l.lon AS hint_lon, NULL AS text_digest,
+  l.url AS media_url, k AS _pos, '2024-02-01' AS fetched_at,
+  concat(l.url, '|', CAST(l.lat AS STRING), '|', CAST(l.lon AS STRING), coalesce('|' || CAST(e.lat AS STRING) || '|' || CAST(e.lon AS STRING), '')) AS raw_told
+FROM links l LEFT JOIN ends e USING (k)
+UNION ALL SELECT 'html', url, url, NULL, NULL, md5(substr(body_text, 1, 50000)), NULL, page_id, '2024-01-01', md5(html)
+FROM txt JOIN pages USING (page_id, url)
+UNION ALL SELECT 'api', concat('e', CAST(event_id AS STRING)), concat('e', CAST(event_id AS STRING)), NULL, NULL, NULL, NULL, event_id,
+  strftime(ts, '%Y-%m-%d'), json_extract_string(props, '$.k') FROM events""")
 def union_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Records of three sources stacked."""
-    pages = spread(table(spark, sf_dir, "pages")).withColumnRenamed("html", "body")
+    """Records of three sources stacked, all their columns: raw JSON by what it holds, texts by digest."""
+    links = _links(spark, sf_dir).withColumn("media_url", F.col("value")).withColumn("fetched_at", F.lit("2024-02-01"))
+    pages = spread(table(spark, sf_dir, "pages")).select(
+        F.col("page_id").alias("_pos"), "url", F.col("html").alias("body"), F.lit("2024-01-01").alias("fetched_at")
+    )
     landed = table(spark, sf_dir, "events").select(
-        F.concat(F.lit("e"), F.col("event_id").cast("string")).alias("url"), F.col("props").alias("body")
+        F.col("event_id").alias("_pos"), F.concat(F.lit("e"), F.col("event_id").cast("string")).alias("url"),
+        F.col("props").alias("body"), F.col("ts").alias("fetched_at"),
+    )
+    points = F.flatten(F.from_json(F.get_json_object("raw", "$.points"), "array<array<double>>"))
+    told = (
+        F.when(F.col("source") == "url", F.concat_ws("|", F.get_json_object("raw", "$.url"), points.cast("array<string>")))
+        .when(F.col("source") == "html", F.md5(F.get_json_object("raw", "$.body")))
+        .otherwise(F.get_json_object("raw", "$.json.k"))
     )
-    return stack(url_records(_links(spark, sf_dir)), page_records(pages), json_records(landed)).select(
-        "source", "source_id"
+    return stack(url_records(links), page_records(pages), json_records(landed)).select(
+        "source", "source_id", "raw_ref", F.col("coord_hint.lat").alias("hint_lat"), F.col("coord_hint.lon").alias("hint_lon"),
+        F.md5("text").alias("text_digest"), "media_url", "_pos", F.date_format("fetched_at", "yyyy-MM-dd").alias("fetched_at"),
+        told.alias("raw_told"),
     )

@@ -9,7 +9,7 @@ from dataclasses import dataclass, field
 from uuid import uuid4
 
 from pyspark.errors import PySparkException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from geoingest.functions.text import error_text, persist_error
@@ -21,7 +21,7 @@ from geoingest.operators.normalize import NORMALIZER_NONE, normalize
 from geoingest.schemas import RUN_LOG
 from geoingest.session import checkpoint_dir
 from geoingest.sinks.buckets import BucketTable
-from geoingest.sinks.tables import VersionedTable, append_run_log, read_run_log
+from geoingest.sinks.tables import VersionedTable, append_run_log, write_per_run
 from geoingest.sources.record import NO_RECORD
 
 Stage = Callable[[DataFrame], DataFrame]
@@ -90,6 +90,8 @@ def run_ingest(
     the run ends, also when it fails. A locator that gave a record but no row, since a normalizer or
     enricher dropped it, counts as skipped. ``errors_path`` takes the errors of all rows, of which the
     result holds the first. A ``tag`` makes the run repeatable: a table that holds it already is left alone.
+    The rows are counted while they are written. The run log and the errors keep a folder per run, which a run with
+    the same ``run_id`` replaces, so neither a repeated run nor a write that dies leaves rows twice.
     """
     run_id = run_id or uuid4().hex
     base = f"{checkpoint_dir(spark)}/run-{run_id}-{uuid4().hex[:8]}"
@@ -103,8 +105,25 @@ def run_ingest(
         _delete(spark, base)
 
 
-def _stage_rows(good: DataFrame, enrichers: Sequence[Stage], shaped: Stage, base: str) -> int:
-    """Write the rows; returns how many an enricher left as they were because it failed on them."""
+def _write_counted(df: DataFrame, path: str) -> dict[str, int]:
+    """Write shaped rows and count them by what became of them in the same pass."""
+    open_ = F.col("_outcome").isNull()
+    told = Observation(f"rows-{uuid4().hex}")
+    counts = {
+        "n": F.lit(True),
+        "n_good": F.col("_stage") == "normalize",
+        "n_valid": open_ & F.col("_reason").isNull(),
+        "n_refused": open_ & F.col("_reason").isNotNull(),
+        "n_skipped": F.col("_outcome") == "skipped",
+        "n_failed": F.col("_outcome") == "failed",
+        "n_apart": F.col("_enrich_error").isNotNull(),
+    }
+    df.observe(told, *[F.count(F.when(c, 1)).alias(k) for k, c in counts.items()]).write.mode("overwrite").parquet(path)
+    return told.get
+
+
+def _stage_rows(good: DataFrame, enrichers: Sequence[Stage], shaped: Stage, base: str) -> dict[str, int]:
+    """Write the rows; returns their counts and, as ``n_left``, how many an enricher left as they were because it failed on them."""
     try:
         df, unplanned = good, 0
         for fn in enrichers:
@@ -112,8 +131,8 @@ def _stage_rows(good: DataFrame, enrichers: Sequence[Stage], shaped: Stage, base
                 unplanned += 1
             else:
                 df = enrich(df, [fn])
-        shaped(df).write.mode("overwrite").parquet(f"{base}/rows")
-        return unplanned and unplanned * good.sparkSession.read.parquet(f"{base}/rows").where("_stage = 'normalize'").count()
+        counts = _write_counted(shaped(df), f"{base}/rows")
+        return counts | {"n_left": unplanned * counts["n_good"]}
     except PySparkException:
         if not enrichers:
             raise
@@ -123,8 +142,7 @@ def _stage_rows(good: DataFrame, enrichers: Sequence[Stage], shaped: Stage, base
         left += n
         if n:
             log.warning("enricher %s left %d rows as they were", getattr(fn, "__name__", fn), n)
-    shaped(at).write.mode("overwrite").parquet(f"{base}/rows")
-    return left
+    return _write_counted(shaped(at), f"{base}/rows") | {"n_left": left}
 
 
 def _planned(fn: Stage, df: DataFrame) -> DataFrame | None:
@@ -225,27 +243,20 @@ def _run(
         both = good.withColumn("_stage", F.lit("normalize")).unionByName(missing, allowMissingColumns=True)
         return both.select(*_STAGED).withColumn("_reason", F.when(F.col("_outcome").isNull(), invalid_reason()))
 
-    unenriched = _stage_rows(normalize(fetched.where("_fetch_error is null"), normalizer), enrichers, shaped, base)
+    counts = _stage_rows(normalize(fetched.where("_fetch_error is null"), normalizer), enrichers, shaped, base)
     rows = spark.read.parquet(f"{base}/rows")
     dropped = located.join(rows.select("_pos"), "_pos", "left_anti").select(
         F.lit(source_name).alias("source"), F.col("value").alias("source_id"), F.lit("").alias("raw_ref"), "_pos",
         F.lit("normalize").alias("_stage"), F.lit("skipped").alias("_outcome"), F.lit(NORMALIZER_NONE).alias("_error"),
     )
-    dropped.write.mode("overwrite").parquet(f"{base}/dropped")
+    lost = Observation(f"dropped-{uuid4().hex}")
+    dropped.observe(lost, F.count(F.lit(1)).alias("n")).write.mode("overwrite").parquet(f"{base}/dropped")
     rows = rows.unionByName(spark.read.schema(dropped.schema).parquet(f"{base}/dropped"), allowMissingColumns=True)
 
-    result = RunResult(rows_unenriched=unenriched)
-    counted = (
-        rows.groupBy("_outcome", F.col("_reason").isNotNull().alias("refused"))
-        .agg(F.count("*").alias("n"), F.count("_enrich_error").alias("n_apart"))
-        .collect()
-    )
-    by_outcome = {(r["_outcome"], r["refused"]): r["n"] for r in counted}
-    result.rows_unenriched += sum(r["n_apart"] for r in counted)
-    result.rows_total = sum(by_outcome.values())
-    n_refused, n_valid = by_outcome.get((None, True), 0), by_outcome.get((None, False), 0)
-    result.rows_skipped = by_outcome.get(("skipped", False), 0)
-    result.rows_failed = by_outcome.get(("failed", False), 0)
+    result = RunResult(rows_unenriched=counts["n_left"] + counts["n_apart"], rows_failed=counts["n_failed"])
+    result.rows_total = counts["n"] + lost.get["n"]
+    result.rows_skipped = counts["n_skipped"] + lost.get["n"]
+    n_refused, n_valid = counts["n_refused"], counts["n_valid"]
 
     valid = rows.where("_outcome is null and _reason is null")
     refused = rows.where("_outcome is null and _reason is not null")
@@ -281,6 +292,10 @@ def _run(
     failed = events[0]
     for more in events[1:]:
         failed = failed.unionByName(more, allowMissingColumns=True)
+    if result.rows_skipped + counts["n_failed"] + n_refused:
+        # A bounded sample by design: the first errors of the run, for the summary and the log row.
+        first = failed.select("_pos", "_seq", "_error").orderBy("_pos", "_seq").limit(max(errors_kept, 1)).collect()
+        result.errors = [r["_error"] for r in first]
     # A row without a key of its own is recorded under the locator it came from.
     failed = failed.join(located.select("_pos", F.col("value").alias("_value")).dropDuplicates(["_pos"]), "_pos", "left")
     failed = failed.withColumn("source", F.coalesce("source", F.lit(source_name)))
@@ -292,10 +307,7 @@ def _run(
     )
     if errors_path is not None and not (tag and _logged(spark, errors_path, run_id)):
         told = failed.select(F.lit(run_id).alias("run_id"), "source", "source_id", "stage", "detail", "_pos._pos")
-        told.write.mode("append").parquet(errors_path)
-    # A bounded sample by design: the first errors of the run, for the summary and the log row.
-    first = failed.orderBy("_pos").limit(max(errors_kept, 1)).collect()
-    result.errors = [r["detail"] for r in first]
+        write_per_run(told, errors_path)
     if isinstance(failures, BucketTable):
         failures.record_failures(failed, now, tag=tag)
     elif failures is not None and not (tag and failures.has(tag)):
@@ -353,14 +365,17 @@ def _persist(target: Target, valid: DataFrame, now: Column, tag: str | None) ->
     merged, _ = upsert_entities(
         before, valid, now, on_conflict=target.on_conflict, soft_delete=target.soft_delete
     )
-    return table.commit(merged, tag).count() - before.count()
+    stored = Observation(f"stored-{uuid4().hex}")
+    table.commit(merged.observe(stored, F.count(F.lit(1)).alias("n")), tag)
+    return stored.get["n"] - before.count()
 
 
 def _logged(spark: SparkSession, path: str, run_id: str) -> bool:
     where = spark._jvm.org.apache.hadoop.fs.Path(path)
     if not where.getFileSystem(spark._jsc.hadoopConfiguration()).exists(where):
         return False
-    return not read_run_log(spark, path).where(F.col("run_id") == run_id).isEmpty()
+    told = spark.read.schema("run_id string").option("recursiveFileLookup", "true").parquet(path)
+    return not told.where(F.col("run_id") == run_id).isEmpty()
 
 
 def _log_run(

@@ -109,11 +109,21 @@ def read_failures(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_run_log(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(RUN_LOG).parquet(path)
+    return spark.read.schema(RUN_LOG).option("recursiveFileLookup", "true").parquet(path)
+
+
+def write_per_run(df: DataFrame, path: str) -> None:
+    """Store rows with a ``run_id`` in a folder per run, in place of what the run has there.
+
+    The files hold ``run_id`` too and are read with ``recursiveFileLookup``, next to files that lie in ``path`` itself.
+    """
+    dealt = df.withColumn("_run", F.col("run_id"))
+    dealt.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("_run").parquet(path)
 
 
 def append_run_log(log: DataFrame, path: str) -> None:
-    log.select(*RUN_LOG.fieldNames()).write.mode("append").parquet(path)
+    """Add the rows of runs; a run that is told again is kept once."""
+    write_per_run(log.select(*RUN_LOG.fieldNames()), path)
 
 
 def write_rate_stats(stats: DataFrame, path: str) -> None:

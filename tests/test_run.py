@@ -398,3 +398,35 @@ def test_rows_an_enricher_fails_on_stay_alone_as_they_were(spark, tmp_path):
     assert {x["entity_type"] for x in stored} == {"place"}
     r = run_ingest(spark, locators(spark, *links), with_errors, source_name="maps", now=at(NOW), enrichers=[unplanned, works])
     assert r.rows_unenriched == 40
+
+
+def test_a_run_told_again_is_kept_once(spark, tmp_path):
+    old = spark.createDataFrame([("old", None, "maps", 1, 0, None, None, 5)], RUN_LOG)
+    old.write.parquet(f"{tmp_path}/log")
+    for _ in range(2):
+        run_ingest(
+            spark, locators(spark, *LINKS), with_errors, source_name="maps", now=at(NOW), run_id="r/1 é",
+            run_log_path=f"{tmp_path}/log", errors_path=f"{tmp_path}/errors",
+        )
+    log = rows(read_run_log(spark, f"{tmp_path}/log").orderBy("run_id"))
+    assert [(r["run_id"], r["rows_added"]) for r in log] == [("old", 1), ("r/1 é", 2)]
+    errors = spark.read.option("recursiveFileLookup", "true").parquet(f"{tmp_path}/errors")
+    assert [(r["run_id"], r["source_id"]) for r in rows(errors)] == [("r/1 é", LINKS[2])]
+    # A write that died leaves hidden folders, which no reader sees.
+    dead = tmp_path / "log" / ".spark-staging-1" / "_run=x"
+    dead.mkdir(parents=True)
+    (dead / "part-0.parquet").write_bytes(b"cut")
+    assert read_run_log(spark, f"{tmp_path}/log").count() == 2
+
+
+def test_a_dry_run_without_errors_has_no_job_beside_its_writes(spark):
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("counted-run", "dry run")
+    try:
+        r = run_ingest(spark, spark.range(1000).selectExpr(f"'{LINKS[0]}' AS value", "id AS _pos"), with_errors, source_name="m", now=at(NOW))
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert counts(r) == (1000, 1000, 0, 0, 0) and r.errors == []
+    # Locators, rows and dropped rows are written; adaptive planning runs the stages of the last write as jobs of their own.
+    # Each of the two tables it reads has a job for its schema.
+    assert len(tracker.getJobIdsForGroup("counted-run")) <= 8
