@@ -6,7 +6,10 @@ from geoingest.operators.failures import failure_projection, record_failures
 from geoingest.operators.fetchlog import (
     backoff_interval,
     cooldown_seconds,
+    health_at,
     mirror_health,
+    mirror_state,
+    pacing_state,
     rank_mirrors,
     rate_stats,
     select_response,
@@ -57,6 +60,7 @@ from geoingest.sources.media import media_geo, read_media
 from geoingest.sources.osm import osm_elements, osm_records
 from geoingest.sources.record import union_sources
 from geoingest.sources.search import search_records, search_results
+from geoingest.streaming.health import mirror_table, pacing_table, stream_health
 from geoingest.streaming.upsert import drop_repeated, stream_upsert
 
 __all__ = [name for name in dir() if not name.startswith("_")]

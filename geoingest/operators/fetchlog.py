@@ -79,11 +79,26 @@ def backoff_interval(
     tie: str | None = None,
     start_ts: Column | None = None,
 ) -> DataFrame:
-    """Pacing interval per source after all its events in time order.
+    """Pacing interval per source after all its events in time order (see :func:`pacing_state`)."""
+    state = pacing_state(log, base_interval=base_interval, group=group, tie=tie, start_ts=start_ts)
+    return state.select(group, "current_interval_s")
+
+
+def pacing_state(
+    log: DataFrame,
+    known: DataFrame | None = None,
+    *,
+    base_interval: float = 0.5,
+    group: str = "source",
+    tie: str | None = None,
+    start_ts: Column | None = None,
+) -> DataFrame:
+    """Pacing interval and time of the last answer per source (``current_interval_s``, ``last_ok_us``).
 
     The log is range-partitioned by (source, time, tie), which cuts a source of any size into even
     runs; each is folded where it lies and only the runs, at most one per partition, are chained per
-    source. The relax clock starts at ``start_ts``, by default at the first event of the source.
+    source. The relax clock starts at ``start_ts``, by default at the first event of the source. ``known``
+    is the state before the log, as this function returns it; sources without new events keep theirs.
     """
     if not 0 < base_interval <= MAX_INTERVAL_S:
         raise ValueError("base_interval must lie between 0 and 60 seconds")
@@ -123,10 +138,14 @@ def backoff_interval(
     per_source = runs.groupBy(group).agg(F.array_sort(F.collect_list(F.struct(*names))).alias("_runs"))
     first = F.get("_runs", F.lit(0))["first_us"]
     start = first if start_ts is None else F.unix_micros(start_ts.cast("timestamp"))
-    zero = F.struct(F.lit(float(base_interval)).alias("x"), start.cast("long").alias("last_ok"))
-    return per_source.select(
-        group, F.aggregate("_runs", zero, step, lambda acc: acc["x"]).alias("current_interval_s")
-    )
+    x, last_ok = F.lit(float(base_interval)), start.cast("long")
+    if known is not None:
+        per_source = per_source.join(known.select(group, "current_interval_s", "last_ok_us"), group, "full_outer")
+        x, last_ok = F.coalesce("current_interval_s", x), F.coalesce("last_ok_us", last_ok)
+    zero = F.struct(x.alias("x"), last_ok.alias("last_ok"))
+    told = F.when(F.col("_runs").isNull(), zero).otherwise(F.aggregate("_runs", zero, step))
+    told = per_source.select(group, told.alias("_told"))
+    return told.select(group, F.col("_told.x").alias("current_interval_s"), F.col("_told.last_ok").alias("last_ok_us"))
 
 
 def rate_stats(
@@ -167,10 +186,29 @@ def cooldown_seconds(status: Column) -> Column:
 
 
 def mirror_health(log: DataFrame, now: Column, *, mirror: str = "mirror", tie: str = "event_id") -> DataFrame:
-    """Last status, times, failures since the last success and remaining cool-down per mirror.
+    """Last status, times, failures since the last success and remaining cool-down per mirror (see :func:`mirror_state`)."""
+    return health_at(mirror_state(log, mirror=mirror, tie=tie), now, mirror=mirror)
+
+
+def health_at(state: DataFrame, now: Column, *, mirror: str = "mirror") -> DataFrame:
+    """What the state of the mirrors says at a time: the cool-down that remains."""
+    now_s = F.unix_micros(now.cast("timestamp")) / 1e6
+    return state.select(
+        mirror,
+        F.coalesce("last_status", F.lit(0)).alias("last_status"),
+        "last_success_ts",
+        "last_attempt_ts",
+        "consecutive_failures",
+        F.round(F.greatest(F.lit(0.0), F.coalesce("cooling_until_s", F.lit(0.0)) - now_s), 1).alias("cooldown_remaining_s"),
+    )
+
+
+def mirror_state(log: DataFrame, known: DataFrame | None = None, *, mirror: str = "mirror", tie: str = "event_id") -> DataFrame:
+    """Last status, times, failures since the last success and end of the cool-down per mirror.
 
     A request that failed without a response adds a failure and a cool-down only. The aggregate, one row per
     mirror, joins back to the log for the failure count: by broadcast up to ``MAX_BROADCAST_MIRRORS`` of them.
+    ``known`` is the state before the log, as this function returns it; mirrors without new events keep theirs.
     """
     status = F.col("status")
     order = F.struct("ts", tie)
@@ -195,16 +233,27 @@ def mirror_health(log: DataFrame, now: Column, *, mirror: str = "mirror", tie: s
         .groupBy(mirror)
         .agg(F.count("*").alias("consecutive_failures"))
     )
-    now_s = F.unix_micros(now.cast("timestamp")) / 1e6
-    return health.join(since, mirror, "left").select(
+    state = health.join(since, mirror, "left").select(
         mirror,
-        F.coalesce("last_status", F.lit(0)).alias("last_status"),
+        "last_status",
         "last_success_ts",
         "last_attempt_ts",
         F.coalesce("consecutive_failures", F.lit(0)).cast("bigint").alias("consecutive_failures"),
-        F.round(F.greatest(F.lit(0.0), F.coalesce("_until", F.lit(0.0)) - now_s), 1).alias(
-            "cooldown_remaining_s"
-        ),
+        F.col("_until").alias("cooling_until_s"),
+        F.col("_last_ok").isNotNull().alias("_won"),
+    )
+    if known is None:
+        return state.drop("_won")
+    new, old = state.alias("n"), known.alias("k")
+    failures = F.coalesce("n.consecutive_failures", F.lit(0)) + F.when(
+        F.coalesce("n._won", F.lit(False)), F.lit(0)
+    ).otherwise(F.coalesce("k.consecutive_failures", F.lit(0)))
+    both = new.join(old, F.col(f"n.{mirror}") == F.col(f"k.{mirror}"), "full_outer")
+    return both.select(
+        *[
+            (failures if c == "consecutive_failures" else (F.greatest if c.endswith("_ts") else F.coalesce)(f"n.{c}", f"k.{c}")).alias(c)
+            for c in state.columns if c != "_won"
+        ]
     )
 
 

@@ -13,11 +13,11 @@ from geoingest.operators import fetchlog
 from geoingest.operators.enrich import isolated
 from geoingest.operators.merge import DO_NOTHING
 from geoingest.operators.normalize import to_entity
-from geoingest.plans.catalog_fetch import _PACE
+from geoingest.plans.catalog_fetch import _PACE, _SOON, _text_ts
 from geoingest.plans.catalog_geo import _POINTS
 from geoingest.plans.derived import COUNTRY_SQL, EARLIER, FETCH_SQL, NOW, fetch_log, geo_orders
 from geoingest.plans.ingest import Target, run_ingest
-from geoingest.plans.registry import query
+from geoingest.plans.registry import ORACLE, query
 from geoingest.session import checkpoint_dir
 from geoingest.sinks.buckets import bucketed_entities, bucketed_failures
 from geoingest.sinks.tables import (
@@ -30,6 +30,7 @@ from geoingest.sinks.tables import (
 )
 from geoingest.sources.locators import read_locators
 from geoingest.sources.map_urls import url_records
+from geoingest.streaming.health import mirror_table, pacing_table, stream_health
 from geoingest.streaming.upsert import drop_repeated, stream_upsert
 
 
@@ -199,3 +200,30 @@ def rate_stats_stored(spark: SparkSession, sf_dir: str) -> DataFrame:
     fields = "source string, rate_per_sec double, burst int, current_interval_s double, backoff_active boolean, ts string"
     stored = spark.read.schema(f"{fields}, by_status map<string,bigint>").json(path)
     return stored.select(*stored.columns[:-1], F.explode("by_status").alias("status", "n")).withColumn("status", F.col("status").cast("int"))
+
+
+def _streamed_log(spark: SparkSession, sf_dir: str, **tables) -> None:
+    """The fetch log as it arrives: its first days, then the rest after a restart of the stream."""
+    landed, checkpoint = _place(spark, "landed"), _place(spark, "checkpoint")
+    log = fetch_log(spark, sf_dir).selectExpr("source", "mirror", "CAST(ts AS TIMESTAMP) AS ts", "status", "event_id")
+    for part, mode in (("ts < '2024-01-16'", "errorifexists"), ("ts >= '2024-01-16'", "append")):
+        log.where(part).write.mode(mode).parquet(landed)
+        arrivals = spark.readStream.schema(log.schema).parquet(landed)
+        stream_health(arrivals, checkpoint=checkpoint, base_interval=0.7, **tables).awaitTermination()
+
+
+@query(ORACLE["backoff_interval"])
+def stream_pacing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pacing interval of every source, kept over a stream of attempts."""
+    pacing = pacing_table(spark, _place(spark, "pacing"))
+    _streamed_log(spark, sf_dir, pacing=pacing)
+    return pacing.read().select("source", F.round("current_interval_s", 6).alias("current_interval_s"))
+
+
+@query(ORACLE["mirror_health"])
+def stream_mirrors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """State of every mirror, kept over a stream of attempts."""
+    mirrors = mirror_table(spark, _place(spark, "mirrors"))
+    _streamed_log(spark, sf_dir, mirrors=mirrors)
+    health = fetchlog.health_at(mirrors.read(), _at(_SOON))
+    return health.withColumn("last_success_ts", _text_ts("last_success_ts")).withColumn("last_attempt_ts", _text_ts("last_attempt_ts"))
