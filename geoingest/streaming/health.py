@@ -14,10 +14,23 @@ from geoingest.plans.ingest import _delete
 from geoingest.session import checkpoint_dir
 from geoingest.sinks.tables import VersionedTable
 
-PACING_STATE = T.StructType.fromDDL("source string, current_interval_s double, last_ok_us long")
-MIRROR_STATE = T.StructType.fromDDL(
-    "mirror string, last_status int, last_success_ts timestamp, last_attempt_ts timestamp, "
-    "consecutive_failures long, cooling_until_s double"
+PACING_STATE = T.StructType(
+    [
+        T.StructField("source", T.StringType()),
+        T.StructField("current_interval_s", T.DoubleType()),
+        T.StructField("last_ok_us", T.LongType()),
+    ]
+)
+
+MIRROR_STATE = T.StructType(
+    [
+        T.StructField("mirror", T.StringType()),
+        T.StructField("last_status", T.IntegerType()),
+        T.StructField("last_success_ts", T.TimestampType()),
+        T.StructField("last_attempt_ts", T.TimestampType()),
+        T.StructField("consecutive_failures", T.LongType()),
+        T.StructField("cooling_until_s", T.DoubleType()),
+    ]
 )
 
 

@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 import math
+import subprocess
+import sys
 
 import duckdb
 import pytest
 
 from __spark_entry__ import entry, oracle_sql, queries
-from conftest import TESTDATA
+from conftest import ROOT, TESTDATA
 from geoingest.plans.catalog import all_queries, all_sql
 
 QUERIES, SQL = all_queries(), all_sql()
@@ -53,6 +55,12 @@ def test_entry_offers_all_queries():
     assert set(QUERIES) <= set(queries()) and set(SQL) <= set(oracle_sql())
 
 
+def test_all_modules_import_without_a_session():
+    code = "import __spark_entry__, geoingest; assert __spark_entry__.queries()"
+    done = subprocess.run([sys.executable, "-c", code], cwd=ROOT, capture_output=True, text=True, timeout=120)
+    assert done.returncode == 0, done.stderr
+
+
 def test_entry(spark):
     assert entry(spark).count() > 0
 
