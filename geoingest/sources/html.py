@@ -20,9 +20,6 @@ from geoingest.sources.record import to_raw_records
 # The executors get these functions by value, they need no installed package.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-#: How far into a page its encoding may be declared, in bytes.
-_DECLARED_WITHIN = 1024
-
 
 def body_text(df: DataFrame, column: str) -> Column:
     """Body as text; bytes are read as UTF-8 with replacement characters, so no byte ends a job."""
@@ -31,8 +28,8 @@ def body_text(df: DataFrame, column: str) -> Column:
 
 
 def declared_charset(df: DataFrame, column: str) -> Column:
-    """Encoding that a byte order mark, the content type or the page itself declares; null if none does."""
-    head = F.make_valid_utf8(F.substring(F.col(column), 1, _DECLARED_WITHIN).cast("string"))
+    """Encoding that a byte order mark, the content type or the page itself, wherever, declares first; null if none does."""
+    page = F.make_valid_utf8(F.col(column).cast("string"))
     mark = F.hex(F.substring(F.col(column), 1, 3))
     by_mark = (
         F.when(mark == "EFBBBF", "utf-8-sig").when(mark.startswith("FFFE"), "utf-16").when(mark.startswith("FEFF"), "utf-16")
@@ -40,7 +37,7 @@ def declared_charset(df: DataFrame, column: str) -> Column:
     headers = optional(df, "headers", "map<string,string>")
     types = F.filter(F.map_entries(headers), lambda e: F.lower(e["key"]) == "content-type")
     by_header = F.regexp_extract(F.get(types, F.lit(0))["value"], r"(?i)charset\s*=\s*[\"']?([A-Za-z0-9._:-]+)", 1)
-    by_page = F.regexp_extract(head, r"(?is)<meta[^>]*charset\s*=\s*[\"']?\s*([A-Za-z0-9._:-]+)", 1)
+    by_page = F.regexp_extract(page, r"(?is)<meta[^>]*charset\s*=\s*[\"']?\s*([A-Za-z0-9._:-]+)", 1)
     return F.lower(F.coalesce(by_mark, F.nullif(by_header, F.lit("")), F.nullif(by_page, F.lit(""))))
 
 

@@ -184,6 +184,7 @@ def test_no_byte_string_ends_the_job(spark, body):
 @pytest.mark.parametrize(("body", "headers", "text"), [
     ("<title>привет</title>".encode("cp1251"), {"Content-Type": "text/html; charset=windows-1251"}, "привет"),
     ("<meta charset='koi8-r'><title>привет</title>".encode("koi8-r"), None, "привет"),
+    (("<title>привет</title>" + "<!-- -->" * 5000 + "<meta charset='koi8-r'>").encode("koi8-r"), None, "привет"),
     ("<title>é</title>".encode("utf-16"), None, "é"), ("<meta charset=iso-8859-1><title>\u2019</title>".encode("cp1252"), None, "\u2019"),
     (b"\xef\xbb\xbf<title>x</title>", None, "x"), ("<title>é</title>".encode(), {"content-type": "text/html"}, "é"),
 ])
