@@ -57,7 +57,7 @@ from geoingest.sources.json_api import json_records
 from geoingest.sources.locators import inline_locators, read_locators
 from geoingest.sources.map_urls import url_records
 from geoingest.sources.media import media_geo, read_media
-from geoingest.sources.osm import osm_elements, osm_records
+from geoingest.sources.osm import osm_elements, osm_records, osm_response_elements
 from geoingest.sources.record import union_sources
 from geoingest.sources.search import search_records, search_results
 from geoingest.streaming.health import mirror_table, pacing_table, stream_health

@@ -23,7 +23,7 @@ from geoingest.functions.urls import build_osm_request, build_search_url, query_
 from geoingest.operators.normalize import normalize, split_skipped, to_entity
 from geoingest.operators.runlog import record_preview as preview
 from geoingest.plans.derived import COUNTRY_SQL, FETCH_SQL, GEO_SQL, fetch_log, geo_orders
-from geoingest.plans.registry import query, table
+from geoingest.plans.registry import ORACLE, query, table
 from geoingest.session import spread
 from geoingest.sources.gpx import gpx_records, gpx_track_points as track_rows, gpx_waypoints as waypoint_rows
 from geoingest.sources.html import html_records as page_records
@@ -32,6 +32,7 @@ from geoingest.sources.locators import inline_locators
 from geoingest.sources.map_urls import url_records
 from geoingest.sources.osm import osm_elements as element_rows
 from geoingest.sources.osm import osm_records
+from geoingest.sources.osm import osm_response_elements as response_elements
 from geoingest.sources.record import union_sources as stack
 from geoingest.sources.search import search_records, search_results
 
@@ -415,7 +416,16 @@ UNION ALL SELECT k, 1, 'node', k + 1, lat2, lon2, NULL FROM used
 UNION ALL SELECT k, 2, 'relation', k + 2, NULL, NULL, NULL FROM used""")
 def osm_elements(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Elements of the envelopes with their canonical point."""
-    rows = element_rows(osm_records(_osm_responses(spark, sf_dir)))
+    return _shown_elements(element_rows(osm_records(_osm_responses(spark, sf_dir))))
+
+
+@query(ORACLE["osm_elements"])
+def osm_response_elements(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same straight from the responses, parsed once."""
+    return _shown_elements(response_elements(_osm_responses(spark, sf_dir)))
+
+
+def _shown_elements(rows: DataFrame) -> DataFrame:
     return rows.select(
         F.col("_pos").alias("k"), "element_pos", "osm_type", "osm_id",
         F.col("geom.lat").alias("lat"), F.col("geom.lon").alias("lon"),

@@ -76,3 +76,8 @@ def test_scans_read_only_what_they_need(spark):
 def test_no_python_worker_in_text_and_merge_queries(spark, name):
     plan = QUERIES[name](spark, str(TESTDATA))._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "InArrow" not in plan
+
+
+def test_elements_of_responses_are_parsed_once(spark):
+    plan = QUERIES["osm_response_elements"](spark, str(TESTDATA))._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.lower().count("parsejson(") + plan.lower().count("parse_json(") == 1 and "to_json" not in plan.lower()
