@@ -52,6 +52,7 @@ from geoingest.sinks.tables import (
     write_rate_stats,
 )
 from geoingest.sources.gpx import gpx_records, gpx_track_points, gpx_waypoints, read_gpx
+from geoingest.sources.gpx_rows import land_gpx, landed_documents, landed_points
 from geoingest.sources.html import html_records
 from geoingest.sources.json_api import json_records
 from geoingest.sources.locators import inline_locators, read_locators

@@ -15,7 +15,7 @@ from geoingest.operators.merge import DO_NOTHING
 from geoingest.operators.normalize import to_entity
 from geoingest.plans.catalog_fetch import _PACE, _SOON, _text_ts
 from geoingest.plans.catalog_geo import _POINTS
-from geoingest.plans.derived import COUNTRY_SQL, EARLIER, FETCH_SQL, NOW, fetch_log, geo_orders
+from geoingest.plans.derived import COUNTRY_SQL, EARLIER, FETCH_SQL, GEO_SQL, NOW, fetch_log, geo_orders
 from geoingest.plans.ingest import Target, run_ingest
 from geoingest.plans.registry import ORACLE, query
 from geoingest.session import checkpoint_dir
@@ -28,6 +28,7 @@ from geoingest.sinks.tables import (
     read_run_log,
     write_rate_stats,
 )
+from geoingest.sources.gpx_rows import land_gpx, landed_documents, landed_points
 from geoingest.sources.locators import read_locators
 from geoingest.sources.map_urls import url_records
 from geoingest.streaming.health import mirror_table, pacing_table, stream_health
@@ -227,3 +228,45 @@ def stream_mirrors(spark: SparkSession, sf_dir: str) -> DataFrame:
     _streamed_log(spark, sf_dir, mirrors=mirrors)
     health = fetchlog.health_at(mirrors.read(), _at(_SOON))
     return health.withColumn("last_success_ts", _text_ts("last_success_ts")).withColumn("last_attempt_ts", _text_ts("last_attempt_ts"))
+
+
+# The first document holds a third of all points. The sixth is cut short, the seventh has a point without
+# longitude, the eighth is no GPX.
+_DOCUMENT = "CASE WHEN k % 3 = 0 THEN 0 ELSE k % 16 END"
+
+
+def _long_tracks(spark: SparkSession, sf_dir: str) -> str:
+    """A few long GPX files, each written by one task line by line: waypoints, then the points of a track."""
+    points = geo_orders(spark, sf_dir).selectExpr(
+        f"CAST({_DOCUMENT} AS INT) AS doc", "IF(k % 10 = 1, 1, 3) AS part", "k",
+        """CASE WHEN k % 10 = 1 THEN concat('<wpt lat="', lat2_s, '" lon="', lon2_s, '"><name>w', k, '</name></wpt>')
+          WHEN k % 100 = 22 THEN concat('</trkseg><trkseg><trkpt lon="', lon_s, '" lat="', lat_s, '"><ele>7</ele></trkpt>')
+          ELSE concat('<trkpt lat="', lat_s, '" lon="', lon_s, '"/>') END AS value""",
+    )
+    frame = spark.range(16).selectExpr(
+        "CAST(id AS INT) AS doc",
+        """inline(array(
+          struct(0 AS part, IF(id = 7, '<kml>', concat('<?xml version="1.0"?><gpx><metadata><name>G', id, '</name></metadata>')) AS value),
+          struct(2 AS part, concat('<trk><trkseg>', IF(id = 6, '<trkpt lat="1"/>', '')) AS value),
+          struct(4 AS part, CASE id WHEN 5 THEN '</trkseg>' WHEN 7 THEN '</trkseg></trk></kml>' ELSE '</trkseg></trk></gpx>' END AS value)))""",
+    ).selectExpr("doc", "part", "0L AS k", "value")
+    path = _place(spark, "tracks")
+    lines = points.unionByName(frame).repartition(16, "doc").sortWithinPartitions("doc", "part", "k")
+    lines.select("doc", "value").write.partitionBy("doc").text(path)
+    return path
+
+
+@query(f"""WITH {GEO_SQL}, used AS (SELECT *, {_DOCUMENT} AS d FROM geo WHERE {_DOCUMENT} NOT IN (5, 6, 7)), told AS (
+  SELECT d, 'wpt' AS kind, CAST(row_number() OVER (PARTITION BY d ORDER BY k) - 1 AS INT) AS point_pos, lat2 AS lat, lon2 AS lon,
+    concat('w', CAST(k AS STRING)) AS name FROM used WHERE k % 10 = 1
+  UNION ALL SELECT d, 'trkpt', CAST(row_number() OVER (PARTITION BY d ORDER BY k) - 1 AS INT), lat, lon, '' FROM used WHERE k % 10 <> 1)
+SELECT concat('G', CAST(d AS STRING)) AS document, kind, point_pos, lat, lon, name,
+  count(*) FILTER (kind = 'wpt') OVER (PARTITION BY d) AS n_waypoints FROM told""")
+def gpx_landed_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Long GPX files read as rows, in document order; files that are no usable GPX give none."""
+    into = _place(spark, "landed-tracks")
+    land_gpx(spark, _long_tracks(spark, sf_dir), into)
+    kinds = {"wpt": landed_points(spark, into, "waypoints"), "trkpt": landed_points(spark, into).withColumn("name", F.lit(""))}
+    rows = [df.select("path", F.lit(kind).alias("kind"), "point_pos", "lat", "lon", "name") for kind, df in kinds.items()]
+    names = landed_documents(spark, into).select("path", F.col("name").alias("document"), "n_waypoints")
+    return rows[0].unionByName(rows[1]).join(F.broadcast(names), "path").drop("path")
