@@ -56,6 +56,10 @@ def unescape_entities(text: Column) -> Column:
     return F.when(text.contains("&"), decoded).otherwise(text)
 
 
+def strip_space(text: Column) -> Column:
+    return F.regexp_replace(text, _EDGE_SPACE, "")
+
+
 def _visible(html: Column) -> Column:
     """Markup without comments and without elements whose content is no text."""
     c = F.translate(F.coalesce(html, F.lit("")), _BREAK, "")

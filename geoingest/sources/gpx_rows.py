@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from geoingest.functions.coords import latlon
+from geoingest.functions.expr import to_float
 from geoingest.session import broadcast_if_small
 
 # Element and columns of each landed table; attributes carry an underscore. Numbers come as text: the reader
@@ -35,7 +36,7 @@ def land_gpx(spark: SparkSession, paths: str | list[str], into: str) -> None:
             .options(rowTag=tag, ignoreNamespace=True, mode="DROPMALFORMED" if name == "documents" else "PERMISSIVE")
             .load(paths)
         )
-        columns = [F.col(c).try_cast("double").alias(c) if c in _NUMBERS else F.col(c) for c in elements.columns]
+        columns = [to_float(F.col(c)).alias(c) if c in _NUMBERS else F.col(c) for c in elements.columns]
         elements.select(
             F.col("_metadata.file_path").alias("path"), F.monotonically_increasing_id().alias("_row"), *columns
         ).write.mode("overwrite").parquet(f"{into}/{name}")
