@@ -25,6 +25,7 @@ _VOID = frozenset("area base br col embed hr img input link meta param source tr
 _TEXT_ONLY = frozenset("script style textarea title".split())
 _HIDDEN = frozenset("script style template rt rp".split())
 _FORMATTING = frozenset("a b big code em font i nobr s small strike strong tt u".split())
+_MOST_ALIKE = 3  # of one formatting element that was left open are opened again
 _HEADINGS = ("h1", "h2", "h3", "h4", "h5", "h6")
 _LISTS = ("ul", "ol", "menu", "dl")
 _CELLS = ("td", "th", "caption", "table", "button", "object", "template")
@@ -95,13 +96,14 @@ class _Tree:
         for name in closed:
             self.places[name].pop()
         if not any(name in _CELLS for name in closed):
-            self.again += [n for n in dict.fromkeys(closed[1:]) if n in _FORMATTING and n not in self.again]
+            for name in closed[1:]:
+                if name in _FORMATTING and self.again.count(name) < _MOST_ALIKE:
+                    self.again.append(name)
 
     def reopen(self) -> Iterator[tuple]:
         names, self.again = self.again, []
         for name in names:
-            if not self.places[name]:
-                yield self.open(name)
+            yield self.open(name)
 
     def start(self, name: str, empty: bool) -> Iterator[tuple]:
         for names, bounds in (_ENDS.get(name, ((), ())), (("p",) if name in _BLOCKS else (), _CELLS)):
@@ -156,7 +158,7 @@ def html_nodes(pages: DataFrame, *keys: str, body: str = "body") -> DataFrame:
     repaired: elements whose end tag may be left out end where the next one starts (``p``, ``li``, ``dt``, ``dd``,
     table rows and cells, options, links in links, headings in headings); an end tag without its element is passed
     over, one that crosses a table cell or, for inline elements, a block too; formatting left open in a block or by
-    misnested end tags is opened again for what follows; a quote that is never closed is no quote; scripts,
+    misnested end tags is opened again for what follows, up to three elements of a name; a quote that is never closed is no quote; scripts,
     styles, titles and comments without an end run to the end of the page; a tag that the page ends in is none.
     ``html``, ``body`` or ``tbody`` elements that are not written are not added, rows without an open table are
     kept. Texts are stripped, blank ones left out, as are those of scripts, styles, templates and ruby annotations.
