@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 from uuid import uuid4
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -19,8 +22,36 @@ SMALL_ROWS = 200_000
 SMALL_BYTES = 8 << 20
 
 
+#: Folder and catalog tables of the innermost :func:`scratch`.
+_SCRATCH: ContextVar[tuple[str, list[str]] | None] = ContextVar("scratch", default=None)
+
+
 def staging_path(spark: SparkSession, name: str) -> str:
-    return f"{checkpoint_dir(spark)}/llm/{name}-{uuid4().hex}"
+    inner = _SCRATCH.get()
+    return f"{inner[0] if inner else f'{checkpoint_dir(spark)}/llm'}/{name}-{uuid4().hex}"
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[str]:
+    """What operators stage inside goes when the block ends or fails, so results must be written by then.
+
+    Outside of any such block staged tables stay in ``spark.checkpoint.dir``: a result that is not yet
+    computed reads them.
+    """
+    folder, tables = staging_path(spark, "scratch"), []
+    token = _SCRATCH.set((folder, tables))
+    try:
+        yield folder
+    finally:
+        _SCRATCH.reset(token)
+        for table in tables:
+            spark.sql(f"DROP TABLE IF EXISTS {table}")
+        remove(spark, folder)
+
+
+def remove(spark: SparkSession, location: str) -> None:
+    path = spark._jvm.org.apache.hadoop.fs.Path(location)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def staged(df: DataFrame, name: str, *partition_by: str) -> DataFrame:
@@ -35,6 +66,8 @@ def staged_by(df: DataFrame, name: str, key: str, *partition_by: str) -> DataFra
     """As :func:`staged`, in buckets of ``key``: a join on it leaves these rows where they lie."""
     spark = df.sparkSession
     table = f"llm_{name.replace('-', '_')}_{uuid4().hex}"
+    if _SCRATCH.get():
+        _SCRATCH.get()[1].append(table)
     writer = df.write.format("parquet").option("compression", "zstd").option("path", staging_path(spark, name))
     buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
     (writer.partitionBy(*partition_by) if partition_by else writer).bucketBy(buckets, key).saveAsTable(table)
