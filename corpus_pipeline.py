@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from geoingest.llm.common import staging_path
+from geoingest.llm.common import remove, scratch, staging_path
 from geoingest.llm.exact_dedup import exact_dedup_stage
 from geoingest.llm.language_id import language_stage
 from geoingest.llm.mixing import mixing_stage
@@ -29,10 +29,15 @@ ORACLE_SQL: str | None = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over the whole ``documents`` table."""
-    docs = table(spark, sf_dir, "documents")
+    """All stages over the whole ``documents`` table. What a stage staged goes when its result is written,
+    that result when the next one is; the last stays, as the rows that are returned are read from it."""
+    docs, before = table(spark, sf_dir, "documents"), None
     for name, stage in STAGES:
         path = staging_path(spark, f"pipeline-{name}")
-        stage(spark, docs, sf_dir).write.parquet(path)
+        with scratch(spark):
+            stage(spark, docs, sf_dir).write.parquet(path)
         docs = spark.read.parquet(path)
+        if before is not None:
+            remove(spark, before)
+        before = path
     return docs
