@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from geoingest.functions.coords import geojson_point
 from geoingest.functions.jsonmerge import keep_old
 from geoingest.functions.text import DETAIL_LIMIT, TITLE_LIMIT, clip
-from geoingest.operators.merge import given_pos
+from geoingest.operators.merge import KEY_HASH, given_pos, join_keyed, key_hash
 from geoingest.schemas import FAILURE_TABLE, KEY
 
 UNKNOWN_KEY = "unknown"
@@ -40,29 +40,33 @@ def failure_projection(
 
 def fold_failures(projected: DataFrame) -> DataFrame:
     """One row per key: last stage and detail, last title, url and geometry given, number of events."""
+    return _folded(projected).drop(KEY_HASH)
+
+
+def _folded(projected: DataFrame) -> DataFrame:
 
     def last_given(name: str) -> Column:
         c = F.col(name)
         return F.max_by(c, F.when(c.isNotNull(), F.col("_pos"))).alias(name)
 
+    # Sorting by a hash first compares numbers, where sources and ids mostly share their first bytes.
     return (
-        projected.groupBy(*KEY)
+        projected.groupBy(key_hash(), *KEY)
         .agg(
             *[last_given(c) for c in ("title", "url", "geom")],
-            F.max_by("failure_stage", "_pos").alias("failure_stage"),
-            F.max_by("failure_detail", "_pos").alias("failure_detail"),
+            F.max_by(F.struct("failure_stage", "failure_detail"), "_pos").alias("_last"),
             F.count("*").alias("attempts"),
         )
+        .select("*", "_last.*")
+        .drop("_last")
     )
 
 
 def record_failures(target: DataFrame, events: DataFrame, now: Column) -> DataFrame:
     """New failure table after all ``events``; rows stay when a later run of the key succeeds."""
     now = now.cast("timestamp")
-    src = fold_failures(failure_projection(events))
-    both = target.alias("t").join(
-        src.alias("s"), [F.col(f"t.{k}") == F.col(f"s.{k}") for k in KEY], "full_outer"
-    )
+    src = _folded(failure_projection(events))
+    both = join_keyed(target, src)
     hit = F.col("s.source").isNotNull()
     merged = {
         **{c: keep_old(F.col(f"s.{c}"), F.col(f"t.{c}")) for c in (*KEY, "title", "url", "geom")},

@@ -48,6 +48,21 @@ def given_pos() -> Column:
     return F.coalesce(F.col("_pos"), F.raise_error(F.lit("_pos is null: number the rows of the batch")))
 
 
+KEY_HASH = "_key_hash"
+
+
+def key_hash() -> Column:
+    """Hash of the key: sorted by it first, rows are told apart by numbers, where keys mostly share their first bytes."""
+    return F.xxhash64(*KEY).alias(KEY_HASH)
+
+
+def join_keyed(target: DataFrame, src: DataFrame) -> DataFrame:
+    """Full outer join of ``target`` as ``t`` and ``src``, which has its key hash, as ``s``."""
+    return target.withColumn(KEY_HASH, key_hash()).alias("t").join(
+        src.alias("s"), [F.col(f"t.{k}") == F.col(f"s.{k}") for k in (KEY_HASH, *KEY)], "full_outer"
+    )
+
+
 def fold_batch(entities: DataFrame) -> DataFrame:
     """One row per key that has the effect of upserting its rows one by one in ``_pos`` order.
 

@@ -86,8 +86,8 @@ def run_ingest(
     ``reader`` returns raw records; a reader called with ``keep_failed=True`` also tells which locators
     gave none, otherwise they are found by an anti join on ``_pos``. The rows of the run are computed
     once and written to a table in the checkpoint folder, which the merges, the failure table and the
-    counters read column by column; so are the locators, before anything reads them, and both go when
-    the run ends, also when it fails. A locator that gave a record but no row, since a normalizer or
+    counters read column by column; so are the locators, before anything reads them, and what the reader
+    gave. All of them go when the run ends, also when it fails. A locator that gave a record but no row, since a normalizer or
     enricher dropped it, counts as skipped. ``errors_path`` takes the errors of all rows, of which the
     result holds the first. A ``tag`` makes the run repeatable: a table that holds it already is left alone.
     The rows are counted while they are written. The run log and the errors keep a folder per run, which a run with
@@ -105,6 +105,21 @@ def run_ingest(
         _delete(spark, base)
 
 
+def _place_sums(when: Column) -> dict[str, Column]:
+    """Sums over two hashes of ``_pos``, in pieces of 21 bits, which no number of rows overflows.
+
+    Two sets of rows with equal sums have the same places, each as often.
+    """
+    pos = F.col("_pos").cast("long")
+    hashes = [F.xxhash64(pos), F.xxhash64(pos, F.lit(1))]
+    pieces = [F.shiftrightunsigned(h, 21 * i).bitwiseAND(F.lit((1 << 21) - 1)) for h in hashes for i in range(3)]
+    return {f"place_{i}": F.coalesce(F.sum(F.when(when, p)), F.lit(0)) for i, p in enumerate(pieces)}
+
+
+def _places(*counts: dict[str, int]) -> list[int]:
+    return [sum(c[f"place_{i}"] for c in counts) for i in range(6)]
+
+
 def _write_counted(df: DataFrame, path: str) -> dict[str, int]:
     """Write shaped rows and count them by what became of them in the same pass."""
     open_ = F.col("_outcome").isNull()
@@ -117,11 +132,21 @@ def _write_counted(df: DataFrame, path: str) -> dict[str, int]:
         "n_skipped": F.col("_outcome") == "skipped",
         "n_failed": F.col("_outcome") == "failed",
         "n_apart": F.col("_enrich_error").isNotNull(),
+        "n_unnamed": F.col("source_id").isNull(),
     }
-    df.observe(told, *[F.count(F.when(c, 1)).alias(k) for k, c in counts.items()]).write.mode("overwrite").parquet(path)
+    sums = {k: F.count(F.when(c, 1)) for k, c in counts.items()} | _place_sums(F.lit(True))
+    df.observe(told, *[c.alias(k) for k, c in sums.items()]).write.mode("overwrite").parquet(path)
     return told.get
 
 
+def _fetched(df: DataFrame, path: str) -> tuple[DataFrame, dict[str, int]]:
+    """Stage what the reader gave, so that it runs once for records and failed locators; also counts of the latter."""
+    told, failed = Observation(f"fetched-{uuid4().hex}"), F.col("_fetch_error").isNotNull()
+    counts = {"n": F.count(F.when(failed, 1)), "n_unnamed": F.count(F.when(failed & F.col("_locator").isNull(), 1))}
+    kept = _kept(df.observe(told, *[c.alias(k) for k, c in (counts | _place_sums(failed)).items()]), path)
+    return kept, told.get
+
+
 def _stage_rows(good: DataFrame, enrichers: Sequence[Stage], shaped: Stage, base: str) -> dict[str, int]:
     """Write the rows; returns their counts and, as ``n_left``, how many an enricher left as they were because it failed on them."""
     try:
@@ -221,12 +246,16 @@ def _run(
     errors_path: str | None,
 ) -> RunResult:
     started = time.monotonic()
-    locators.write.mode("overwrite").parquet(f"{base}/locators")
+    # Whole numbers only: other places are compared as a join does.
+    whole = locators.schema["_pos"].dataType.typeName() in ("byte", "short", "integer", "long")
+    listed = Observation(f"locators-{uuid4().hex}")
+    sums = {"n_unplaced": F.count(F.when(F.col("_pos").isNull(), 1))} | (_place_sums(F.lit(True)) if whole else {})
+    locators.observe(listed, *[c.alias(k) for k, c in sums.items()]).write.mode("overwrite").parquet(f"{base}/locators")
     located = spark.read.schema(locators.schema).parquet(f"{base}/locators")
     raw = reader(located)
     if "_error" not in raw.columns:
         raw = _with_missing(located, raw)
-    fetched = raw.withColumnRenamed("_error", "_fetch_error")
+    fetched, n_missing = _fetched(raw.withColumnRenamed("_error", "_fetch_error"), f"{base}/fetched")
     missing = fetched.where("_fetch_error is not null").select(
         F.lit(source_name).alias("source"),
         F.col("_locator").alias("source_id"),
@@ -240,22 +269,27 @@ def _run(
     def shaped(good: DataFrame) -> DataFrame:
         if "_enrich_error" not in good.columns:
             good = good.withColumn("_enrich_error", F.lit(None).cast("string"))
-        both = good.withColumn("_stage", F.lit("normalize")).unionByName(missing, allowMissingColumns=True)
+        # The missing rows are read where they are staged; here they only lend their columns.
+        both = good.withColumn("_stage", F.lit("normalize")).unionByName(missing.where(F.lit(False)), allowMissingColumns=True)
         return both.select(*_STAGED).withColumn("_reason", F.when(F.col("_outcome").isNull(), invalid_reason()))
 
     counts = _stage_rows(normalize(fetched.where("_fetch_error is null"), normalizer), enrichers, shaped, base)
-    rows = spark.read.parquet(f"{base}/rows")
+    rows = spark.read.parquet(f"{base}/rows").unionByName(missing, allowMissingColumns=True)
     dropped = located.join(rows.select("_pos"), "_pos", "left_anti").select(
         F.lit(source_name).alias("source"), F.col("value").alias("source_id"), F.lit("").alias("raw_ref"), "_pos",
         F.lit("normalize").alias("_stage"), F.lit("skipped").alias("_outcome"), F.lit(NORMALIZER_NONE).alias("_error"),
     )
-    lost = Observation(f"dropped-{uuid4().hex}")
-    dropped.observe(lost, F.count(F.lit(1)).alias("n")).write.mode("overwrite").parquet(f"{base}/dropped")
-    rows = rows.unionByName(spark.read.schema(dropped.schema).parquet(f"{base}/dropped"), allowMissingColumns=True)
+    n_dropped = {"n": 0, "n_unnamed": 0}
+    if not whole or listed.get["n_unplaced"] or _places(listed.get) != _places(counts, n_missing):
+        lost = Observation(f"dropped-{uuid4().hex}")
+        unnamed = F.count(F.when(F.col("source_id").isNull(), 1))
+        dropped.observe(lost, F.count(F.lit(1)).alias("n"), unnamed.alias("n_unnamed")).write.mode("overwrite").parquet(f"{base}/dropped")
+        rows = rows.unionByName(spark.read.schema(dropped.schema).parquet(f"{base}/dropped"), allowMissingColumns=True)
+        n_dropped = lost.get
 
     result = RunResult(rows_unenriched=counts["n_left"] + counts["n_apart"], rows_failed=counts["n_failed"])
-    result.rows_total = counts["n"] + lost.get["n"]
-    result.rows_skipped = counts["n_skipped"] + lost.get["n"]
+    result.rows_total = counts["n"] + n_missing["n"] + n_dropped["n"]
+    result.rows_skipped = counts["n_skipped"] + n_missing["n"] + n_dropped["n"]
     n_refused, n_valid = counts["n_refused"], counts["n_valid"]
 
     valid = rows.where("_outcome is null and _reason is null")
@@ -296,9 +330,12 @@ def _run(
         # A bounded sample by design: the first errors of the run, for the summary and the log row.
         first = failed.select("_pos", "_seq", "_error").orderBy("_pos", "_seq").limit(max(errors_kept, 1)).collect()
         result.errors = [r["_error"] for r in first]
-    # A row without a key of its own is recorded under the locator it came from.
-    failed = failed.join(located.select("_pos", F.col("value").alias("_value")).dropDuplicates(["_pos"]), "_pos", "left")
-    failed = failed.withColumn("source", F.coalesce("source", F.lit(source_name)))
+    # A row without a key of its own is recorded under the locator it came from; without such rows nothing is joined.
+    told = failed.where("source_id is not null").withColumn("_value", F.lit(None).cast(located.schema["value"].dataType))
+    if counts["n_unnamed"] + n_missing["n_unnamed"] + n_dropped["n_unnamed"]:
+        values = located.select("_pos", F.col("value").alias("_value")).dropDuplicates(["_pos"])
+        told = told.unionByName(failed.where("source_id is null").join(values, "_pos", "left"))
+    failed = told.withColumn("source", F.coalesce("source", F.lit(source_name)))
     failed = failed.withColumn("source_id", F.coalesce("source_id", F.col("_value").cast("string")))
     failed = failed.select(
         "source", "source_id", "text", "raw_ref", "coord_hint",

@@ -430,3 +430,32 @@ def test_a_dry_run_without_errors_has_no_job_beside_its_writes(spark):
     # Locators, rows and dropped rows are written; adaptive planning runs the stages of the last write as jobs of their own.
     # Each of the two tables it reads has a job for its schema.
     assert len(tracker.getJobIdsForGroup("counted-run")) <= 8
+
+
+def test_reader_runs_once_for_records_and_failures(spark, tmp_path):
+    seen = spark.sparkContext.accumulator(0)
+
+    @F.udf("string")
+    def told(link):
+        seen.add(1)
+        return link
+
+    failures = failure_table(spark, f"{tmp_path}/f")
+    r = run_ingest(
+        spark, locators(spark, *LINKS), lambda df: url_records(df.withColumn("value", told.asNondeterministic()("value")), keep_failed=True),
+        source_name="maps", now=at(NOW), failures=failures,
+    )
+    assert seen.value == len(LINKS) and counts(r) == (3, 2, 0, 1, 0)
+    (failed,) = rows(failures.read())
+    assert (failed["source"], failed["source_id"], failed["attempts"]) == ("maps", LINKS[2], 1)
+
+
+def test_dropped_row_is_told_next_to_a_doubled_one(spark, tmp_path):
+    def normalizer(raw):
+        kept = to_entity(raw).where(F.col("_pos") != 0)
+        return kept.unionByName(kept.where(F.col("_pos") == 1))
+
+    failures = failure_table(spark, f"{tmp_path}/f")
+    r = run_ingest(spark, locators(spark, *LINKS), with_errors, source_name="maps", now=at(NOW), normalizer=normalizer, failures=failures)
+    assert counts(r) == (4, 2, 0, 2, 0)
+    assert {f["source_id"] for f in rows(failures.read())} == {LINKS[0], LINKS[2]}
