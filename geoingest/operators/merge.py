@@ -72,7 +72,10 @@ def fold_batch(entities: DataFrame) -> DataFrame:
     the latest of each is chosen by an aggregate that combines on the map side. A key that holds a large
     share of the batch thus leaves every map task as a handful of rows.
     """
+    return _folded(entities).drop(KEY_HASH)
 
+
+def _folded(entities: DataFrame) -> DataFrame:
     def part(kind: int, name: Column, text: Column) -> Column:
         return F.struct(F.lit(kind).cast("byte").alias("part"), name.alias("name"), text.alias("entry"))
 
@@ -102,22 +105,26 @@ def fold_batch(entities: DataFrame) -> DataFrame:
         F.array_sort(F.collect_list(only(_ATTRIBUTE, "entry"))),
         lambda e: F.substr(e, F.lit(2), F.length(e) - 2),
     )
-    folded = latest.groupBy(*KEY).agg(
+    folded = latest.groupBy(key_hash(), *KEY).agg(
         F.from_json(F.max(only(_FIELDS, "entry")), _FIELDS_TYPE).alias("fields"),
         F.max(only(_COUNTRY, "entry")).alias("bbox_country"),
         F.max(only(_FIELDS, "n")).alias("n_rows"),
         F.concat(F.lit("{"), F.array_join(entries, ","), F.lit("}")).alias("attrs"),
     )
-    return folded.select(*KEY, "fields.*", "attrs", "bbox_country", "n_rows")
+    return folded.select(KEY_HASH, *KEY, "fields.*", "attrs", "bbox_country", "n_rows")
 
 
 def first_of_batch(entities: DataFrame) -> DataFrame:
     """The first row per key in ``_pos`` order, with the number of rows of the key."""
+    return _first(entities).drop(KEY_HASH)
+
+
+def _first(entities: DataFrame) -> DataFrame:
     cols = ["entity_type", "geom", "attrs", "bbox_country", F.col("confidence").cast("double").alias("confidence")]
     return (
-        entities.groupBy(*KEY)
+        entities.groupBy(key_hash(), *KEY)
         .agg(F.min_by(F.struct(*cols), given_pos()).alias("_first"), F.count("*").alias("n_rows"))
-        .select(*KEY, "_first.*", "n_rows")
+        .select(KEY_HASH, *KEY, "_first.*", "n_rows")
     )
 
 
@@ -138,11 +145,9 @@ def upsert_entities(
         raise ValueError(f"on_conflict must be DO_UPDATE or DO_NOTHING, got {on_conflict!r}")
     now = now.cast("timestamp")
     stored = as_stored(entities)
-    src = fold_batch(stored) if on_conflict == DO_UPDATE else first_of_batch(stored)
+    src = _folded(stored) if on_conflict == DO_UPDATE else _first(stored)
     # Keys are unique on both sides from here on, so the join has no hot key.
-    both = target.alias("t").join(
-        src.alias("s"), [F.col(f"t.{k}") == F.col(f"s.{k}") for k in KEY], "full_outer"
-    )
+    both = join_keyed(target, src)
     is_new = F.col("t.source").isNull()
     in_batch = F.col("s.source").isNotNull()
     n = F.col("s.n_rows")
