@@ -57,6 +57,9 @@ class RunResult:
     rows_unenriched: int = 0
 
 
+#: Rows that a task takes apart and sorts for a merge; each becomes a row per attribute, some 1 KB in all.
+ROWS_PER_TASK = 200_000
+
 _STAGED = [
     "entity_type", "source", "source_id", "geom", "attrs", "bbox_country", "confidence", "_pos",
     "text", "raw_ref", "coord_hint", "_stage", "_outcome", "_error", "_enrich_error",
@@ -147,6 +150,12 @@ def _fetched(df: DataFrame, path: str) -> tuple[DataFrame, dict[str, int]]:
     return kept, told.get
 
 
+def _dealt(rows: DataFrame, n: int) -> DataFrame:
+    """``n`` rows over so many tasks that none sorts more than ``ROWS_PER_TASK`` of them, however many a split holds."""
+    splits = rows._jdf.queryExecution().toRdd().getNumPartitions()
+    return rows.repartition(-(-n // ROWS_PER_TASK), "_pos") if n > splits * ROWS_PER_TASK else rows
+
+
 def _stage_rows(good: DataFrame, enrichers: Sequence[Stage], shaped: Stage, base: str) -> dict[str, int]:
     """Write the rows; returns their counts and, as ``n_left``, how many an enricher left as they were because it failed on them."""
     try:
@@ -292,7 +301,7 @@ def _run(
     result.rows_skipped = counts["n_skipped"] + n_missing["n"] + n_dropped["n"]
     n_refused, n_valid = counts["n_refused"], counts["n_valid"]
 
-    valid = rows.where("_outcome is null and _reason is null")
+    valid = _dealt(rows.where("_outcome is null and _reason is null"), n_valid)
     refused = rows.where("_outcome is null and _reason is not null")
     events = [rows.where("_outcome is not null").withColumn("_seq", F.lit(0))]
     for i, target in enumerate(targets):

@@ -29,6 +29,7 @@ from geoingest import (
 from geoingest.functions.country import with_country
 from geoingest.operators.merge import DO_NOTHING, upsert_entities
 from geoingest.operators.runlog import errors_sample, run_counters, source_health
+from geoingest.plans import ingest
 from geoingest.plans.ingest import fetch_error
 from geoingest.schemas import ENTITY, ENTITY_TABLE, FAILURE_TABLE, RUN_LOG
 from geoingest.session import broadcast_if_small, checkpoint_dir
@@ -467,3 +468,13 @@ def test_merges_sort_and_join_by_a_hash_of_the_key(spark):
     plan = merged._jdf.queryExecution().optimizedPlan().toString()
     assert "_key_hash" in next(line for line in plan.splitlines() if "Join FullOuter" in line)
     assert merged.columns == ENTITY_TABLE.fieldNames()
+
+
+def test_a_task_merges_a_bounded_number_of_rows(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(ingest, "ROWS_PER_TASK", 2)
+    assert ingest._dealt(spark.range(9).withColumnRenamed("id", "_pos").coalesce(1), 9).rdd.getNumPartitions() == 5
+    assert ingest._dealt(spark.range(9).withColumnRenamed("id", "_pos").coalesce(1), 2).rdd.getNumPartitions() == 1
+    links = [f"https://maps.google.com/?q={i % 7}.0,5.0" for i in range(40)]
+    entities = entity_table(spark, f"{tmp_path}/e")
+    r = run_ingest(spark, locators(spark, *links), with_errors, source_name="maps", now=at(NOW), targets=[Target(entities)])
+    assert counts(r) == (40, 7, 33, 0, 0) and {e["source_id"] for e in rows(entities.read())} == set(links)
